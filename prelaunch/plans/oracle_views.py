@@ -76,9 +76,9 @@ t AS (
 
 _GY = """
 gy AS (
-  SELECT g.*, year(try_strptime(release_date, '%Y-%m-%d')) AS release_year,
-         month(try_strptime(release_date, '%Y-%m-%d')) AS release_month,
-         quarter(try_strptime(release_date, '%Y-%m-%d')) AS release_quarter
+  SELECT g.*, CAST(year(try_strptime(release_date, '%Y-%m-%d')) AS INTEGER) AS release_year,
+         CAST(month(try_strptime(release_date, '%Y-%m-%d')) AS INTEGER) AS release_month,
+         CAST(quarter(try_strptime(release_date, '%Y-%m-%d')) AS INTEGER) AS release_quarter
   FROM g
 )"""
 

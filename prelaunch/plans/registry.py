@@ -84,3 +84,233 @@ SELECT * FROM (SELECT *, row_number() OVER (ORDER BY missing_pct DESC, column_na
                FROM missing WHERE missing_pct > 0.5) r WHERE rank <= 3""", GY, extra=[_MISSING]))
 def q_top_missing(spark, sf):
     return P.top_missing(gy(spark, sf), 3, 0.5, _MISSING_COLS)
+
+# ------------------------------------------------------------------ scalars
+
+from prelaunch.functions import lists as L  # noqa: E402
+from prelaunch.functions import scalars as S  # noqa: E402
+from prelaunch.plans.oracle_views import hash_uniform_sql  # noqa: E402
+
+# DuckDB spelling of the list decode for the fixture's list text.
+def _dlist(c: str) -> str:
+    return f"coalesce(from_json(replace({c}, '''', '\"'), '[\"VARCHAR\"]'), [])"
+
+
+_WS = S.PY_WHITESPACE
+
+# Fixed values of the fixture queries: keywords, excluded tags and cut-offs
+# chosen so the fixture's brands and part types exercise each operator.
+FX_KEYWORDS = ["#1", "brand#5"]
+FX_EXCLUDED = ["PROMO"]
+FX_TRAIN, FX_TEST = FX.TRAIN_YEARS, FX.TEST_FROM
+
+
+@register("list_decode", with_views(f"""
+SELECT game_id, len({_dlist('genres')}) AS n_items, array_to_string({_dlist('genres')}, '|') AS items
+FROM g""", "g"))
+def q_list_decode(spark, sf):
+    a = L.decode_list("genres")
+    return FX.games(spark, sf).select("game_id", F.size(a).alias("n_items"),
+                                      F.array_join(a, "|").alias("items"))
+
+
+@register("list_length", with_views(f"""
+SELECT game_id, CAST(len({_dlist('supported_languages')}) AS INTEGER) AS language_count FROM g""", "g"))
+def q_list_length(spark, sf):
+    return FX.games(spark, sf).select("game_id", L.list_length("supported_languages").alias("language_count"))
+
+
+@register("comma_pieces", with_views("""
+SELECT game_id, CAST(CASE WHEN categories IS NULL THEN 0
+       ELSE length(categories) - length(replace(categories, ',', '')) + 1 END AS INTEGER) AS language_count_eda
+FROM g""", "g"))
+def q_comma_pieces(spark, sf):
+    return FX.games(spark, sf).select("game_id", L.comma_pieces("categories").cast("int").alias("language_count_eda"))
+
+
+@register("keyword_any", with_views(f"""
+SELECT game_id, CAST(coalesce(len(list_filter({_dlist('categories')},
+       lambda x: {' OR '.join(f"contains(lower(x), '{k}')" for k in FX_KEYWORDS)})) > 0, false) AS INTEGER) AS has_keyword
+FROM g""", "g"))
+def q_keyword_any(spark, sf):
+    return FX.games(spark, sf).select("game_id", L.any_keyword("categories", FX_KEYWORDS).alias("has_keyword"))
+
+
+@register("date_parse", with_views("""
+SELECT game_id, strftime(try_strptime(release_date, '%Y-%m-%d'), '%Y-%m-%d') AS release_day FROM g""", "g"))
+def q_date_parse(spark, sf):
+    return FX.games(spark, sf).select("game_id", F.date_format(S.parse_date("release_date"), "yyyy-MM-dd")
+                                      .alias("release_day"))
+
+
+@register("calendar_parts", with_views("""
+SELECT game_id, release_year, release_month, release_quarter FROM gy""", GY))
+def q_calendar_parts(spark, sf):
+    return gy(spark, sf).select("game_id", "release_year", "release_month", "release_quarter")
+
+
+@register("q4_flag", with_views("""
+SELECT game_id, CAST(coalesce(release_quarter = 4, false) AS INTEGER) AS released_q4 FROM gy""", GY))
+def q_q4_flag(spark, sf):
+    return gy(spark, sf).select("game_id", S.q4_flag("release_quarter").alias("released_q4"))
+
+
+@register("fill_zero", with_views("""
+SELECT game_id, coalesce(price, 0.0) AS price, coalesce(CAST(achievements AS DOUBLE), 0.0) AS achievements FROM g""", "g"))
+def q_fill_zero(spark, sf):
+    return FX.games(spark, sf).select("game_id", S.fill_zero("price").alias("price"),
+                                      S.fill_zero("achievements").alias("achievements"))
+
+
+@register("log1p_counts", with_views("""
+SELECT game_id, round(ln(1 + coalesce(dlc_count, 0)), 6) AS dlc_count,
+       round(ln(1 + coalesce(achievements, 0)), 6) AS achievements FROM g""", "g"))
+def q_log1p(spark, sf):
+    return FX.games(spark, sf).select("game_id", r6(S.log1p_filled("dlc_count")).alias("dlc_count"),
+                                      r6(S.log1p_filled("achievements")).alias("achievements"))
+
+
+@register("flag01", with_views("""
+SELECT game_id, CAST(coalesce(windows, false) AS INTEGER) AS windows,
+       CAST(coalesce(mac, false) AS INTEGER) AS mac, CAST(coalesce(linux, false) AS INTEGER) AS linux FROM g""", "g"))
+def q_flag01(spark, sf):
+    return FX.games(spark, sf).select("game_id", *[S.flag01(c).alias(c) for c in ("windows", "mac", "linux")])
+
+
+@register("platform_count", with_views("""
+SELECT game_id, CAST(coalesce(windows, false) AS INTEGER) + CAST(coalesce(mac, false) AS INTEGER)
+       + CAST(coalesce(linux, false) AS INTEGER) AS platform_count FROM g""", "g"))
+def q_platform_count(spark, sf):
+    return FX.games(spark, sf).select("game_id", S.row_sum_flags(["windows", "mac", "linux"]).alias("platform_count"))
+
+
+@register("char_length", with_views("""
+SELECT doc_id, CAST(length(coalesce(short_description, '')) AS INTEGER) AS desc_length,
+       CAST(length(coalesce(detailed_features, '')) AS INTEGER) AS detailed_features_length FROM d""", "d"))
+def q_char_length(spark, sf):
+    return FX.texts(spark, sf).select("doc_id", S.char_length("short_description").alias("desc_length"),
+                                      S.char_length("detailed_features").alias("detailed_features_length"))
+
+
+@register("word_count", with_views(f"""
+SELECT doc_id, CAST(len(regexp_extract_all(coalesce(short_description, ''), '[^{_WS}]+')) AS INTEGER) AS desc_word_count,
+       CAST(len(regexp_extract_all(coalesce(detailed_features, ''), '[^{_WS}]+')) AS INTEGER) AS detailed_features_word_count
+FROM d""", "d"))
+def q_word_count(spark, sf):
+    return FX.texts(spark, sf).select("doc_id", S.word_count("short_description").alias("desc_word_count"),
+                                      S.word_count("detailed_features").alias("detailed_features_word_count"))
+
+
+@register("text_concat", with_views("""
+SELECT doc_id, md5(coalesce(short_description, '') || ' ' || coalesce(detailed_features, '')) AS text_md5,
+       CAST(length(coalesce(short_description, '') || ' ' || coalesce(detailed_features, '')) AS INTEGER) AS text_length
+FROM d""", "d"))
+def q_text_concat(spark, sf):
+    t = S.text_concat("short_description", "detailed_features")
+    return FX.texts(spark, sf).select("doc_id", F.md5(t).alias("text_md5"), F.length(t).alias("text_length"))
+
+
+@register("is_free", with_views("""
+SELECT game_id, CAST(coalesce(price, 0.0) = 0 AS INTEGER) AS is_free FROM g""", "g"))
+def q_is_free(spark, sf):
+    return FX.games(spark, sf).select("game_id", S.is_free("price").alias("is_free"))
+
+
+_COMBO_SQL = ("CAST(CAST(coalesce(windows, false) AS INTEGER) AS VARCHAR) || CAST(CAST(coalesce(mac, false) AS INTEGER) AS VARCHAR)"
+              " || CAST(CAST(coalesce(linux, false) AS INTEGER) AS VARCHAR)")
+_LABEL_SQL = "CASE " + " ".join(f"WHEN {_COMBO_SQL} = '{k}' THEN '{v}'" for k, v in S.PLATFORM_COMBOS.items()) + " END"
+
+
+@register("combo_code", with_views(f"SELECT game_id, {_COMBO_SQL} AS combo_code FROM g", "g"))
+def q_combo_code(spark, sf):
+    return FX.games(spark, sf).select("game_id", S.combo_code(["windows", "mac", "linux"]).alias("combo_code"))
+
+
+@register("combo_label", with_views(f"SELECT game_id, {_LABEL_SQL} AS combo_label FROM g", "g"))
+def q_combo_label(spark, sf):
+    code = S.combo_code(["windows", "mac", "linux"])
+    return FX.games(spark, sf).select("game_id", S.lookup(code, S.PLATFORM_COMBOS).alias("combo_label"))
+
+
+_CLEAN_SQL = (f"list_transform(list_filter({_dlist('genres')}, lambda x: x IS NOT NULL AND length(x) > 0 "
+              f"AND NOT list_contains({FX_EXCLUDED!r}, regexp_replace(x, '^[{_WS}]+|[{_WS}]+$', '', 'g'))), "
+              f"lambda x: regexp_replace(x, '^[{_WS}]+|[{_WS}]+$', '', 'g'))")
+
+
+@register("tag_clean", with_views(f"""
+SELECT game_id, array_to_string({_CLEAN_SQL}, '|') AS tags FROM g""", "g"))
+def q_tag_clean(spark, sf):
+    return FX.games(spark, sf).select("game_id", F.array_join(L.clean_tags("genres", FX_EXCLUDED), "|").alias("tags"))
+
+
+# ------------------------------------------------------------ cohort, filters
+
+@register("price_filter", with_views("SELECT game_id FROM g WHERE price BETWEEN 0 AND 30", "g"))
+def q_price_filter(spark, sf):
+    return C.price_filter(FX.games(spark, sf)).select("game_id")
+
+
+@register("studio_size_filter", with_views("""
+SELECT game_id FROM g WHERE developers IN (
+  SELECT developers FROM g WHERE developers IS NOT NULL GROUP BY developers HAVING count(*) <= 10)""", "g"))
+def q_studio_size_filter(spark, sf):
+    return C.studio_size_filter(FX.games(spark, sf), max_games=10).select("game_id")
+
+
+@register("release_window_filter", with_views("SELECT game_id FROM gy WHERE release_year >= 1997", GY))
+def q_release_window(spark, sf):
+    return C.release_window_filter(gy(spark, sf), 1997).select("game_id")
+
+
+@register("success_label", with_views("""
+SELECT game_id, CAST(estimated_owners >= 100 AS INTEGER) AS success FROM g""", "g"))
+def q_success_label(spark, sf):
+    return FX.games(spark, sf).select("game_id", C.success_label("estimated_owners", 100).alias("success"))
+
+
+@register("cohort_funnel", with_views("""
+SELECT * FROM (
+  SELECT 0 AS step, 'all rows' AS name, count(*) AS rows FROM x
+  UNION ALL SELECT 1, 'price 0-30', count(*) FILTER (WHERE price BETWEEN 0 AND 30) FROM x
+  UNION ALL SELECT 2, 'studio <= 10 games', count(*) FILTER (WHERE price BETWEEN 0 AND 30 AND dev_n <= 10) FROM x
+  UNION ALL SELECT 3, 'released >= 1996', count(*) FILTER (WHERE price BETWEEN 0 AND 30 AND dev_n <= 10
+                                                            AND release_year >= 1996) FROM x)""", GY, extra=[
+    "dev AS (SELECT developers, count(*) AS n FROM g WHERE developers IS NOT NULL GROUP BY developers)",
+    "x AS (SELECT gy.*, dev.n AS dev_n FROM gy LEFT JOIN dev ON gy.developers = dev.developers)"]))
+def q_cohort_funnel(spark, sf):
+    g = C.with_developer_count(gy(spark, sf))
+    steps = [("price 0-30", F.col("price").between(0, 30)),
+             ("studio <= 10 games", F.col("dev_game_count") <= 10),
+             ("released >= 1996", F.col("release_year") >= 1996)]
+    return C.cohort_funnel(g, steps)
+
+
+@register("target_not_null", with_views("SELECT game_id FROM g WHERE success IS NOT NULL", "g"))
+def q_target_not_null(spark, sf):
+    return C.target_not_null(FX.games(spark, sf)).select("game_id")
+
+
+@register("train_filter", with_views(
+    f"SELECT game_id FROM gy WHERE release_year BETWEEN {FX_TRAIN[0]} AND {FX_TRAIN[1]}", GY))
+def q_train_filter(spark, sf):
+    return C.train_rows(gy(spark, sf), train_years=FX_TRAIN).select("game_id")
+
+
+@register("test_filter", with_views(f"SELECT game_id FROM gy WHERE release_year >= {FX_TEST}", GY))
+def q_test_filter(spark, sf):
+    return C.test_rows(gy(spark, sf), test_from=FX_TEST).select("game_id")
+
+
+@register("temporal_split", with_views(f"""
+SELECT game_id, CASE WHEN release_year BETWEEN {FX_TRAIN[0]} AND {FX_TRAIN[1]} THEN 'train'
+                     WHEN release_year >= {FX_TEST} THEN 'test' ELSE 'none' END AS split FROM gy""", GY))
+def q_temporal_split(spark, sf):
+    return C.temporal_split(gy(spark, sf), train_years=FX_TRAIN, test_from=FX_TEST).select("game_id", "split")
+
+
+@register("developer_game_count", with_views("""
+SELECT g.game_id, d.n AS dev_game_count FROM g
+LEFT JOIN (SELECT developers, count(*) AS n FROM g WHERE developers IS NOT NULL GROUP BY developers) d
+  ON g.developers = d.developers""", "g"))
+def q_developer_game_count(spark, sf):
+    return C.with_developer_count(FX.games(spark, sf)).select("game_id", "dev_game_count")
