@@ -314,3 +314,382 @@ LEFT JOIN (SELECT developers, count(*) AS n FROM g WHERE developers IS NOT NULL
   ON g.developers = d.developers""", "g"))
 def q_developer_game_count(spark, sf):
     return C.with_developer_count(FX.games(spark, sf)).select("game_id", "dev_game_count")
+
+# ------------------------------------------------------ profile aggregates
+
+from prelaunch.operators import tags as TG  # noqa: E402
+
+_NUM_VARS = ["price", "required_age", "achievements", "dlc_count", "success", "release_year"]
+_BOX_FEATURES = ["price", "achievements", "dlc_count", "required_age", "language_count", "platform_count"]
+
+
+def gy_eda(spark, sf) -> DataFrame:
+    """G with the EDA's derived counts (comma-piece language count)."""
+    return gy(spark, sf).withColumns({
+        "language_count": L.comma_pieces("supported_languages"),
+        "platform_count": S.row_sum_flags(["windows", "mac", "linux"])})
+
+
+_GE = """ge AS (
+  SELECT gy.*, CASE WHEN supported_languages IS NULL THEN 0
+         ELSE length(supported_languages) - length(replace(supported_languages, ',', '')) + 1 END AS language_count,
+         CAST(coalesce(windows, false) AS INTEGER) + CAST(coalesce(mac, false) AS INTEGER)
+         + CAST(coalesce(linux, false) AS INTEGER) AS platform_count
+  FROM gy)"""
+
+
+def _num_summary_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS variable, round(avg({c}), 6) AS mean, round(median({c}::DOUBLE), 6) AS median, "
+        f"min({c})::DOUBLE AS min, max({c})::DOUBLE AS max FROM gy" for c in _NUM_VARS)
+    return with_views(f"SELECT * FROM ({parts})", GY)
+
+
+@register("numeric_summary", _num_summary_sql())
+def q_numeric_summary(spark, sf):
+    s = P.numeric_summary(gy(spark, sf), _NUM_VARS)
+    return s.select("variable", r6("mean").alias("mean"), r6("median").alias("median"), "min", "max")
+
+
+_CAT_VARS = ["release_date", "developers", "genres", "categories"]
+
+
+@register("categorical_summary", with_views("SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, 'string' AS dtype, count(DISTINCT {c}) AS n_distinct FROM gy" for c in _CAT_VARS)
+    + ")", GY))
+def q_categorical_summary(spark, sf):
+    return P.categorical_summary(gy(spark, sf), _CAT_VARS)
+
+
+@register("target_summary", with_views("""
+SELECT count(*) AS n_rows, round(avg(success), 6) AS success_rate, CAST(sum(success) AS BIGINT) AS n_success,
+       min(release_year) AS min_year, max(release_year) AS max_year FROM gy""", GY))
+def q_target_summary(spark, sf):
+    s = P.target_summary(gy(spark, sf), "success", "release_year")
+    return s.select("n_rows", r6("success_rate").alias("success_rate"), "n_success", "min_year", "max_year")
+
+
+@register("price_histogram", with_views("""
+SELECT b.bin, CAST(b.bin AS DOUBLE) AS bin_start, CAST(b.bin + 1 AS DOUBLE) AS bin_end, coalesce(c.n, 0) AS count
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(50)) b
+LEFT JOIN (SELECT CAST(least(floor(price), 49) AS INTEGER) AS bin, count(*) AS n FROM g
+           WHERE price >= 0 AND price <= 50 GROUP BY 1) c ON b.bin = c.bin""", "g"))
+def q_price_histogram(spark, sf):
+    h = P.histogram(FX.games(spark, sf), "price", 0.0, 50.0, 50)
+    return h.select("bin", r6("bin_start").alias("bin_start"), r6("bin_end").alias("bin_end"), "count")
+
+
+_BAND_SQL = "CASE " + " ".join(
+    f"WHEN price > {P.PRICE_EDGES[i]} AND price <= {P.PRICE_EDGES[i + 1]} THEN '{lab}'"
+    for i, lab in enumerate(P.PRICE_LABELS)) + " END"
+_BANDS = f"""bands AS (
+  SELECT d.price_range, d.band_order, s.success_rate, coalesce(s.n, 0) AS count
+  FROM (VALUES {', '.join(f"({i}, '{lab}')" for i, lab in enumerate(P.PRICE_LABELS))}) d(band_order, price_range)
+  LEFT JOIN (SELECT {_BAND_SQL} AS band, round(avg(success), 6) AS success_rate, count(success) AS n
+             FROM g GROUP BY 1) s ON s.band = d.price_range)"""
+
+
+@register("price_band_stats", with_views("SELECT * FROM bands", "g", extra=[_BANDS]))
+def q_price_band_stats(spark, sf):
+    b = P.binned_target_stats(FX.games(spark, sf))
+    return b.select("price_range", "band_order", r6("success_rate").alias("success_rate"), "count")
+
+
+@register("price_bands_min_count", with_views("SELECT * FROM bands WHERE count >= 1000", "g", extra=[_BANDS]))
+def q_price_bands_min_count(spark, sf):
+    b = P.bands_with_min_count(P.binned_target_stats(FX.games(spark, sf)), 1000)
+    return b.select("price_range", "band_order", r6("success_rate").alias("success_rate"), "count")
+
+
+@register("bin_coverage", with_views(f"""
+SELECT count(*) AS total_rows, count(CASE WHEN ({_BAND_SQL}) IS NOT NULL THEN success END) AS rows_in_bins,
+       count(*) - count(CASE WHEN ({_BAND_SQL}) IS NOT NULL THEN success END) AS rows_lost FROM g""", "g"))
+def q_bin_coverage(spark, sf):
+    return P.bin_coverage(FX.games(spark, sf))
+
+
+@register("price_over_cap", with_views("SELECT count(*) FILTER (WHERE price > 40) AS n_above_cap FROM g", "g"))
+def q_price_over_cap(spark, sf):
+    return P.price_extras(FX.games(spark, sf), cap=40.0).select("n_above_cap")
+
+
+@register("mean_paid_price", with_views(
+    "SELECT round(avg(price) FILTER (WHERE price > 0), 6) AS mean_paid_price FROM g", "g"))
+def q_mean_paid_price(spark, sf):
+    return P.price_extras(FX.games(spark, sf)).select(r6("mean_paid_price").alias("mean_paid_price"))
+
+
+_CORR_VARS = ["price", "required_age", "achievements", "dlc_count", "language_count", "success"]
+
+
+def _corr_sql() -> str:
+    parts = []
+    for a in _CORR_VARS:
+        for b in _CORR_VARS:
+            both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+            den = (f"stddev_pop(CASE WHEN {both} THEN {a}::DOUBLE END) * "
+                   f"stddev_pop(CASE WHEN {both} THEN {b}::DOUBLE END)")
+            parts.append(f"SELECT '{a}' AS var_a, '{b}' AS var_b, round(CASE WHEN {den} > 0 THEN "
+                         f"greatest(-1.0, least(1.0, covar_pop({a}::DOUBLE, {b}::DOUBLE) / ({den}))) END, 6) AS corr FROM ge")
+    return with_views("SELECT * FROM (" + " UNION ALL ".join(parts) + ")", GY, extra=[_GE])
+
+
+@register("correlation_matrix", _corr_sql())
+def q_correlation(spark, sf):
+    return P.correlation_long(gy_eda(spark, sf), _CORR_VARS).select("var_a", "var_b", r6("corr").alias("corr"))
+
+
+def _class_long_sql() -> str:
+    return "lf AS (" + " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST(success AS INTEGER) AS cls, CAST({f} AS DOUBLE) AS value FROM ge "
+        f"WHERE success IN (0, 1) AND {f} IS NOT NULL" for f in _BOX_FEATURES) + ")"
+
+
+_MOMENTS = """mo AS (
+  SELECT feature, cls, count(value) AS count, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min,
+         quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3,
+         max(value) AS max
+  FROM lf GROUP BY feature, cls)"""
+
+
+@register("class_moments", with_views("""
+SELECT feature, cls, count, round(mean, 6) AS mean, round(std, 6) AS std, min, q1, median, q3, max FROM mo""",
+    GY, extra=[_GE, _class_long_sql(), _MOMENTS]))
+def q_class_moments(spark, sf):
+    m = P.class_moments(gy_eda(spark, sf), _BOX_FEATURES)
+    return m.select("feature", "cls", "count", r6("mean").alias("mean"), r6("std").alias("std"),
+                    "min", "q1", "median", "q3", "max")
+
+
+@register("box_stats", with_views("""
+SELECT mo.feature, mo.cls, mo.q1, mo.median, mo.q3, round(mo.mean, 6) AS mean, mo.count,
+       w.whisker_low, w.whisker_high, w.n_outliers
+FROM mo JOIN (
+  SELECT lf.feature, lf.cls,
+         min(CASE WHEN value >= q1 - 1.5 * (q3 - q1) THEN value END) AS whisker_low,
+         max(CASE WHEN value <= q3 + 1.5 * (q3 - q1) THEN value END) AS whisker_high,
+         count(*) FILTER (WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS n_outliers
+  FROM lf JOIN mo ON lf.feature = mo.feature AND lf.cls = mo.cls GROUP BY lf.feature, lf.cls
+) w ON mo.feature = w.feature AND mo.cls = w.cls""", GY, extra=[_GE, _class_long_sql(), _MOMENTS]))
+def q_box_stats(spark, sf):
+    b = P.box_stats(gy_eda(spark, sf), _BOX_FEATURES)
+    return b.select("feature", "cls", "q1", "median", "q3", r6("mean").alias("mean"), "count",
+                    "whisker_low", "whisker_high", "n_outliers")
+
+
+_CMP_METRICS = ["count", "mean", "median", "std", "min", "q1", "q3", "max", "iqr"]
+
+
+def _pct_sql(a: str, b: str) -> str:
+    return f"CASE WHEN {b} IS NULL OR {b} = 0 THEN NULL WHEN {a} = 0 THEN 0.0 ELSE ({b} - {a}) / abs({a}) * 100 END"
+
+
+def _comparison_sql() -> str:
+    parts = []
+    for k in _CMP_METRICS:
+        expr = "q3 - q1" if k == "iqr" else k
+        a = f"max(CASE WHEN cls = 0 THEN CAST({expr} AS DOUBLE) END)"
+        b = f"max(CASE WHEN cls = 1 THEN CAST({expr} AS DOUBLE) END)"
+        diff = f"{b} - {a}" if k == "count" else _pct_sql(a, b)
+        parts.append(f"SELECT feature, '{k}' AS metric, round({a}, 6) AS unsuccessful, round({b}, 6) AS successful, "
+                     f"round({diff}, 6) AS difference FROM mo GROUP BY feature")
+    return with_views("SELECT * FROM (" + " UNION ALL ".join(parts) + ")", GY,
+                      extra=[_GE, _class_long_sql(), _MOMENTS])
+
+
+@register("class_comparison", _comparison_sql())
+def q_class_comparison(spark, sf):
+    c = P.class_comparison(gy_eda(spark, sf), _BOX_FEATURES)
+    return c.select("feature", "metric", r6("unsuccessful").alias("unsuccessful"),
+                    r6("successful").alias("successful"), r6("difference").alias("difference"))
+
+
+_COHEN = """cd AS (
+  SELECT feature, pooled, CASE WHEN pooled > 0 THEN (m1 - m0) / pooled END AS d FROM (
+    SELECT feature, sqrt(((max(CASE WHEN cls = 0 THEN count END) - 1) * power(max(CASE WHEN cls = 0 THEN std END), 2)
+                        + (max(CASE WHEN cls = 1 THEN count END) - 1) * power(max(CASE WHEN cls = 1 THEN std END), 2))
+                       / (max(CASE WHEN cls = 0 THEN count END) + max(CASE WHEN cls = 1 THEN count END) - 2)) AS pooled,
+           max(CASE WHEN cls = 0 THEN mean END) AS m0, max(CASE WHEN cls = 1 THEN mean END) AS m1
+    FROM mo GROUP BY feature) x)"""
+_EFFECT_SQL = ("CASE WHEN d IS NULL THEN NULL WHEN abs(d) < 0.2 THEN 'negligible' WHEN abs(d) < 0.5 THEN 'small' "
+               "WHEN abs(d) < 0.8 THEN 'medium' ELSE 'LARGE' END")
+
+
+@register("cohens_d", with_views(f"""
+SELECT feature, round(pooled, 6) AS pooled_std, round(d, 6) AS cohens_d, {_EFFECT_SQL} AS effect FROM cd""",
+    GY, extra=[_GE, _class_long_sql(), _MOMENTS, _COHEN]))
+def q_cohens_d(spark, sf):
+    c = P.cohens_d(gy_eda(spark, sf), _BOX_FEATURES)
+    return c.select("feature", r6("pooled_std").alias("pooled_std"), r6("cohens_d").alias("cohens_d"), "effect")
+
+
+@register("pct_difference", with_views(f"""
+SELECT feature, round({_pct_sql("max(CASE WHEN cls = 0 THEN mean END)", "max(CASE WHEN cls = 1 THEN mean END)")}, 6)
+       AS mean_difference_pct FROM mo GROUP BY feature""", GY, extra=[_GE, _class_long_sql(), _MOMENTS]))
+def q_pct_difference(spark, sf):
+    c = P.class_comparison(gy_eda(spark, sf), _BOX_FEATURES).where(F.col("metric") == "mean")
+    return c.select("feature", r6("difference").alias("mean_difference_pct"))
+
+
+@register("effect_label", with_views(f"SELECT feature, {_EFFECT_SQL} AS effect FROM cd",
+                                     GY, extra=[_GE, _class_long_sql(), _MOMENTS, _COHEN]))
+def q_effect_label(spark, sf):
+    return P.cohens_d(gy_eda(spark, sf), _BOX_FEATURES).select("feature", "effect")
+
+
+_FLAGS = ["windows", "mac", "linux"]
+
+
+@register("flag_totals", with_views("SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{f}' AS flag, count(*) FILTER (WHERE {f}) AS count, "
+    f"round(count(*) FILTER (WHERE {f}) * 100.0 / count(*), 6) AS pct FROM g" for f in _FLAGS) + ")", "g"))
+def q_flag_totals(spark, sf):
+    return P.flag_totals(FX.games(spark, sf), _FLAGS).select("flag", "count", r6("pct").alias("pct"))
+
+
+@register("combo_distribution", with_views(f"""
+SELECT combo_label, count, round(count * 100.0 / (SELECT count(*) FROM g), 6) AS pct,
+       row_number() OVER (ORDER BY count, combo_label) AS "order"
+FROM (SELECT {_LABEL_SQL} AS combo_label, count(*) AS count FROM g GROUP BY 1) x WHERE combo_label IS NOT NULL""",
+    "g"))
+def q_combo_distribution(spark, sf):
+    c = P.combo_distribution(FX.games(spark, sf), _FLAGS)
+    return c.select("combo_label", "count", r6("pct").alias("pct"), "order")
+
+
+@register("combo_success", with_views(f"""
+SELECT combo_label, round(avg(success), 6) AS success_rate FROM (SELECT {_LABEL_SQL} AS combo_label, success FROM g)
+WHERE combo_label IS NOT NULL GROUP BY combo_label""", "g"))
+def q_combo_success(spark, sf):
+    return P.combo_success(FX.games(spark, sf), _FLAGS).select("combo_label", r6("success_rate").alias("success_rate"))
+
+
+@register("class_distribution", with_views("""
+SELECT success, count(*) AS count, round(count(*) * 100.0 / (SELECT count(success) FROM g), 6) AS pct,
+       round((SELECT count(*) FILTER (WHERE success = 0) * 1.0 / count(*) FILTER (WHERE success = 1) FROM g), 6)
+         AS imbalance_ratio
+FROM g WHERE success IS NOT NULL GROUP BY success""", "g"))
+def q_class_distribution(spark, sf):
+    c = P.class_distribution(FX.games(spark, sf))
+    return c.select("success", "count", r6("pct").alias("pct"), r6("imbalance_ratio").alias("imbalance_ratio"))
+
+
+@register("relative_change", with_views("""
+SELECT min(release_year) AS first_period, max(release_year) AS last_period,
+       round(arg_min(rate, release_year), 6) AS first_rate, round(arg_max(rate, release_year), 6) AS last_rate,
+       count(*) AS n_periods,
+       round(CASE WHEN count(*) >= 2 THEN (arg_max(rate, release_year) - arg_min(rate, release_year))
+             / arg_min(rate, release_year) * 100 END, 6) AS change_pct
+FROM (SELECT release_year, avg(success) AS rate FROM gy WHERE release_year IS NOT NULL GROUP BY 1)""", GY))
+def q_relative_change(spark, sf):
+    r = P.relative_change(P.yearly_stats(gy(spark, sf), "success", "release_year"), "success_rate", "release_year")
+    return r.select("first_period", "last_period", r6("first_rate").alias("first_rate"),
+                    r6("last_rate").alias("last_rate"), "n_periods", r6("change_pct").alias("change_pct"))
+
+
+@register("feature_means", with_views(f"""
+SELECT round(avg(len({_dlist('supported_languages')})), 6) AS avg_language_count,
+       round(avg(CAST(coalesce(windows, false) AS INTEGER) + CAST(coalesce(mac, false) AS INTEGER)
+                 + CAST(coalesce(linux, false) AS INTEGER)), 6) AS avg_platform_count,
+       count(DISTINCT developers) AS n_developers FROM g""", "g"))
+def q_feature_means(spark, sf):
+    g = FX.games(spark, sf).withColumns({"language_count": L.list_length("supported_languages"),
+                                         "platform_count": S.row_sum_flags(_FLAGS)})
+    m = P.feature_means(g, ["language_count", "platform_count"])
+    return m.select(r6("avg_language_count").alias("avg_language_count"),
+                    r6("avg_platform_count").alias("avg_platform_count"), "n_developers")
+
+
+@register("majority_accuracy", with_views(
+    "SELECT round(1 - avg(success), 6) AS majority_accuracy FROM g", "g"))
+def q_majority_accuracy(spark, sf):
+    return P.majority_accuracy(FX.games(spark, sf)).select(r6("majority_accuracy").alias("majority_accuracy"))
+
+
+@register("summary_stats", with_views(f"""
+SELECT count(*) AS total_games, round(avg(success), 6) AS success_rate,
+       CAST(min(release_year) AS VARCHAR) || '-' || CAST(max(release_year) AS VARCHAR) AS date_range,
+       round(count(*) FILTER (WHERE success = 0) * 1.0 / count(*) FILTER (WHERE success = 1), 6) AS class_imbalance_ratio,
+       (SELECT count(*) FROM missing WHERE missing_pct > 5) AS features_with_missing_data,
+       (SELECT round((arg_max(rate, release_year) - arg_min(rate, release_year)) / arg_min(rate, release_year) * 100, 6)
+        FROM (SELECT release_year, avg(success) AS rate FROM gy WHERE release_year IS NOT NULL GROUP BY 1)) AS temporal_decline
+FROM gy""", GY, extra=[_MISSING.replace("FROM gy", "FROM gy")]))
+def q_summary_stats(spark, sf):
+    s = P.summary_stats(gy(spark, sf).select(*_MISSING_COLS, "game_id"), "success", "release_year")
+    return s.select("total_games", r6("success_rate").alias("success_rate"), "date_range",
+                    r6("class_imbalance_ratio").alias("class_imbalance_ratio"),
+                    "features_with_missing_data", r6("temporal_decline").alias("temporal_decline"))
+
+
+# ----------------------------------------------------------------- tags
+
+_TAGS_EXPLODED = f"""te AS (SELECT unnest({_CLEAN_SQL}) AS tag, success AS y FROM g)"""
+_TAG_COUNTS = """tc AS (
+  SELECT tag, count(*) FILTER (WHERE y = 0) AS unsuccessful, count(*) FILTER (WHERE y IS NULL OR y <> 0) AS successful
+  FROM te GROUP BY tag)"""
+_TAG_STATS = """ts AS (
+  SELECT tag, unsuccessful, successful, unsuccessful + successful AS total,
+         CASE WHEN unsuccessful + successful > 0 THEN successful * 100.0 / (unsuccessful + successful) ELSE 0.0 END
+           AS success_rate
+  FROM tc)"""
+_TAGX = [_TAGS_EXPLODED, _TAG_COUNTS, _TAG_STATS]
+
+
+@register("tag_class_counts", with_views("SELECT * FROM tc", "g", extra=_TAGX[:2]))
+def q_tag_class_counts(spark, sf):
+    return TG.tag_class_counts(FX.games(spark, sf), "genres", "success", FX_EXCLUDED)
+
+
+@register("tag_stats", with_views(
+    "SELECT tag, unsuccessful, successful, total, round(success_rate, 6) AS success_rate FROM ts", "g",
+    extra=[_TAGS_EXPLODED.replace("genres", "categories"), _TAG_COUNTS, _TAG_STATS]))
+def q_tag_stats(spark, sf):
+    t = TG.tag_stats(FX.games(spark, sf), "categories", "success", FX_EXCLUDED)
+    return t.select("tag", "unsuccessful", "successful", "total", r6("success_rate").alias("success_rate"))
+
+
+@register("top_tags", with_views("""
+SELECT * FROM (SELECT tag, unsuccessful, successful, total, round(success_rate, 6) AS success_rate,
+                      row_number() OVER (ORDER BY total DESC, tag) AS rank FROM ts) WHERE rank <= 20""",
+    "g", extra=[_TAGS_EXPLODED.replace("genres", "categories"), _TAG_COUNTS, _TAG_STATS]))
+def q_top_tags(spark, sf):
+    t = TG.top_tags(TG.tag_stats(FX.games(spark, sf), "categories", "success", FX_EXCLUDED), 20)
+    return t.select("tag", "unsuccessful", "successful", "total", r6("success_rate").alias("success_rate"), "rank")
+
+
+@register("top_tags_by_rate", with_views("""
+SELECT tag, unsuccessful, successful, total, round(success_rate, 6) AS success_rate,
+       row_number() OVER (ORDER BY success_rate DESC, tag) AS rate_rank
+FROM (SELECT *, row_number() OVER (ORDER BY total DESC, tag) AS rank FROM ts) WHERE rank <= 20""",
+    "g", extra=[_TAGS_EXPLODED.replace("genres", "categories"), _TAG_COUNTS, _TAG_STATS]))
+def q_top_tags_by_rate(spark, sf):
+    t = TG.top_tags_by_rate(TG.tag_stats(FX.games(spark, sf), "categories", "success", FX_EXCLUDED), 20)
+    return t.select("tag", "unsuccessful", "successful", "total", r6("success_rate").alias("success_rate"),
+                    "rate_rank")
+
+
+@register("tag_totals", with_views("""
+SELECT count(DISTINCT tag) AS n_tags, count(*) FILTER (WHERE y = 0) AS unsuccessful_instances,
+       count(*) FILTER (WHERE y IS NULL OR y <> 0) AS successful_instances FROM te""", "g", extra=_TAGX[:1]))
+def q_tag_totals(spark, sf):
+    return TG.tag_totals(FX.games(spark, sf), "genres", "success", FX_EXCLUDED)
+
+
+@register("tag_bag_union", with_views("SELECT tag, count(*) AS n FROM te GROUP BY tag", "g", extra=_TAGX[:1]))
+def q_tag_bag_union(spark, sf):
+    return TG.tag_bag_union(FX.games(spark, sf), "genres", FX_EXCLUDED)
+
+
+QUERIES["tag_exclusion"] = QUERIES["tag_clean"]
+ORACLE["tag_exclusion"] = ORACLE["tag_clean"]
+
+
+@register("multi_hot", with_views(f"""
+SELECT game_id, (SELECT string_agg(CASE WHEN list_contains(dl, c) THEN '1' ELSE '0' END, '' ORDER BY c)
+                 FROM classes) AS bits
+FROM (SELECT game_id, {_dlist('categories')} AS dl FROM g)""", "g", extra=[
+    f"classes AS (SELECT DISTINCT unnest({_dlist('categories')}) AS c FROM g)"]))
+def q_multi_hot(spark, sf):
+    g = FX.games(spark, sf)
+    mh = TG.MultiHot("categories", "category_").fit(g)
+    return mh.transform(g).select("game_id", F.concat(*[F.col(c).cast("string") for c in mh.columns]).alias("bits"))
