@@ -693,3 +693,103 @@ def q_multi_hot(spark, sf):
     g = FX.games(spark, sf)
     mh = TG.MultiHot("categories", "category_").fit(g)
     return mh.transform(g).select("game_id", F.concat(*[F.col(c).cast("string") for c in mh.columns]).alias("bits"))
+
+# ----------------------------------------------------------------- text
+
+from prelaunch.operators import text as TXO  # noqa: E402
+
+# The short stop-word list of the text fixture queries.
+FX_STOP_WORDS = ["the", "and", "of", "to", "a", "in", "is", "it", "that", "for", "on", "with", "as",
+                 "by", "this", "are", "be", "at", "or", "an"]
+_TOKEN_SQL = r"regexp_extract_all(lower(coalesce(short_description, '') || ' ' || coalesce(detailed_features, '')), '[\p{L}\p{N}_]{2,}')"
+_TOKS = f"""toks AS (SELECT doc_id, {_TOKEN_SQL} AS raw,
+  list_filter({_TOKEN_SQL}, lambda x: NOT list_contains({FX_STOP_WORDS!r}, x)) AS t FROM d)"""
+_TERMS = """terms AS (SELECT doc_id, t || list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]) AS terms FROM toks)"""
+_TF = """tf AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(terms) AS term FROM terms) GROUP BY 1, 2)"""
+_ST = """st AS (SELECT term, count(*) AS df, sum(n) AS tf FROM tf GROUP BY term)"""
+_VOCAB = """vocab AS (
+  SELECT term, df, tf, ln((1 + nd.n) / (1 + df)) + 1 AS idf
+  FROM st, (SELECT count(*) AS n FROM d) nd WHERE df >= 10 AND df <= 0.7 * nd.n
+  ORDER BY tf DESC, term LIMIT 50)"""
+_TEXTX = [_TOKS, _TERMS, _TF, _ST, _VOCAB]
+
+
+def _tfidf() -> TXO.Tfidf:
+    return TXO.Tfidf(max_features=50, min_df=10, max_df=0.7, stop_words=FX_STOP_WORDS, ngram_max=2)
+
+
+def _dtext(df: DataFrame) -> F.Column:
+    return TXO.description_text(df)
+
+
+@register("tokenize", with_views("""
+SELECT doc_id, CAST(len(raw) AS INTEGER) AS n_tokens, md5(array_to_string(raw, ' ')) AS tokens_md5 FROM toks""",
+    "d", extra=_TEXTX[:1]))
+def q_tokenize(spark, sf):
+    from prelaunch.functions import text as TX
+    d = FX.texts(spark, sf)
+    t = TX.tokens(_dtext(d))
+    return d.select("doc_id", F.size(t).alias("n_tokens"), F.md5(F.array_join(t, " ")).alias("tokens_md5"))
+
+
+@register("stop_words", with_views("""
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 FROM toks""",
+    "d", extra=_TEXTX[:1]))
+def q_stop_words(spark, sf):
+    from prelaunch.functions import text as TX
+    d = FX.texts(spark, sf)
+    t = TX.remove_stop_words(TX.tokens(_dtext(d)), FX_STOP_WORDS)
+    return d.select("doc_id", F.size(t).alias("n_tokens"), F.md5(F.array_join(t, " ")).alias("tokens_md5"))
+
+
+@register("ngrams", with_views("""
+SELECT doc_id, CAST(len(terms) AS INTEGER) AS n_terms, md5(array_to_string(terms, '|')) AS terms_md5 FROM terms""",
+    "d", extra=_TEXTX[:2]))
+def q_ngrams(spark, sf):
+    d = FX.texts(spark, sf)
+    t = _tfidf().terms(_dtext(d))
+    return d.select("doc_id", F.size(t).alias("n_terms"), F.md5(F.array_join(t, "|")).alias("terms_md5"))
+
+
+@register("term_frequencies", with_views("SELECT term, df, tf FROM st", "d", extra=_TEXTX[:4]))
+def q_term_frequencies(spark, sf):
+    d = FX.texts(spark, sf)
+    return _tfidf().term_stats(d, _dtext(d), "doc_id").select("term", "df", F.col("tf").cast("bigint"))
+
+
+@register("vocabulary", with_views("""
+SELECT term, df, tf, round(idf, 6) AS idf, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM vocab""",
+    "d", extra=_TEXTX))
+def q_vocabulary(spark, sf):
+    d = FX.texts(spark, sf)
+    m = _tfidf()
+    n = d.count()
+    v = m.vocabulary_frame(m.term_stats(d, _dtext(d), "doc_id"), n)
+    from pyspark.sql import Window
+    return v.select("term", "df", F.col("tf").cast("bigint"), r6("idf").alias("idf"),
+                    (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("idx"))
+
+
+@register("tfidf_weights", with_views("""
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS tfidf
+FROM (SELECT tf.doc_id, tf.term, tf.n * v.idf AS w FROM tf JOIN vocab v ON tf.term = v.term)""",
+    "d", extra=_TEXTX))
+def q_tfidf_weights(spark, sf):
+    d = FX.texts(spark, sf)
+    m = _tfidf().fit(d, _dtext(d), "doc_id")
+    return m.transform_long(d, _dtext(d), "doc_id").select("doc_id", "term", r6("tfidf").alias("tfidf"))
+
+
+@register("tfidf_row_norms", with_views("""
+SELECT d.doc_id, round(coalesce(x.norm, 0.0), 6) AS l2_norm, coalesce(x.n_terms, 0) AS n_terms FROM d LEFT JOIN (
+  SELECT doc_id, sqrt(sum(power(wn, 2))) AS norm, count(*) AS n_terms FROM (
+    SELECT doc_id, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS wn
+    FROM (SELECT tf.doc_id, tf.term, tf.n * v.idf AS w FROM tf JOIN vocab v ON tf.term = v.term)) GROUP BY doc_id
+) x ON d.doc_id = x.doc_id""", "d", extra=_TEXTX))
+def q_tfidf_row_norms(spark, sf):
+    d = FX.texts(spark, sf)
+    m = _tfidf().fit(d, _dtext(d), "doc_id")
+    w = m.transform_wide(d, _dtext(d))
+    sq = sum(F.col(c) * F.col(c) for c in m.columns)
+    nz = sum((F.col(c) != 0).cast("bigint") for c in m.columns)
+    return w.select("doc_id", r6(F.sqrt(sq)).alias("l2_norm"), nz.alias("n_terms"))
