@@ -793,3 +793,146 @@ def q_tfidf_row_norms(spark, sf):
     sq = sum(F.col(c) * F.col(c) for c in m.columns)
     nz = sum((F.col(c) != 0).cast("bigint") for c in m.columns)
     return w.select("doc_id", r6(F.sqrt(sq)).alias("l2_norm"), nz.alias("n_terms"))
+
+# ----------------------------------------------------------- evaluation
+
+from prelaunch.operators import evaluate as EV  # noqa: E402
+
+
+def scored_all(spark, sf) -> DataFrame:
+    return EV.stack_results(FX.scored(spark, sf), FX.constant_scored(spark, sf))
+
+
+_ST = "st AS (SELECT model, game_id, y, proba, pred FROM s UNION ALL SELECT model, game_id, y, proba, pred FROM t)"
+_CNT = """cnt AS (SELECT model, count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp, count(*) FILTER (WHERE y = 0 AND pred = 1) AS fp,
+  count(*) FILTER (WHERE y = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE y = 0 AND pred = 0) AS tn FROM st GROUP BY model)"""
+_MET = """met AS (SELECT model, tp, fp, fn, tn,
+  coalesce(CASE WHEN tp + fp > 0 THEN tp * 1.0 / (tp + fp) END, 0.0) AS precision,
+  coalesce(CASE WHEN tp + fn > 0 THEN tp * 1.0 / (tp + fn) END, 0.0) AS recall,
+  coalesce(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) END, 0.0) AS f1 FROM cnt)"""
+_PTS = """pts AS (
+  SELECT model, score, pos, neg,
+         sum(pos) OVER (PARTITION BY model ORDER BY score DESC) AS cp, sum(neg) OVER (PARTITION BY model ORDER BY score DESC) AS cn,
+         sum(pos) OVER (PARTITION BY model) AS np, sum(neg) OVER (PARTITION BY model) AS nn
+  FROM (SELECT model, proba AS score, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg
+        FROM st GROUP BY 1, 2))"""
+_CURVE = """cv AS (
+  SELECT model, score, cp * 1.0 / (cp + cn) AS precision, CASE WHEN np > 0 THEN cp * 1.0 / np ELSE 1.0 END AS recall,
+         CASE WHEN cp - pos + cn - neg = 0 THEN 1.0 ELSE (cp - pos) * 1.0 / (cp - pos + cn - neg) END AS prev_precision,
+         CASE WHEN cp - pos + cn - neg = 0 THEN 0.0 WHEN np > 0 THEN (cp - pos) * 1.0 / np ELSE 1.0 END AS prev_recall,
+         CASE WHEN nn > 0 THEN cn * 1.0 / nn END AS fpr, CASE WHEN np > 0 THEN cp * 1.0 / np END AS tpr,
+         CASE WHEN nn > 0 THEN (cn - neg) * 1.0 / nn END AS prev_fpr, CASE WHEN np > 0 THEN (cp - pos) * 1.0 / np END AS prev_tpr,
+         np, nn
+  FROM pts)"""
+_AREAS = """areas AS (
+  SELECT model, sum((recall - prev_recall) * (precision + prev_precision) / 2) AS pr_auc,
+         CASE WHEN max(np) > 0 AND max(nn) > 0 THEN sum((fpr - prev_fpr) * (tpr + prev_tpr) / 2) END AS roc_auc
+  FROM cv GROUP BY model)"""
+_CMP = """cmp AS (SELECT met.model, precision, recall, f1, pr_auc, roc_auc FROM met JOIN areas ON met.model = areas.model)"""
+_EVX = [_ST, _CNT, _MET, _PTS, _CURVE, _AREAS, _CMP]
+
+
+@register("confusion_matrix", with_views("""
+SELECT * FROM (SELECT model, 0 AS actual, 0 AS predicted, tn AS n FROM cnt UNION ALL SELECT model, 0, 1, fp FROM cnt
+  UNION ALL SELECT model, 1, 0, fn FROM cnt UNION ALL SELECT model, 1, 1, tp FROM cnt)""", "s", "t", extra=_EVX[:2]))
+def q_confusion(spark, sf):
+    return EV.confusion(scored_all(spark, sf))
+
+
+@register("classification_metrics", with_views("""
+SELECT model, tp, fp, fn, tn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM met""",
+    "s", "t", extra=_EVX[:3]))
+def q_classification_metrics(spark, sf):
+    m = EV.classification_metrics(scored_all(spark, sf))
+    return m.select("model", "tp", "fp", "fn", "tn", *[r6(c).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@register("cumulative_by_score", with_views("""
+SELECT model, score AS proba, pos, neg, cp AS cum_pos, cn AS cum_neg, np AS "P", nn AS "N" FROM pts""",
+    "s", "t", extra=_EVX[:4]))
+def q_cumulative(spark, sf):
+    c = EV.cumulative_by_score(scored_all(spark, sf), n_buckets=16)
+    return c.select("model", "proba", "pos", "neg", "cum_pos", "cum_neg", "P", "N")
+
+
+@register("pr_curve", with_views("""
+SELECT model, score AS threshold, round(precision, 6) AS precision, round(recall, 6) AS recall FROM cv
+UNION ALL SELECT DISTINCT model, NULL, 1.0, 0.0 FROM cv""", "s", "t", extra=_EVX[:5]))
+def q_pr_curve(spark, sf):
+    c = EV.pr_curve(scored_all(spark, sf))
+    return c.select("model", "threshold", r6("precision").alias("precision"), r6("recall").alias("recall"))
+
+
+@register("roc_curve", with_views("""
+SELECT model, score AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM cv
+UNION ALL SELECT DISTINCT model, NULL, 0.0, 0.0 FROM cv""", "s", "t", extra=_EVX[:5]))
+def q_roc_curve(spark, sf):
+    c = EV.roc_curve(scored_all(spark, sf))
+    return c.select("model", "threshold", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
+
+
+@register("pr_auc", with_views("SELECT model, round(pr_auc, 6) AS pr_auc FROM areas", "s", "t", extra=_EVX[:6]))
+def q_pr_auc(spark, sf):
+    return EV.curve_areas(scored_all(spark, sf)).select("model", r6("pr_auc").alias("pr_auc"))
+
+
+@register("roc_auc", with_views("SELECT model, round(roc_auc, 6) AS roc_auc FROM areas", "s", "t", extra=_EVX[:6]))
+def q_roc_auc(spark, sf):
+    return EV.curve_areas(scored_all(spark, sf)).select("model", r6("roc_auc").alias("roc_auc"))
+
+
+_CMP_COLS = ["precision", "recall", "f1", "pr_auc", "roc_auc"]
+
+
+@register("model_comparison", with_views(
+    "SELECT model, " + ", ".join(f"round({c}, 6) AS {c}" for c in _CMP_COLS) + " FROM cmp", "s", "t", extra=_EVX))
+def q_model_comparison(spark, sf):
+    return EV.comparison(scored_all(spark, sf)).select("model", *[r6(c).alias(c) for c in _CMP_COLS])
+
+
+@register("baseline_improvement", with_views("""
+SELECT model, round(precision / (SELECT precision FROM cmp WHERE model = 'baseline'), 6) AS precision_ratio FROM cmp""",
+    "s", "t", extra=_EVX))
+def q_improvement(spark, sf):
+    return EV.improvement(EV.comparison(scored_all(spark, sf))).select(
+        "model", r6("precision_ratio").alias("precision_ratio"))
+
+
+_ROI_SQL = f"""
+SELECT model, round(precision, 6) AS precision, round(recall, 6) AS recall, round(tp, 6) AS true_positives,
+       round(fp, 6) AS false_positives,
+       round(CASE WHEN (tp + fp) * {EV.ROI_DEV_COST} > 0 THEN
+         (tp * ({EV.ROI_SUCCESS_GROSS} * (1 - {EV.ROI_STORE_CUT}) - {EV.ROI_DEV_COST})
+          + fp * ({EV.ROI_FAILURE_GROSS} * (1 - {EV.ROI_STORE_CUT}) - {EV.ROI_DEV_COST})) / ((tp + fp) * {EV.ROI_DEV_COST}) * 100
+         ELSE 0.0 END, 6) AS roi_pct
+FROM (SELECT model, precision, recall, recall * {int(EV.ROI_GAMES * EV.ROI_SUCCESS_SHARE)} AS tp,
+             CASE WHEN precision > 0 THEN recall * {int(EV.ROI_GAMES * EV.ROI_SUCCESS_SHARE)} / precision
+                  - recall * {int(EV.ROI_GAMES * EV.ROI_SUCCESS_SHARE)} ELSE 0.0 END AS fp FROM cmp)"""
+
+
+@register("roi", with_views(_ROI_SQL, "s", "t", extra=_EVX))
+def q_roi(spark, sf):
+    r = EV.roi(EV.comparison(scored_all(spark, sf)))
+    return r.select("model", *[r6(c).alias(c) for c in
+                               ("precision", "recall", "true_positives", "false_positives", "roi_pct")])
+
+
+@register("model_choice", with_views("""
+SELECT model, round(precision, 6) AS precision, round(f1, 6) AS f1 FROM cmp ORDER BY precision DESC, f1 DESC, model LIMIT 1""",
+    "s", "t", extra=_EVX))
+def q_model_choice(spark, sf):
+    return EV.choose_model(EV.comparison(scored_all(spark, sf))).select(
+        "model", r6("precision").alias("precision"), r6("f1").alias("f1"))
+
+
+@register("stack_results", with_views("""
+SELECT model, count(*) AS n_rows, round(avg(proba), 6) AS mean_proba FROM st GROUP BY model""", "s", "t", extra=_EVX[:1]))
+def q_stack_results(spark, sf):
+    return scored_all(spark, sf).groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                      r6(F.avg("proba")).alias("mean_proba"))
+
+
+@register("scalar_attach", with_views("""
+SELECT game_id, round(proba, 6) AS proba, pred FROM t""", "t"))
+def q_scalar_attach(spark, sf):
+    return FX.constant_scored(spark, sf).select("game_id", r6("proba").alias("proba"), "pred")
