@@ -936,3 +936,155 @@ def q_stack_results(spark, sf):
 SELECT game_id, round(proba, 6) AS proba, pred FROM t""", "t"))
 def q_scalar_attach(spark, sf):
     return FX.constant_scored(spark, sf).select("game_id", r6("proba").alias("proba"), "pred")
+
+# ------------------------------------------------ encoding, splits, models
+
+import uuid  # noqa: E402
+
+from prelaunch.operators import encode as EN  # noqa: E402
+from prelaunch.operators import models as MO  # noqa: E402
+from prelaunch.plans import pipeline as PL  # noqa: E402
+from prelaunch.plans.features import build_features  # noqa: E402
+from prelaunch.session import scratch_path  # noqa: E402
+
+_TRAIN_SQL = f"release_year BETWEEN {FX_TRAIN[0]} AND {FX_TRAIN[1]}"
+
+
+def _gfill(spark, sf) -> DataFrame:
+    return gy(spark, sf).withColumns({"price": S.fill_zero("price"), "achievements": S.log1p_filled("achievements")})
+
+
+@register("standard_scaling", with_views(f"""
+SELECT game_id, round((coalesce(price, 0.0) - m1) / s1, 6) AS num__price,
+       round((ln(1 + coalesce(achievements, 0)) - m2) / s2, 6) AS num__achievements
+FROM gy, (SELECT avg(coalesce(price, 0.0)) AS m1, CASE WHEN stddev_pop(coalesce(price, 0.0)) > 0 THEN stddev_pop(coalesce(price, 0.0)) ELSE 1 END AS s1,
+                 avg(ln(1 + coalesce(achievements, 0))) AS m2,
+                 CASE WHEN stddev_pop(ln(1 + coalesce(achievements, 0))) > 0 THEN stddev_pop(ln(1 + coalesce(achievements, 0))) ELSE 1 END AS s2
+          FROM gy WHERE {_TRAIN_SQL}) p""", GY))
+def q_standard_scaling(spark, sf):
+    g = _gfill(spark, sf)
+    fs = EN.fit_standard_scaler(C.train_rows(g, train_years=FX_TRAIN), ["price", "achievements"])
+    out = fs.stage.transform(g)
+    return out.select("game_id", *[r6(c).alias(c) for c in fs.outputs])
+
+
+@register("one_hot", with_views(f"""
+SELECT game_id, (SELECT string_agg(CASE WHEN (c IS NULL AND m IS NULL) OR c = m THEN '1' ELSE '0' END, ''
+                                   ORDER BY c NULLS LAST)
+                 FROM (SELECT c FROM classes ORDER BY c NULLS LAST OFFSET 1)) AS code
+FROM (SELECT game_id, release_month AS m FROM gy)""", GY, extra=[
+    f"classes AS (SELECT DISTINCT release_month AS c FROM gy WHERE {_TRAIN_SQL})"]))
+def q_one_hot(spark, sf):
+    g = gy(spark, sf)
+    oh = EN.fit_one_hot(C.train_rows(g, train_years=FX_TRAIN), ["release_month"])
+    out = oh.stage.transform(g)
+    return out.select("game_id", F.concat(*[F.col(c).cast("int").cast("string") for c in oh.outputs]).alias("code"))
+
+
+@register("stratified_split", with_views(f"""
+SELECT game_id, CASE WHEN row_number() OVER (PARTITION BY success ORDER BY u, game_id)
+                          <= floor(0.3 * count(*) OVER (PARTITION BY success) + 0.5) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT game_id, success, {hash_uniform_sql('game_id', '42')} AS u FROM g WHERE success IS NOT NULL)""", "g"))
+def q_stratified_split(spark, sf):
+    g = C.target_not_null(FX.games(spark, sf))
+    return EN.stratified_split(g, "success", "game_id", 0.3, "42", n_buckets=64).select("game_id", "split")
+
+
+@register("class_weights", with_views(f"""
+SELECT success, round((SELECT count(*) FROM gy WHERE {_TRAIN_SQL} AND success IS NOT NULL) * 1.0 / (2 * count(*)), 6) AS weight
+FROM gy WHERE {_TRAIN_SQL} AND success IS NOT NULL GROUP BY success""", GY))
+def q_class_weights(spark, sf):
+    tr = C.train_rows(gy(spark, sf), train_years=FX_TRAIN)
+    w = EN.balanced_weights(tr, "success")
+    return tr.where(F.col("success").isNotNull()).groupBy("success").agg(
+        r6(F.first(EN.weight_column("success", w))).alias("weight"))
+
+
+@register("positive_weight", with_views(f"""
+SELECT round(count(*) FILTER (WHERE success = 0) * 1.0 / count(*) FILTER (WHERE success = 1), 6) AS pos_weight
+FROM gy WHERE {_TRAIN_SQL}""", GY))
+def q_positive_weight(spark, sf):
+    tr = C.train_rows(gy(spark, sf), train_years=FX_TRAIN)
+    return tr.agg(F.count_if(F.col("success") == 0).alias("n0"), F.count_if(F.col("success") == 1).alias("n1")) \
+             .select(r6(F.col("n0") / F.col("n1")).alias("pos_weight"))
+
+
+@register("baseline_predictions", with_views(f"""
+SELECT game_id AS key, success AS y, round(p, 6) AS proba, CAST({hash_uniform_sql('game_id', '42')} < p AS INTEGER) AS pred
+FROM gy, (SELECT avg(success) AS p FROM gy WHERE {_TRAIN_SQL} AND success IS NOT NULL) b
+WHERE release_year >= {FX_TEST} AND success IS NOT NULL""", GY))
+def q_baseline_predictions(spark, sf):
+    g = C.target_not_null(gy(spark, sf))
+    p = MO.baseline_predictions(C.train_rows(g, train_years=FX_TRAIN), C.test_rows(g, test_from=FX_TEST),
+                                "success", "game_id")
+    return p.select("key", "y", r6("proba").alias("proba"), "pred")
+
+
+@register("baseline_train_metrics", with_views(f"""
+SELECT round(avg(success), 6) AS precision, 1.0 AS recall, round(2 * avg(success) / (1 + avg(success)), 6) AS f1
+FROM gy WHERE {_TRAIN_SQL} AND success IS NOT NULL""", GY))
+def q_baseline_train_metrics(spark, sf):
+    m = MO.baseline_train_metrics(C.train_rows(gy(spark, sf), train_years=FX_TRAIN), "success")
+    return m.select(r6("precision").alias("precision"), "recall", r6("f1").alias("f1"))
+
+
+@register("split_report", with_views(f"""
+SELECT split, count(*) AS rows, round(avg(success), 6) AS success_rate FROM (
+  SELECT success, CASE WHEN {_TRAIN_SQL} THEN 'train' WHEN release_year >= {FX_TEST} THEN 'test' ELSE 'none' END AS split
+  FROM gy WHERE success IS NOT NULL) WHERE split <> 'none' GROUP BY split""", GY))
+def q_split_report(spark, sf):
+    g = C.temporal_split(C.target_not_null(gy(spark, sf)), train_years=FX_TRAIN, test_from=FX_TEST)
+    from prelaunch.plans.features import FeatureSpec
+    r = PL.split_report(g, "success", FeatureSpec())
+    return r.select("split", "rows", r6("success_rate").alias("success_rate"))
+
+
+@register("feature_table_roundtrip", with_views("""
+SELECT game_id, price, release_year FROM gy""", GY))
+def q_feature_table_roundtrip(spark, sf):
+    from prelaunch.sources.sinks import read_features, write_features
+    path = scratch_path(spark, f"features-{uuid.uuid4().hex}")
+    write_features(gy(spark, sf).select("game_id", "price", "release_year"), path, "release_year")
+    return read_features(spark, path).select("game_id", "price", F.col("release_year").cast("int"))
+
+
+def _features(spark, sf):
+    return build_features(FX.games(spark, sf), key="game_id")
+
+
+@register("feature_build")
+def q_feature_build(spark, sf):
+    f, spec = _features(spark, sf)
+    return f.select("game_id", *spec.numerical_features, *spec.categorical_features)
+
+
+def _run(spark, sf, models, **kw):
+    f, spec = _features(spark, sf)
+    return PL.train_and_evaluate(f, spec, "game_id", FX_TRAIN, FX_TEST, models=models, **kw)
+
+
+@register("logistic_regression")
+def q_logistic(spark, sf):
+    return _run(spark, sf, ("logistic_regression",)).metrics
+
+
+@register("random_forest")
+def q_forest(spark, sf):
+    return _run(spark, sf, ("random_forest",), forest_trees=100, forest_depth=20).metrics
+
+
+@register("gradient_boosting")
+def q_boosting(spark, sf):
+    # 20 rounds keep the verify run short; the library default is 200.
+    return _run(spark, sf, ("gradient_boosting",), boost_rounds=20).metrics
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    return _run(spark, sf, ("random_forest",), forest_trees=50, forest_depth=10).importances
+
+
+@register("train_evaluate")
+def q_train_evaluate(spark, sf):
+    r = _run(spark, sf, ("baseline", "logistic_regression"))
+    return r.comparison.select("model", *[r6(c).alias(c) for c in _CMP_COLS])
