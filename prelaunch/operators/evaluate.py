@@ -62,8 +62,11 @@ def cumulative_by_score(df: DataFrame, group: str = "model", y: str = "y", score
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges = pts.agg(F.percentile_approx(F.col(score).cast("double"), probs, 10000)).first()[0] or []
     splits = [float("-inf")] + sorted({float(e) for e in edges if e is not None}) + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol=score, outputCol="bucket", handleInvalid="keep").transform(
-        pts.withColumn(score, F.col(score).cast("double")))
+    pts = pts.withColumn(score, F.col(score).cast("double"))
+    if len(splits) >= 3:
+        b = Bucketizer(splits=splits, inputCol=score, outputCol="bucket", handleInvalid="keep").transform(pts)
+    else:  # one range: too few distinct scores to split
+        b = pts.withColumn("bucket", F.lit(0.0))
     down = Window.partitionBy(group, "bucket").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
     local = b.withColumns({"lp": F.sum("pos").over(down), "ln": F.sum("neg").over(down)})
     tot = b.groupBy(group, "bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
