@@ -46,12 +46,13 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type", "p_brand"])
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    supp = (read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    supplier = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    supp = (supplier
             .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
             .select("s_suppkey", "r_name"))
     lines = (li.join(broadcast_if_small(part), F.col("l_partkey") == F.col("p_partkey"), "left")
-               .join(broadcast_if_small(supp), F.col("l_suppkey") == F.col("s_suppkey"), "left"))
+               .join(broadcast_if_small(supp, size_of=supplier), F.col("l_suppkey") == F.col("s_suppkey"), "left"))
     return lines.groupBy("l_orderkey").agg(
         F.sum("l_quantity").cast("bigint").alias("estimated_owners"),
         F.count(F.lit(1)).alias("achievements"),

@@ -19,15 +19,20 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
+                       size_of: DataFrame | None = None) -> DataFrame:
     """Hint a broadcast when the estimated size is below ``max_bytes``.
 
     The estimate comes from the scanned file sizes scaled by the projected
     columns and filter selectivity, the same statistic the planner's own
     ``autoBroadcastJoinThreshold`` check uses. Without an estimate no hint
     is given and the planner (with AQE's runtime sizes) decides.
+
+    ``size_of`` checks another frame instead: for a dimension built by
+    many-to-one lookups (supplier -> nation -> region) the row count is
+    that of its base scan, while the optimizer multiplies join inputs.
     """
-    size = estimated_bytes(df)
+    size = estimated_bytes(size_of if size_of is not None else df)
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
     return df
