@@ -1088,3 +1088,61 @@ def q_feature_importance(spark, sf):
 def q_train_evaluate(spark, sf):
     r = _run(spark, sf, ("baseline", "logistic_regression"))
     return r.comparison.select("model", *[r6(c).alias(c) for c in _CMP_COLS])
+
+# ------------------------------------------------ sources and sinks round trips
+
+
+@register("csv_scan", with_views("""
+SELECT game_id, price, success, genres FROM g""", "g"))
+def q_csv_scan(spark, sf):
+    from prelaunch.sources.games import read_games
+    path = scratch_path(spark, f"games-csv-{uuid.uuid4().hex}")
+    FX.games(spark, sf).write.option("header", True).csv(path)
+    return read_games(spark, path).select("game_id", "price", "success", "genres")
+
+
+@register("results_roundtrip", with_views("""
+SELECT model, tp, fp, fn, tn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM met""",
+    "s", "t", extra=_EVX[:3]))
+def q_results_roundtrip(spark, sf):
+    from prelaunch.sources.sinks import read_results, write_results
+    path = scratch_path(spark, f"results-{uuid.uuid4().hex}")
+    write_results({"metrics": EV.classification_metrics(scored_all(spark, sf))}, path)
+    m = read_results(spark, path, ["metrics"])["metrics"]
+    return m.select("model", "tp", "fp", "fn", "tn", *[r6(c).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@register("summary_roundtrip", ORACLE["summary_stats"])
+def q_summary_roundtrip(spark, sf):
+    from prelaunch.sources.sinks import write_summary
+    path = scratch_path(spark, f"summary-{uuid.uuid4().hex}")
+    write_summary(QUERIES["summary_stats"](spark, sf), path)
+    s = spark.read.json(path)
+    return s.select("total_games", "success_rate", "date_range", "class_imbalance_ratio",
+                    "features_with_missing_data", "temporal_decline")
+
+
+@register("tfidf_fit_subset", with_views("""
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS tfidf
+FROM (SELECT tf.doc_id, tf.term, tf.n * v.idf AS w FROM tf JOIN vocab_en v ON tf.term = v.term)""",
+    "d", extra=_TEXTX[:3] + ["""st_en AS (SELECT term, count(*) AS df, sum(n) AS tf FROM tf
+      WHERE doc_id IN (SELECT doc_id FROM d WHERE lang = 'en') GROUP BY term)""", """vocab_en AS (
+  SELECT term, df, tf, ln((1 + nd.n) / (1 + df)) + 1 AS idf
+  FROM st_en, (SELECT count(*) AS n FROM d WHERE lang = 'en') nd WHERE df >= 10 AND df <= 0.7 * nd.n
+  ORDER BY tf DESC, term LIMIT 50)"""]))
+def q_tfidf_fit_subset(spark, sf):
+    d = FX.texts(spark, sf)
+    en = d.where(F.col("lang") == "en")
+    m = _tfidf().fit(en, _dtext(en))
+    return m.transform_long(d, _dtext(d), "doc_id").select("doc_id", "term", r6("tfidf").alias("tfidf"))
+
+
+_CORR_LONG_BODY = _corr_sql().rsplit("\nSELECT * FROM (", 1)[1][:-1]
+
+
+@register("correlation_wide", with_views("SELECT var_a, " + ", ".join(
+    f"max(CASE WHEN var_b = '{b}' THEN corr END) AS {b}" for b in _CORR_VARS) + " FROM corr_long GROUP BY var_a",
+    GY, extra=[_GE, "corr_long AS (" + _CORR_LONG_BODY + ")"]))
+def q_correlation_wide(spark, sf):
+    w = P.correlation_wide(gy_eda(spark, sf), _CORR_VARS)
+    return w.select("var_a", *[r6(c).alias(c) for c in _CORR_VARS])

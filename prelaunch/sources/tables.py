@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +14,9 @@ def require_path(path: str) -> str:
     Only local paths are probed here; remote URIs are left to the reader,
     whose analysis error already names the missing path.
     """
-    if "://" not in path and not os.path.exists(path):
+    u = urlparse(path)
+    local = u.path if u.scheme == "file" else (path if u.scheme == "" else None)
+    if local is not None and not any(ch in local for ch in "*?[") and not os.path.exists(local):
         raise FileNotFoundError(f"input not found: {path}")
     return path
 
