@@ -54,7 +54,9 @@ def train_and_evaluate(features: DataFrame, spec: FeatureSpec, key: str,
     cols = spec.numerical_features + spec.categorical_features
     C.leakage_guard(cols)
     data = C.temporal_split(C.target_not_null(features, label), spec.temporal_column, train_years, test_from)
-    data = data.select(key, F.col(label).cast("double").alias("label"), "split", *cols)
+    # One lineage cut: every fit below (scaler, categories, weights, models)
+    # reads this table instead of re-deriving the features.
+    data = _materialise(data.select(key, F.col(label).cast("double").alias("label"), "split", *cols))
     train = data.where(F.col("split") == "train")
     test = data.where(F.col("split") == "test")
 
@@ -65,10 +67,10 @@ def train_and_evaluate(features: DataFrame, spec: FeatureSpec, key: str,
     weights = E.balanced_weights(train, "label")
     pos_w = E.positive_weight(train, "label")
     keep = [key, "label", "features"]
-    train_v = _materialise(prep.transform(train).select(*keep).withColumns({
+    train_v = prep.transform(train).select(*keep).withColumns({
         "weight": E.weight_column("label", weights),
-        "pos_weight": E.weight_column("label", {1.0: pos_w, 0.0: 1.0})}))
-    test_v = _materialise(prep.transform(test).select(*keep))
+        "pos_weight": E.weight_column("label", {1.0: pos_w, 0.0: 1.0})}).persist(StorageLevel.MEMORY_AND_DISK)
+    test_v = prep.transform(test).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
 
     preds, metric_rows, imp, saved = [], [], None, None
     if "baseline" in models:

@@ -1049,7 +1049,8 @@ def q_feature_table_roundtrip(spark, sf):
 
 
 def _features(spark, sf):
-    return build_features(FX.games(spark, sf), key="game_id")
+    # G is a join + aggregate view; materialise it once for the fits.
+    return build_features(PL._materialise(FX.games(spark, sf)), key="game_id")
 
 
 @register("feature_build")
