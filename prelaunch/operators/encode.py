@@ -112,8 +112,11 @@ def feature_names(numeric: FittedStage, categorical: FittedStage) -> list[str]:
     return numeric.names + categorical.names
 
 
+ROWS_PER_BUCKET = 200_000
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float = 0.3,
-                     seed: str = "42", n_buckets: int = 1024) -> DataFrame:
+                     seed: str = "42", n_buckets: int | None = None) -> DataFrame:
     """Exact stratified random split: adds ``split`` in {train, test} (SPL2, WIN3).
 
     Rows are ordered per class by a hash uniform of (key, seed) — the same
@@ -122,7 +125,15 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     evenly over ``n_buckets`` ranges; the per-(class, bucket) counts (a
     bounded table) locate each class's cut, and only the one bucket per
     class that straddles it is ranked with a window. No global sort.
+
+    Without ``n_buckets`` the count grows with the largest class (about
+    ``ROWS_PER_BUCKET`` rows per bucket, at least 64), so the one window
+    task stays the same size at any scale; the class counts are one small
+    aggregate.
     """
+    if n_buckets is None:
+        largest = df.groupBy(label).count().agg(F.max("count")).first()[0] or 0
+        n_buckets = int(min(1 << 22, max(64, math.ceil(largest / ROWS_PER_BUCKET))))
     u = hash_uniform(key, seed)
     d = df.withColumn("__u", u).withColumn("__b", F.floor(F.col("__u") * n_buckets).cast("int"))
     counts = d.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("n")).collect()

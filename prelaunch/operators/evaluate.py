@@ -9,7 +9,7 @@ Curves (WIN1) need cumulative counts in descending score order. A bare
 1. distinct scores per group with positive/negative counts (partial agg);
 2. balanced score ranges from approximate quantiles of those scores;
 3. running sums inside each (group, range) window — each range holds about
-   1/n_buckets of the distinct scores;
+   1/n_buckets of the distinct scores (n_buckets grows with their number);
 4. per-range totals (groups x n_buckets rows, broadcast) give each range's
    offset; offset + running sum is the exact global cumulative count.
 Trapezoid areas then need no lag: the previous curve point of a score is
@@ -18,13 +18,17 @@ its cumulative count minus its own counts.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prelaunch.plans.joins import broadcast_if_small
 
-N_BUCKETS = 256
+N_BUCKETS = None          # adaptive: about SCORES_PER_BUCKET distinct scores per range
+SCORES_PER_BUCKET = 500_000
+MAX_BUCKETS = 4096
 
 
 def _counts(df: DataFrame, group: str, y: str, pred: str) -> DataFrame:
@@ -55,10 +59,18 @@ def classification_metrics(df: DataFrame, group: str = "model", y: str = "y", pr
 
 
 def cumulative_by_score(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba",
-                        n_buckets: int = N_BUCKETS) -> DataFrame:
-    """Per (group, distinct score): pos, neg, cumulative pos/neg from the top, totals (WIN1)."""
+                        n_buckets: int | None = N_BUCKETS) -> DataFrame:
+    """Per (group, distinct score): pos, neg, cumulative pos/neg from the top, totals (WIN1).
+
+    Without ``n_buckets`` the range count follows the number of distinct
+    scores (one approximate count), bounded by ``MAX_BUCKETS`` so the
+    offset table stays a proven-small broadcast.
+    """
     yy = F.col(y)
     pts = df.groupBy(group, score).agg(F.count_if(yy == 1).alias("pos"), F.count_if(yy == 0).alias("neg"))
+    if n_buckets is None:
+        distinct = df.agg(F.approx_count_distinct(score)).first()[0] or 0
+        n_buckets = int(min(MAX_BUCKETS, max(16, math.ceil(distinct / SCORES_PER_BUCKET))))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges = pts.agg(F.percentile_approx(F.col(score).cast("double"), probs, 10000)).first()[0] or []
     splits = [float("-inf")] + sorted({float(e) for e in edges if e is not None}) + [float("inf")]
