@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,11 +32,18 @@ SCORES_PER_BUCKET = 500_000
 MAX_BUCKETS = 4096
 
 
-def _counts(df: DataFrame, group: str, y: str, pred: str) -> DataFrame:
+def _n(cond, weight: str | None) -> F.Column:
+    """Rows (or summed ``weight``) meeting ``cond``."""
+    if weight is None:
+        return F.count_if(cond)
+    return F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0)).cast("bigint")
+
+
+def _counts(df: DataFrame, group: str, y: str, pred: str, weight: str | None = None) -> DataFrame:
     yy, pp = F.col(y), F.col(pred)
     return df.groupBy(group).agg(
-        F.count_if((yy == 1) & (pp == 1)).alias("tp"), F.count_if((yy == 0) & (pp == 1)).alias("fp"),
-        F.count_if((yy == 1) & (pp == 0)).alias("fn"), F.count_if((yy == 0) & (pp == 0)).alias("tn"))
+        _n((yy == 1) & (pp == 1), weight).alias("tp"), _n((yy == 0) & (pp == 1), weight).alias("fp"),
+        _n((yy == 1) & (pp == 0), weight).alias("fn"), _n((yy == 0) & (pp == 0), weight).alias("tn"))
 
 
 def confusion(df: DataFrame, group: str = "model", y: str = "y", pred: str = "pred") -> DataFrame:
@@ -47,9 +55,13 @@ def confusion(df: DataFrame, group: str = "model", y: str = "y", pred: str = "pr
     return c.select(group, cells.alias("c")).select(group, "c.*")
 
 
-def classification_metrics(df: DataFrame, group: str = "model", y: str = "y", pred: str = "pred") -> DataFrame:
-    """Precision, recall, F1 per group; 0 where a denominator is 0 (EVA2)."""
-    c = _counts(df, group, y, pred)
+def classification_metrics(df: DataFrame, group: str = "model", y: str = "y", pred: str = "pred",
+                           weight: str | None = None) -> DataFrame:
+    """Precision, recall, F1 per group; 0 where a denominator is 0 (EVA2).
+
+    ``weight`` names a row-count column when ``df`` is already condensed.
+    """
+    c = _counts(df, group, y, pred, weight)
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     zero = F.lit(0.0)
     return c.select(group, "tp", "fp", "fn", "tn",
@@ -59,7 +71,7 @@ def classification_metrics(df: DataFrame, group: str = "model", y: str = "y", pr
 
 
 def cumulative_by_score(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba",
-                        n_buckets: int | None = N_BUCKETS) -> DataFrame:
+                        n_buckets: int | None = N_BUCKETS, weight: str | None = None) -> DataFrame:
     """Per (group, distinct score): pos, neg, cumulative pos/neg from the top, totals (WIN1).
 
     Without ``n_buckets`` the range count follows the number of distinct
@@ -67,7 +79,7 @@ def cumulative_by_score(df: DataFrame, group: str = "model", y: str = "y", score
     offset table stays a proven-small broadcast.
     """
     yy = F.col(y)
-    pts = df.groupBy(group, score).agg(F.count_if(yy == 1).alias("pos"), F.count_if(yy == 0).alias("neg"))
+    pts = df.groupBy(group, score).agg(_n(yy == 1, weight).alias("pos"), _n(yy == 0, weight).alias("neg"))
     if n_buckets is None:
         distinct = df.agg(F.approx_count_distinct(score)).first()[0] or 0
         n_buckets = int(min(MAX_BUCKETS, max(16, math.ceil(distinct / SCORES_PER_BUCKET))))
@@ -126,14 +138,15 @@ def roc_curve(df: DataFrame, group: str = "model", y: str = "y", score: str = "p
     return curve.unionByName(start)
 
 
-def curve_areas(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba") -> DataFrame:
+def curve_areas(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba",
+                weight: str | None = None) -> DataFrame:
     """Trapezoid areas: anchored PR-AUC (EVA4) and ROC-AUC (EVA6).
 
     The PR area integrates the curve including its (0, 1) anchor, as the
     usual precision_recall_curve + auc pairing does; for a constant score
     it equals (1 + prevalence) / 2.
     """
-    pts = _curve_points(cumulative_by_score(df, group, y, score))
+    pts = _curve_points(cumulative_by_score(df, group, y, score, weight=weight))
     pr = (F.col("recall") - F.col("prev_recall")) * (F.col("precision") + F.col("prev_precision")) / 2
     roc = (F.col("fpr") - F.col("prev_fpr")) * (F.col("tpr") + F.col("prev_tpr")) / 2
     return pts.groupBy(group).agg(F.sum(pr).alias("pr_auc"),
@@ -142,9 +155,16 @@ def curve_areas(df: DataFrame, group: str = "model", y: str = "y", score: str =
 
 def comparison(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba",
                pred: str = "pred") -> DataFrame:
-    """One row per group: precision, recall, f1, pr_auc, roc_auc (EVA7)."""
-    m = classification_metrics(df, group, y, pred).select(group, "precision", "recall", "f1")
-    a = curve_areas(df, group, y, score)
+    """One row per group: precision, recall, f1, pr_auc, roc_auc (EVA7).
+
+    The predictions are read once: condensed to (group, score, y, pred,
+    rows) — at most four rows per distinct score — and cached; metrics and
+    curves both come from that table.
+    """
+    base = (df.groupBy(group, score, y, pred).agg(F.count(F.lit(1)).alias("__rows"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    m = classification_metrics(base, group, y, pred, weight="__rows").select(group, "precision", "recall", "f1")
+    a = curve_areas(base, group, y, score, weight="__rows")
     return m.join(broadcast_if_small(a), group)
 
 
