@@ -1 +1,8 @@
 """Operators for preparing training text: one module per operator."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so workers need no copy of it on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
