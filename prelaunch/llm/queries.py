@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from prelaunch.llm import decontaminate
+from prelaunch.llm import decontaminate, ngram_join, token_counts
 
 QUERIES = {
+    "op7_token_counts": token_counts.op7_token_counts,
+    "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 

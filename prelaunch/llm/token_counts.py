@@ -37,7 +37,8 @@ from prelaunch.llm.words import span_hash
 LIMIT = 2048
 CHUNK = 256
 SLICE_CHARS = 2 << 20
-MAX_STATES = 40_000
+MAX_STATES = 120_000
+MAX_WORDS = 1 << 20           # counted words that are kept from slice to slice
 
 # Character classes. T: s t m d, which end a contraction at once; E, R, V, LL: the letters of 're 've 'll.
 SPACE, NUMBER, OTHER, APOS, T, E, R, V, LL, LETTER = range(10)
@@ -173,12 +174,30 @@ class Merger:
     def reset(self) -> None:
         self.states: list[tuple] = []
         self.number: dict[tuple, int] = {}
-        size = 1024
-        self.next = np.full((size, 256), -1, np.int32)
-        self.out = np.zeros((size, 256), np.int8)
-        self.last = np.full((size, 256), -128, np.int8)
+        self._tables(1024, 32)
+        self.column = np.full(256, -1, np.int32)                      # bytes get columns as they are first read
+        self.bytes: list[int] = []
         self.state_of(((), (-1,), (0,)))
 
+    def _tables(self, states: int, width: int) -> None:
+        """Empty transition tables; what is already there moves into them."""
+        old = (self.next, self.out, self.last) if getattr(self, "states", None) else ()
+        self.next = np.full((states, width), -1, np.int32)
+        self.out = np.zeros((states, width), np.int8)
+        self.last = np.full((states, width), -128, np.int8)
+        for a, b in zip(old, (self.next, self.out, self.last)):
+            b[: a.shape[0], : a.shape[1]] = a
+
+    def columns(self, raw: np.ndarray) -> np.ndarray:
+        """The table column of each byte."""
+        for b in np.flatnonzero(np.bincount(raw, minlength=256)).tolist():
+            if self.column[b] < 0:
+                self.column[b] = len(self.bytes)
+                self.bytes.append(b)
+        if len(self.bytes) > self.next.shape[1]:
+            self._tables(len(self.next), min(256, len(self.bytes) + 32))
+        return self.column[raw]
+
     def merge(self, symbols) -> list[int]:
         """Plain merging by rank of a few symbols."""
         s = list(symbols)
@@ -198,7 +217,7 @@ class Merger:
             return True
         known = self.compatible_cache.get((a, b))
         if known is None:
-            if len(self.compatible_cache) > 2_000_000:
+            if len(self.compatible_cache) > 500_000:
                 self.compatible_cache.clear()
             known = self.compatible_cache[a, b] = self.merge(self.symbols[a] + self.symbols[b]) == [a, b]
         return known
@@ -209,9 +228,7 @@ class Merger:
             i = self.number[key] = len(self.states)
             self.states.append(key)
             if i == len(self.next):
-                self.next = np.concatenate([self.next, np.full_like(self.next, -1)])
-                self.out = np.concatenate([self.out, np.zeros_like(self.out)])
-                self.last = np.concatenate([self.last, np.full_like(self.last, -128)])
+                self._tables(2 * i, self.next.shape[1])
         return i
 
     def _read(self, key: tuple, symbol: int) -> tuple[int, int, tuple[int, ...]]:
@@ -219,29 +236,35 @@ class Merger:
         suffix, lasts, counts = key
         for k in range(len(suffix) + 1):                              # longest candidate first
             s = suffix[k:] + (symbol,)
-            t = self.tokens.get(s)
+            t = self.tokens.get(s) if lasts[k] is not None else None
             if t is not None and self.compatible(lasts[k], t):
                 return t, counts[k] + 1, suffix + (symbol,)
         raise AssertionError("a single symbol is always a token")
 
-    def compile_inner(self, state: int, byte: int) -> None:
+    def compile_inner(self, state: int, column: int) -> None:
         key = self.states[state]
-        token, count, suffix = self._read(key, self.inner[byte])
+        token, count, suffix = self._read(key, self.inner[self.bytes[column]])
         lasts, counts = (*key[1], token), (*key[2], count)
         k = 0
         while k < len(suffix) and suffix[k:] not in self.prefixes:
             k += 1
-        new = (suffix[k:], lasts[k:], tuple(c - count for c in counts[k:]))
-        self.next[state, byte] = self.state_of(new) if len(self.states) < 2 ** 31 else -1
-        self.out[state, byte] = count
-
-    def compile_last(self, state: int, byte: int) -> None:
-        self.last[state, byte] = self._read(self.states[state], self.final[byte])[1]
+        suffix, lasts, counts = suffix[k:], list(lasts[k:]), [c - count for c in counts[k:]]
+        for j in range(1, len(suffix)):
+            if suffix[j:] not in self.prefixes:                       # no token can begin here any more
+                lasts[j], counts[j] = None, 0
+        new = (suffix, tuple(lasts), tuple(counts))
+        to = self.state_of(new)
+        self.next[state, column] = to
+        self.out[state, column] = count
+
+    def compile_last(self, state: int, column: int) -> None:
+        self.last[state, column] = self._read(self.states[state], self.final[self.bytes[column]])[1]
 
     def count(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens of the byte spans; all spans take their i-th byte together."""
         if len(self.states) > MAX_STATES:
             self.reset()
+        raw = self.columns(raw)
         length = ends - starts
         order = np.argsort(-length, kind="stable")
         at, size = starts[order], length[order]
@@ -308,6 +331,8 @@ class Counter:
         check_spec(spec)
         self.merger = Merger(spec)
         self.special = [t["content"] for t in spec["added_tokens"]]
+        self.words = np.zeros(0, np.uint64)                           # sorted hashes of counted words
+        self.tokens = np.zeros(0, np.int32)
 
     def counts(self, texts: list[str]) -> np.ndarray:
         out = np.zeros(len(texts), np.int64)
@@ -340,11 +365,28 @@ class Counter:
             return np.zeros(len(parts), np.int64)
         row = np.searchsorted(np.cumsum(sizes), starts, "right")
         s, e = at[starts], at[ends]
-        # one walk for each distinct word of the slice
-        _, some, back = np.unique(span_hash(raw, s, e), return_index=True, return_inverse=True)
-        tokens = self.merger.count(raw, s[some], e[some])[back]
+        words, some, back = np.unique(span_hash(raw, s, e), return_index=True, return_inverse=True)
+        tokens = self._walk(words, raw, s[some], e[some])[back]
         return np.bincount(row, tokens, minlength=len(parts)).astype(np.int64)
 
+    def _walk(self, words: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Token counts of distinct words (sorted hashes); each new word walks through the merger once."""
+        out = np.zeros(len(words), np.int64)
+        at = np.searchsorted(self.words, words)
+        known = np.zeros(len(words), bool)
+        inside = at < len(self.words)
+        known[inside] = self.words[at[inside]] == words[inside]
+        out[known] = self.tokens[at[known]]
+        new = ~known
+        if new.any():
+            out[new] = self.merger.count(raw, starts[new], ends[new])
+            if len(self.words) + int(new.sum()) > MAX_WORDS:
+                self.words, self.tokens = words, out.astype(np.int32)
+            else:
+                self.words = np.insert(self.words, at[new], words[new])
+                self.tokens = np.insert(self.tokens, at[new], out[new].astype(np.int32))
+        return out
+
 
 def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit of every row of ``docs`` (doc_id, text)."""
