@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from prelaunch.llm import decontaminate, ngram_join, token_counts
+from prelaunch.llm import decontaminate, language_id, ngram_join, surrogates, token_counts, toxicity
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_pii": surrogates.op8_pii,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
