@@ -222,19 +222,18 @@ def similarity_classes(docs: DataFrame, k: int = K, threshold: float = THRESHOLD
     dealt = dealt.withColumn("own", own).select(
         "w_class", "w_group", "w_sig", "own",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("w_class", "w_sig", "own", F.xxhash64(
-        "w_group", F.least("own", "other"), F.greatest("own", "other")).alias("task"))
+    dealt = dealt.select("w_class", "w_group", "w_sig", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     # the shingles come from one text of each candidate class
     source = (texts.where("w_class is not null").groupBy("w_class").agg(F.min("doc_id").alias("doc_id"))
               .join(groups.select("w_class"), "w_class", "left_semi"))
     payload = _shingles_of(docs, source, k)
-    work = dealt.join(payload, "w_class").select("task", "own", "w_class", "w_sig", "w_sh")
+    work = dealt.join(payload, "w_class").select("w_group", "low", "high", "own", "w_class", "w_sig", "w_sh")
     needed = needed_matches(step, bands * rows, threshold, tolerance)
 
     def run(table: pa.Table) -> pa.Table:
         return link_task(table, bands, rows, step, threshold, needed)
 
-    found = shared_checkpoint(work.groupBy("task").applyInArrow(run, "w_class binary, n_links long, w_to binary"))
+    found = shared_checkpoint(work.groupBy("w_group", "low", "high").applyInArrow(run, "w_class binary, n_links long, w_to binary"))
     counts = found.groupBy("w_class").agg(F.sum("n_links").alias("n_links")).where("n_links > 0")
     roots = components(found.where("n_links > 0").select(F.col("w_class").alias("u"), F.col("w_to").alias("v")))
     return texts, counts.join(roots.select(F.col("node").alias("w_class"), F.col("root").alias("w_root")), "w_class")

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from prelaunch.llm import decontaminate, language_id, ngram_join, surrogates, token_counts, toxicity
+from prelaunch.llm import (decontaminate, html_text, language_id, mixing, ngram_join, surrogates, token_counts, topk_search, toxicity,
+                           url_reputation)
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
+    "op2_url_filter": url_reputation.op2_url_filter,
+    "op3_topk": topk_search.op3_topk,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_html_extraction": html_text.op5_html_extraction,
+    "op6_mixing": mixing.op6_mixing,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_pii": surrogates.op8_pii,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 
+# Learned, hashed and wrapped results (1, 4, 5, 7, 8, 9) are tested against brute force or held-out rows instead.
 ORACLE = {
+    "op2_url_filter": url_reputation.ORACLE_SQL,
+    "op3_topk": topk_search.ORACLE_SQL,
+    "op6_mixing": mixing.ORACLE_SQL,
     "op10_decontamination": decontaminate.ORACLE_SQL,
 }
