@@ -1,6 +1,6 @@
 """Surrogates for personal data: keyed, type-consistent replacements, in DataFrame functions only.
 
-Entities are found by one regular expression: e-mail addresses, IPv4 addresses, phone numbers, payment cards (Luhn-checked),
+Entities are found by one regular expression (in texts that have a digit, ``@``, ``=``, ``:`` or a title at all): e-mail addresses, IPv4 addresses, phone numbers, payment cards (Luhn-checked),
 IBANs, social-security numbers, secrets (assigned passwords and tokens, access keys) and person names after a title. Each
 has a canonical form (case, punctuation and spacing removed), so variants of one entity share one surrogate
 (coreference). The surrogate is drawn from a SHA-512 stream of key, type, canonical form and attempt:
@@ -56,18 +56,26 @@ ALPHABETS = {"upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": "abcdefghijklmnopqr
 
 _NAME = r"\p{Lu}\p{Ll}+(?:[-' ]\p{Lu}\p{Ll}+){0,2}"
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
-# One alternative a type; every one begins at a boundary, so no position is tried twice.
-PATTERNS = {
-    "email": r"(?<![\p{L}\d._%+-])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*+)@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}",
-    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key))\s{0,2}[=:]\s{0,2}\"?[A-Za-z0-9_/+.-]{6,128}\"?|\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
-    "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+_TITLE_START = "[" + "".join(sorted({t[0] for ts in TITLES.values() for t in ts})) + "]"
+# What begins with a digit, + or (.
+NUMBERS = {
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d.-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\d)",
     "phone": r"(?<![\d.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.+])\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
-    "name": rf"\b(?:{_TITLE})\b\.? {_NAME}",
 }
-ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# What begins a word.
+WORDS = {
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}",
+    "secret": r"(?=[PpSsTtAa])(?:(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}\"?[A-Za-z0-9_/+.-]{6,128}\"?|(?:AKIA|ASIA)[0-9A-Z]{16}\b)",
+    "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "name": rf"(?={_TITLE_START})(?:{_TITLE})\b\.? {_NAME}",
+}
+# Each branch is tried only where its first character fits, and words only from their beginning.
+ENTITY = (rf"(?=[0-9+(])(?:{'|'.join(NUMBERS.values())})"
+          rf"|(?=[\p{{L}}\d])(?<![\p{{L}}\d._%+-])(?:{'|'.join(WORDS.values())})")
+# Every entity has one of these characters, or a title.
+HINT = rf"[0-9@=:]|(?={_TITLE_START})(?<!\p{{L}})(?:{_TITLE})\b"
 
 
 def _type_of(e: Column) -> Column:
@@ -230,7 +238,7 @@ def _is_entity(e: Column, kind: Column) -> Column:
 
 def _found(docs: DataFrame) -> DataFrame:
     """``docs`` with w_found: the entities of the text, in order, as (kind, canon, mention)."""
-    mentions = F.regexp_extract_all(F.col("text"), F.lit(ENTITY), F.lit(0))
+    mentions = F.when(F.col("text").rlike(HINT), F.regexp_extract_all(F.col("text"), F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     typed = F.transform(mentions, lambda e: F.struct(_type_of(e).alias("kind"), e.alias("mention")))
     return docs.withColumn("w_found", F.transform(typed, lambda x: F.struct(
         F.when(_is_entity(x["mention"], x["kind"]), x["kind"]).alias("kind"),
@@ -245,7 +253,8 @@ def distinct_entities(docs: DataFrame) -> DataFrame:
 
 def redrawn_entities(entities: DataFrame, key: str, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """(kind, canon, attempt > 0) of the entities whose first surrogates collide."""
-    current = shared_checkpoint(entities.withColumn("attempt", F.lit(0)))
+    entities = shared_checkpoint(entities)
+    current = entities.withColumn("attempt", F.lit(0))
     for _ in range(max_attempts):
         drawn = current.withColumn("drawn", F.element_at(surrogates(F.array(
             with_stream(F.col("mention"), F.col("kind"), F.col("canon"), F.col("attempt"), key))), 1))
