@@ -6,6 +6,7 @@ calls back into Python per row.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -27,7 +28,12 @@ def strip_py(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), f"^[{PY_WHITESPACE}]+|[{PY_WHITESPACE}]+$", "")
 
 
-def parse_date(c: Column | str, formats: tuple[str, ...] = ("yyyy-MM-dd",)) -> Column:
+# Date forms of catalogue exports, tried in order.
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd", "MMM d, yyyy", "d MMM, yyyy", "MMMM d, yyyy",
+                "MM/dd/yyyy", "MMM yyyy")
+
+
+def parse_date(c: Column | str, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
     """Text -> timestamp, invalid or impossible dates -> null (SCA5).
 
     Timestamp columns pass through. Each format is tried in order;
@@ -117,8 +123,43 @@ def lookup(code: Column | str, table: dict[str, str]) -> Column:
 
 
 def sanitize_name(name: str, prefix: str = "") -> str:
-    """Column alias for a tag or term: blanks become underscores (SCA19)."""
-    return f"{prefix}{name.replace(' ', '_')}"
+    """Column alias for a tag or term: blanks become underscores (SCA19).
+
+    Dots and backticks, which column references give a meaning, too.
+    """
+    return prefix + re.sub(r"[ .`]", "_", name)
+
+
+def unique_names(names: list[str], prefix: str = "", taken: list[str] | None = None) -> dict[str, str]:
+    """Name -> column alias, distinct even without regard to case.
+
+    An alias that an earlier name or ``taken`` column has gets ``_2``, ``_3``...
+    """
+    used = {t.lower() for t in taken or []}
+    out: dict[str, str] = {}
+    for name in names:
+        base = alias = sanitize_name(name, prefix)
+        n = 1
+        while alias.lower() in used:
+            n += 1
+            alias = f"{base}_{n}"
+        used.add(alias.lower())
+        out[name] = alias
+    return out
+
+
+def quoted(name: str) -> str:
+    """A column name as a reference that dots and blanks cannot break."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def hash_uniform(key, seed: str) -> F.Column:
+    """Deterministic uniform in [0, 1) from md5(key || '#' || seed).
+
+    Identical in every engine and for any partitioning, unlike ``rand``.
+    """
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit("#" + seed)))
+    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") / 4294967296.0
 
 
 def pct_difference(a: Column | str, b: Column | str, is_count: bool = False) -> Column:

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prelaunch.functions import scalars as S
-from prelaunch.plans.joins import broadcast_if_small
+from prelaunch.functions.scalars import quoted
+from prelaunch.plans.joins import BROADCAST_MAX_BYTES, broadcast_if_small, estimated_bytes
 
 # The reference cohort and split.
 PRICE_RANGE = (0.0, 30.0)
@@ -21,6 +22,8 @@ FIRST_YEAR = 2020
 SUCCESS_OWNERS = 20_000
 TRAIN_YEARS = (2020, 2023)
 TEST_FROM = 2024
+# Tasks that a hot key is spread over when a join cannot be broadcast.
+SALTS = 32
 
 # Post-launch columns that must never be features.
 POST_LAUNCH_COLUMNS = [
@@ -31,14 +34,15 @@ POST_LAUNCH_COLUMNS = [
 ]
 
 
-def with_release_parts(df: DataFrame, date_col: str = "release_date") -> DataFrame:
+def with_release_parts(df: DataFrame, date_col: str = "release_date",
+                       formats: tuple[str, ...] = S.DATE_FORMATS) -> DataFrame:
     """Parse the release date and add year, month, quarter (SCA5, SCA6).
 
-    Timestamp and date columns are used as they are; text is parsed with
-    invalid dates becoming null.
+    Timestamp and date columns are used as they are; text is parsed by the
+    first of ``formats`` that fits, invalid dates becoming null.
     """
     dtype = df.schema[date_col].dataType.simpleString()
-    ts = F.col(date_col) if dtype in ("timestamp", "timestamp_ntz", "date") else S.parse_date(date_col)
+    ts = F.col(date_col) if dtype in ("timestamp", "timestamp_ntz", "date") else S.parse_date(date_col, formats)
     return df.withColumn("release_ts", ts).withColumns(S.calendar_parts("release_ts"))
 
 
@@ -61,10 +65,20 @@ def with_developer_count(df: DataFrame, key: str = "developers",
     Counted with a grouped aggregate (map-side combine, so a studio holding
     a third of all rows costs one partial row per task) and joined back on
     the key: broadcast when the checked count table is small, otherwise a
-    shuffle join whose skewed partitions AQE splits. A null key gets null.
+    shuffle join on (key, salt) with the counts repeated for every salt, so
+    a hot key is spread over ``SALTS`` tasks. Rows with a null key get null
+    and take no part in the join.
     """
     counts = counts if counts is not None else developer_counts(df, key)
-    return df.join(broadcast_if_small(counts), key, "left")
+    size = estimated_bytes(counts)
+    known, nulls = df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
+    if size is not None and size <= BROADCAST_MAX_BYTES:
+        return df.join(F.broadcast(counts), key, "left")
+    salted = counts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    others = [c for c in df.columns if c != key]
+    spread = known.withColumn("__salt", F.pmod(F.xxhash64(*[quoted(c) for c in others] or [key]), F.lit(SALTS)).cast("int"))
+    joined = spread.join(salted, [key, "__salt"], "left").drop("__salt")
+    return joined.unionByName(nulls.withColumn("dev_game_count", F.lit(None).cast("long")))
 
 
 def studio_size_filter(df: DataFrame, max_games: int = MAX_STUDIO_GAMES,

@@ -1,10 +1,9 @@
 """Encoders and splits (ENC2-ENC5, SPL2-SPL4).
 
-Fitted encoders are ``SQLTransformer`` stages whose statements carry the
-learned constants (means, deviations, category lists), so they run as
-native projections and persist inside a standard ``PipelineModel``. Each
-fit is one aggregate whose result is bounded by the number of columns or
-categories (checked), never by the number of rows.
+Fitted encoders are Spark ML stages that carry the learned constants
+(means, deviations, category lists), so they run as native projections and
+persist inside a standard ``PipelineModel``. What a fit brings back is
+bounded by the number of columns or categories, never by the number of rows.
 """
 
 from __future__ import annotations
@@ -12,15 +11,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizerModel, SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from prelaunch.plans.fixtures import hash_uniform
-
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+from prelaunch.functions.scalars import hash_uniform, quoted, unique_names
 
 
 def _lit(v) -> str:
@@ -41,11 +37,15 @@ def _label(v) -> str:
 
 @dataclass
 class FittedStage:
-    """A fitted projection: the SQL stage and the names of its output columns."""
-    stage: SQLTransformer
+    """A fitted projection: its Spark ML stages, their output columns, and the names of the vector slots."""
+    stages: list
     outputs: list[str]
     names: list[str]
 
+    @property
+    def stage(self) -> PipelineModel:
+        return PipelineModel(stages=self.stages)
+
 
 def fit_standard_scaler(train: DataFrame, cols: list[str], prefix: str = "num__") -> FittedStage:
     """(x - mean) / population std fitted on ``train``; zero std -> 1 (ENC2).
@@ -54,7 +54,7 @@ def fit_standard_scaler(train: DataFrame, cols: list[str], prefix: str = "num__"
     """
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = F.col(quoted(c)).cast("double")
         aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
     row = train.agg(*aggs).first() if cols else None
     exprs, outs = [], []
@@ -63,109 +63,98 @@ def fit_standard_scaler(train: DataFrame, cols: list[str], prefix: str = "num__"
         s = row[f"s{i}"]
         s = 1.0 if s is None or s == 0 or math.isnan(s) else s
         out = f"{prefix}{c}"
-        exprs.append(f"(CAST({_q(c)} AS DOUBLE) - {m!r}D) / {s!r}D AS {_q(out)}")
+        exprs.append(f"(CAST({quoted(c)} AS DOUBLE) - {m!r}D) / {s!r}D AS {quoted(out)}")
         outs.append(out)
     stmt = "SELECT *" + "".join(", " + e for e in exprs) + " FROM __THIS__"
-    return FittedStage(SQLTransformer(statement=stmt), outs, list(cols))
+    return FittedStage([SQLTransformer(statement=stmt)], outs, list(cols))
+
 
+def fit_categories(train: DataFrame, cols: list[str]) -> list[list]:
+    """Sorted distinct values of every column, a null last. One distinct per column; only the categories come back."""
+    found = []
+    for c in cols:
+        values = [r[0] for r in train.select(F.col(quoted(c)).alias("v")).distinct().orderBy(F.col("v").asc_nulls_last()).collect()]
+        found.append(values)
+    return found
 
-def fit_one_hot(train: DataFrame, cols: list[str], prefix: str = "cat__",
-                max_categories: int = 10_000) -> FittedStage:
+
+def fit_one_hot(train: DataFrame, cols: list[str], prefix: str = "cat__", output: str = "columns") -> FittedStage:
     """Sorted-category one-hot, first category dropped, unseen -> zeros (ENC3).
 
-    A null seen in training is its own category, ordered last. Every
-    category list comes from one distributed aggregate; lists longer than
-    ``max_categories`` are refused (they would travel with every task).
+    A null seen in training is its own category, ordered last.
+    ``output="columns"`` adds a 0/1 column per category;
+    ``output="vector"`` one sparse vector per input column, for any number
+    of categories. The choice is the caller's, not that of their number.
     """
-    if not cols:
-        return FittedStage(SQLTransformer(statement="SELECT * FROM __THIS__"), [], [])
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.array_sort(F.collect_set(F.col(c))).alias(f"v{i}"),
-                 F.count_if(F.col(c).isNull()).alias(f"n{i}")]
-    row = train.agg(*aggs).first()
-    exprs, outs, names = [], [], []
-    for i, c in enumerate(cols):
-        values = list(row[f"v{i}"])
-        if len(values) > max_categories:
-            raise ValueError(f"{c}: {len(values)} categories exceed {max_categories}")
-        cats = [(v, False) for v in values] + ([(None, True)] if row[f"n{i}"] > 0 else [])
-        for v, is_null in cats[1:]:
-            cond = f"{_q(c)} IS NULL" if is_null else f"{_q(c)} <=> {_lit(v)}"
-            name = f"{c}_{'nan' if is_null else _label(v)}"
-            out = f"{prefix}{name}"
-            exprs.append(f"CAST({cond} AS DOUBLE) AS {_q(out)}")
-            outs.append(out)
-            names.append(name)
-    stmt = "SELECT *" + "".join(", " + e for e in exprs) + " FROM __THIS__"
-    return FittedStage(SQLTransformer(statement=stmt), outs, names)
+    exprs, outs, names, stages = [], [], [], []
+    for i, (c, cats) in enumerate(zip(cols, fit_categories(train, cols))):
+        labels = [f"{c}_{'nan' if v is None else _label(v)}" for v in cats[1:]]
+        if output == "vector":
+            # the kept categories are the vocabulary of a one-word "text"
+            items, vec = f"__{prefix}{i}_item", f"{prefix}{i}_vec"
+            as_text = f"coalesce(CAST({quoted(c)} AS STRING), '{NULL_CATEGORY}')"
+            words = [NULL_CATEGORY if v is None else _text(v, train.schema[c].dataType.simpleString()) for v in cats[1:]]
+            stages.append(SQLTransformer(statement=f"SELECT *, array({as_text}) AS {quoted(items)} FROM __THIS__"))
+            stages.append(CountVectorizerModel.from_vocabulary(words or ["\u0001unused"], inputCol=items, outputCol=vec, binary=True))
+            outs.append(vec)
+            names += labels or [f"{c}_unused"]
+            continue
+        for v, name in zip(cats[1:], labels):
+            cond = f"{quoted(c)} IS NULL" if v is None else f"{quoted(c)} <=> {_lit(v)}"
+            exprs.append((cond, name))
+    if output != "vector":
+        aliases = unique_names([n for _, n in exprs], prefix)
+        stmt = "SELECT *" + "".join(f", CAST({cond} AS DOUBLE) AS {quoted(aliases[n])}" for cond, n in exprs) + " FROM __THIS__"
+        stages, outs, names = [SQLTransformer(statement=stmt)], list(aliases.values()), [n for _, n in exprs]
+    return FittedStage(stages, outs, names)
+
+
+NULL_CATEGORY = "\u0001null"
+
+
+def _text(v, kind: str) -> str:
+    """A category as Spark casts it to text."""
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return str(v)
 
 
-def assembler(numeric: FittedStage, categorical: FittedStage, output: str = "features") -> VectorAssembler:
-    """Numeric block then categorical block into one vector (ENC4)."""
-    return VectorAssembler(inputCols=numeric.outputs + categorical.outputs, outputCol=output,
+def assembler(numeric: FittedStage, categorical: FittedStage, output: str = "features", vectors: list[str] | None = None) -> VectorAssembler:
+    """Numeric block, categorical block, then vector columns into one vector (ENC4)."""
+    return VectorAssembler(inputCols=numeric.outputs + categorical.outputs + list(vectors or []), outputCol=output,
                            handleInvalid="keep")
 
 
-def feature_names(numeric: FittedStage, categorical: FittedStage) -> list[str]:
+def feature_names(numeric: FittedStage, categorical: FittedStage, vectors: dict[str, list[str]] | None = None) -> list[str]:
     """Names of the assembled slots, in vector order (ENC5)."""
-    return numeric.names + categorical.names
-
-
-ROWS_PER_BUCKET = 200_000
+    return numeric.names + categorical.names + [n for names in (vectors or {}).values() for n in names]
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float = 0.3,
-                     seed: str = "42", n_buckets: int | None = None) -> DataFrame:
+                     seed: str = "42", n_buckets: int = 4096) -> DataFrame:
     """Exact stratified random split: adds ``split`` in {train, test} (SPL2, WIN3).
 
     Rows are ordered per class by a hash uniform of (key, seed) — the same
     result for any partitioning — and the first round(test_fraction * n_c)
     of each class go to test. The uniform's bucket spreads every class
-    evenly over ``n_buckets`` ranges; the per-(class, bucket) counts (a
-    bounded table) locate each class's cut, and only the one bucket per
-    class that straddles it is ranked with a window. No global sort.
-
-    Without ``n_buckets`` the count grows with the largest class (about
-    ``ROWS_PER_BUCKET`` rows per bucket, at least 64), so the one window
-    task stays the same size at any scale; the class counts are one small
-    aggregate.
+    evenly over ``n_buckets`` ranges; running counts over the (class, bucket)
+    table locate each class's cut, and only the one bucket per class that
+    straddles it is ranked with a window, which a 10 x n_buckets-fold larger
+    class would want more buckets for. No global sort, nothing on the driver.
     """
-    if n_buckets is None:
-        largest = df.groupBy(label).count().agg(F.max("count")).first()[0] or 0
-        n_buckets = int(min(1 << 22, max(64, math.ceil(largest / ROWS_PER_BUCKET))))
-    u = hash_uniform(key, seed)
-    d = df.withColumn("__u", u).withColumn("__b", F.floor(F.col("__u") * n_buckets).cast("int"))
-    counts = d.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("n")).collect()
-    per_class: dict = {}
-    for r in counts:
-        per_class.setdefault(r[label], []).append((r["__b"], r["n"]))
-    cut_bucket, cut_rank = {}, {}
-    for cls, lst in per_class.items():
-        lst.sort()
-        n_c = sum(n for _, n in lst)
-        k = math.floor(test_fraction * n_c + 0.5)
-        acc = 0
-        cut_bucket[cls], cut_rank[cls] = n_buckets, 0
-        for b, n in lst:
-            if acc + n >= k:
-                cut_bucket[cls], cut_rank[cls] = b, k - acc
-                break
-            acc += n
-    def by_class(table: dict) -> F.Column:
-        expr = None
-        for cls, v in table.items():
-            cond = F.col(label).isNull() if cls is None else (F.col(label) == F.lit(cls))
-            expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-        return expr if expr is not None else F.lit(None)
-    cb, cr = by_class(cut_bucket), by_class(cut_rank)
-    d = d.withColumns({"__cb": cb, "__cr": cr})
-    plain = d.where(F.col("__b") != F.col("__cb")).withColumn(
-        "split", F.when(F.col("__b") < F.col("__cb"), "test").otherwise("train"))
-    w = Window.partitionBy(label).orderBy("__u", key)
-    edge = d.where(F.col("__b") == F.col("__cb")).withColumn(
-        "split", F.when(F.row_number().over(w) <= F.col("__cr"), "test").otherwise("train"))
-    return plain.unionByName(edge).drop("__u", "__b", "__cb", "__cr")
+    d = df.withColumn("__u", hash_uniform(key, seed)).withColumn("__b", F.floor(F.col("__u") * n_buckets).cast("int"))
+    counts = d.groupBy(F.col(quoted(label)).alias("__class"), "__b").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("__class").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    goal = F.floor(F.lit(test_fraction) * F.sum("n").over(Window.partitionBy("__class")) + 0.5)
+    placed = counts.select("__class", "__b", "n", F.sum("n").over(upto).alias("c"), goal.alias("k")).where("c >= k")
+    cuts = placed.groupBy("__class").agg(F.min(F.struct("__b", (F.col("k") - F.col("c") + F.col("n")).alias("r"))).alias("cut"))
+    # one row a class
+    d = d.join(F.broadcast(cuts), F.col(quoted(label)).eqNullSafe(F.col("__class")))
+    keep = [F.col(quoted(c)) for c in df.columns]
+    plain = d.where("__b <> cut.__b").select(*keep, F.when(F.expr("__b < cut.__b"), "test").otherwise("train").alias("split"))
+    w = Window.partitionBy(quoted(label)).orderBy("__u", quoted(key))
+    edge = d.where("__b = cut.__b").select(*keep, F.when(F.row_number().over(w) <= F.col("cut.r"), "test").otherwise("train").alias("split"))
+    return plain.unionByName(edge)
 
 
 def balanced_weights(train: DataFrame, label: str) -> dict:

@@ -4,32 +4,22 @@ A prediction table has one row per scored item: (group, y, score, pred),
 ``group`` usually the model name. Everything here is an aggregate or a
 window over a bounded table; nothing is collected row by row.
 
-Curves (WIN1) need cumulative counts in descending score order. A bare
-``Window.orderBy`` would pull every row into one task, so the plan is:
-1. distinct scores per group with positive/negative counts (partial agg);
-2. balanced score ranges from approximate quantiles of those scores;
-3. running sums inside each (group, range) window — each range holds about
-   1/n_buckets of the distinct scores (n_buckets grows with their number);
-4. per-range totals (groups x n_buckets rows, broadcast) give each range's
-   offset; offset + running sum is the exact global cumulative count.
+Curves (WIN1) need cumulative counts in descending score order. They come
+from :func:`prelaunch.operators.ranks.running_totals`: distinct scores are
+cut into ranges, summed inside them and offset by the ranges above; no task
+holds a whole group, and the input is read once.
 Trapezoid areas then need no lag: the previous curve point of a score is
 its cumulative count minus its own counts.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prelaunch.operators.ranks import RANGES, running_totals
 from prelaunch.plans.joins import broadcast_if_small
-
-N_BUCKETS = None          # adaptive: about SCORES_PER_BUCKET distinct scores per range
-SCORES_PER_BUCKET = 500_000
-MAX_BUCKETS = 4096
+from prelaunch.session import checkpoint_dir
 
 
 def _n(cond, weight: str | None) -> F.Column:
@@ -71,39 +61,17 @@ def classification_metrics(df: DataFrame, group: str = "model", y: str = "y", pr
 
 
 def cumulative_by_score(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba",
-                        n_buckets: int | None = N_BUCKETS, weight: str | None = None) -> DataFrame:
+                        ranges: int = RANGES, weight: str | None = None) -> DataFrame:
     """Per (group, distinct score): pos, neg, cumulative pos/neg from the top, totals (WIN1).
 
-    Without ``n_buckets`` the range count follows the number of distinct
-    scores (one approximate count), bounded by ``MAX_BUCKETS`` so the
-    offset table stays a proven-small broadcast.
+    Rows without a score or a 0/1 target take no part, neither in the curve
+    nor in its totals.
     """
     yy = F.col(y)
-    pts = df.groupBy(group, score).agg(_n(yy == 1, weight).alias("pos"), _n(yy == 0, weight).alias("neg"))
-    if n_buckets is None:
-        distinct = df.agg(F.approx_count_distinct(score)).first()[0] or 0
-        n_buckets = int(min(MAX_BUCKETS, max(16, math.ceil(distinct / SCORES_PER_BUCKET))))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = pts.agg(F.percentile_approx(F.col(score).cast("double"), probs, 10000)).first()[0] or []
-    splits = [float("-inf")] + sorted({float(e) for e in edges if e is not None}) + [float("inf")]
-    pts = pts.withColumn(score, F.col(score).cast("double"))
-    if len(splits) >= 3:
-        b = Bucketizer(splits=splits, inputCol=score, outputCol="bucket", handleInvalid="keep").transform(pts)
-    else:  # one range: too few distinct scores to split
-        b = pts.withColumn("bucket", F.lit(0.0))
-    down = Window.partitionBy(group, "bucket").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, 0)
-    local = b.withColumns({"lp": F.sum("pos").over(down), "ln": F.sum("neg").over(down)})
-    tot = b.groupBy(group, "bucket").agg(F.sum("pos").alias("bp"), F.sum("neg").alias("bn"))
-    above = Window.partitionBy(group).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(group)
-    off = tot.select(group, "bucket",
-                     F.coalesce(F.sum("bp").over(above), F.lit(0)).alias("op"),
-                     F.coalesce(F.sum("bn").over(above), F.lit(0)).alias("on"),
-                     F.sum("bp").over(whole).alias("P"), F.sum("bn").over(whole).alias("N"))
-    # ``off`` has at most (#groups x n_buckets) rows: a proven size bound.
-    j = local.join(F.broadcast(off), [group, "bucket"])
-    return j.select(group, score, "pos", "neg", (F.col("op") + F.col("lp")).alias("cum_pos"),
-                    (F.col("on") + F.col("ln")).alias("cum_neg"), "P", "N")
+    scored = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & yy.isin(0, 1))
+    pts = scored.groupBy(group, F.col(score).cast("double").alias(score)).agg(_n(yy == 1, weight).alias("pos"), _n(yy == 0, weight).alias("neg"))
+    cum = running_totals(pts, [group], score, {"pos": "cum_pos", "neg": "cum_neg"}, descending=True, ranges=ranges)
+    return cum.select(group, score, "pos", "neg", "cum_pos", "cum_neg", F.col("cum_pos_all").alias("P"), F.col("cum_neg_all").alias("N"))
 
 
 def _curve_points(cum: DataFrame) -> DataFrame:
@@ -158,11 +126,11 @@ def comparison(df: DataFrame, group: str = "model", y: str = "y", score: str = "
     """One row per group: precision, recall, f1, pr_auc, roc_auc (EVA7).
 
     The predictions are read once: condensed to (group, score, y, pred,
-    rows) — at most four rows per distinct score — and cached; metrics and
-    curves both come from that table.
+    rows) — at most four rows per distinct score — and checkpointed into the
+    shared folder; metrics and curves both come from that table.
     """
-    base = (df.groupBy(group, score, y, pred).agg(F.count(F.lit(1)).alias("__rows"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    checkpoint_dir(df.sparkSession)
+    base = df.groupBy(group, score, y, pred).agg(F.count(F.lit(1)).alias("__rows")).checkpoint()
     m = classification_metrics(base, group, y, pred, weight="__rows").select(group, "precision", "recall", "f1")
     a = curve_areas(base, group, y, score, weight="__rows")
     return m.join(broadcast_if_small(a), group)

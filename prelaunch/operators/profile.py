@@ -4,17 +4,19 @@ Every profile is one aggregate over the scan (several statistics share one
 pass through conditional aggregates) followed by a reshape of its few-row
 result. Group keys are small (class, year, bin, combination), so partial
 aggregation leaves almost nothing to shuffle; hot keys cannot skew a task.
-Exact quantiles keep a value->count map per group (bounded by the distinct
-values of the column); pass ``accuracy`` for a bounded sketch instead.
+Exact quantiles rank counted distinct values range by range (see
+``ranks``); pass ``accuracy`` for a bounded sketch instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prelaunch.functions import scalars as S
+from prelaunch.operators.ranks import exact_quantiles
+from prelaunch.session import checkpoint_dir
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -31,10 +33,19 @@ def _missing(df: DataFrame, c: str) -> Column:
     return col.isNull()
 
 
-def _quantile(c: Column, p: float, accuracy: int | None) -> Column:
+def _stacked(df: DataFrame, cols: list[str], name: str = "feature") -> DataFrame:
+    """(name, value): one row per column and present numeric value; one scan."""
+    stack = F.explode(F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias("value")) for c in cols]))
+    return df.select(stack.alias("s")).select(f"s.{name}", "s.value").where(F.col("value").isNotNull())
+
+
+def _with_quantiles(moments: DataFrame, long: DataFrame, keys: list[str], ps: dict[str, float], accuracy: int | None) -> DataFrame:
+    """``moments`` joined with the quantiles of ``long`` (keys, value): exact, or a bounded sketch with ``accuracy``."""
     if accuracy:
-        return F.percentile_approx(c, p, accuracy).cast("double")
-    return F.percentile(c, F.lit(p))
+        q = long.groupBy(*keys).agg(*[F.percentile_approx("value", p, accuracy).cast("double").alias(n) for n, p in ps.items()])
+    else:
+        q = exact_quantiles(long, keys, "value", ps)
+    return moments.join(q, keys)
 
 
 def dataset_size(df: DataFrame) -> DataFrame:
@@ -53,7 +64,7 @@ def missing_values(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
         for i, c in enumerate(cols)]))
     return (wide.select("__n", stack.alias("s"))
             .select("s.column_name", "s.n_missing",
-                    F.round(F.col("s.n_missing") / F.col("__n") * 100, 2).alias("missing_pct")))
+                    F.round(F.try_divide("s.n_missing", "__n") * 100, 2).alias("missing_pct")))
 
 
 def significant_missing(df: DataFrame, threshold_pct: float = 5.0,
@@ -77,24 +88,18 @@ def _ranked(df: DataFrame, order: list[Column], k: int | None) -> DataFrame:
     The rank is numbered on those k rows.
     """
     top = df.orderBy(*order).limit(k) if k else df
-    from pyspark.sql import Window
     return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def numeric_summary(df: DataFrame, cols: list[str], accuracy: int | None = None) -> DataFrame:
     """Mean, median, min and max of numeric variables (AGG3)."""
     cols = [c for c in cols if c in df.columns and _is_numeric(df, c)]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"a{i}"), _quantile(x, 0.5, accuracy).alias(f"q{i}"),
-                 F.min(x).alias(f"n{i}"), F.max(x).alias(f"x{i}")]
-    wide = df.agg(*aggs)
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("variable"), F.col(f"a{i}").alias("mean"),
-                 F.col(f"q{i}").alias("median"), F.col(f"n{i}").alias("min"),
-                 F.col(f"x{i}").alias("max")) for i, c in enumerate(cols)]))
-    return wide.select(stack.alias("s")).select("s.*")
+    long = _stacked(df, cols, "variable")
+    v = F.col("value")
+    moments = long.groupBy("variable").agg(F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    found = _with_quantiles(moments, long, ["variable"], {"median": 0.5}, accuracy)
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")     # columns without any value, too
+    return names.join(found, "variable", "left").select("variable", "mean", "median", "min", "max")
 
 
 def categorical_summary(df: DataFrame, cols: list[str], approximate: bool = False) -> DataFrame:
@@ -260,11 +265,10 @@ def class_moments(df: DataFrame, features: list[str], target: str = "success",
     """
     lf = _long_by_class(df, features, target)
     v = F.col("value")
-    return lf.groupBy("feature", "cls").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), _quantile(v, 0.25, accuracy).alias("q1"),
-        _quantile(v, 0.5, accuracy).alias("median"), _quantile(v, 0.75, accuracy).alias("q3"),
-        F.max(v).alias("max"))
+    moments = lf.groupBy("feature", "cls").agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                                               F.min(v).alias("min"), F.max(v).alias("max"))
+    both = _with_quantiles(moments, lf, ["feature", "cls"], {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy)
+    return both.select("feature", "cls", "count", "mean", "std", "min", "q1", "median", "q3", "max")
 
 
 def box_stats(df: DataFrame, features: list[str], target: str = "success",
@@ -331,7 +335,7 @@ def flag_totals(df: DataFrame, flags: list[str]) -> DataFrame:
     st = F.explode(F.array(*[F.struct(F.lit(f).alias("flag"), F.col(f"f{i}").alias("count"))
                              for i, f in enumerate(flags)]))
     return wide.select("__n", st.alias("s")).select(
-        "s.flag", "s.count", (F.col("s.count") / F.col("__n") * 100).alias("pct"))
+        "s.flag", "s.count", (F.try_divide("s.count", "__n") * 100).alias("pct"))
 
 
 def with_combo(df: DataFrame, flags: list[str], labels: dict[str, str] = S.PLATFORM_COMBOS) -> DataFrame:
@@ -346,7 +350,6 @@ def combo_distribution(df: DataFrame, flags: list[str], labels: dict[str, str] =
     ``order`` column gives the chart order: ascending count, then label.
     """
     c = with_combo(df, flags, labels)
-    from pyspark.sql import Window
     total = df.agg(F.count(F.lit(1))).scalar()
     g = (c.where(F.col("combo_label").isNotNull()).groupBy("combo_label")
          .agg(F.count(F.lit(1)).alias("count")))
@@ -363,13 +366,13 @@ def combo_success(df: DataFrame, flags: list[str], target: str = "success",
 
 
 def class_distribution(df: DataFrame, target: str = "success") -> DataFrame:
-    """Rows per class, percent of rows with a target, imbalance n0/n1 (AGG17)."""
+    """Rows per class, percent of rows with a target, imbalance n0/n1 (AGG17). One aggregate; shares over its few rows."""
     y = F.col(target)
-    counts = df.where(y.isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("count"))
-    n = df.agg(F.count(y)).scalar()
-    ratio = df.agg(F.try_divide(F.count_if(y == 0).cast("double"), F.count_if(y == 1))).scalar()
-    return counts.select(F.col(target).cast("int").alias(target), "count",
-                         (F.col("count") / n * 100).alias("pct"), ratio.alias("imbalance_ratio"))
+    counts = df.where(y.isNotNull()).groupBy(y.cast("int").alias(target)).agg(F.count(F.lit(1)).alias("count"))
+    everything = Window.partitionBy(F.lit(1))
+    of = lambda c: F.sum(F.when(F.col(target) == c, F.col("count"))).over(everything)
+    return counts.select(target, "count", (F.col("count") / F.sum("count").over(everything) * 100).alias("pct"),
+                         F.try_divide(F.coalesce(of(0), F.lit(0)).cast("double"), of(1)).alias("imbalance_ratio"))
 
 
 def majority_accuracy(df: DataFrame, target: str = "success") -> DataFrame:
@@ -388,11 +391,39 @@ def feature_means(df: DataFrame, cols: list[str], key: str | None = "developers"
 def summary_stats(df: DataFrame, target: str = "success", year: str = "year",
                   missing_threshold: float = 5.0) -> DataFrame:
     """The six headline numbers of a profile, one row (SNK6 data)."""
-    y = F.col(target)
-    base = df.agg(F.count(F.lit(1)).alias("total_games"),
-                  F.avg(y.cast("double")).alias("success_rate"),
-                  F.concat_ws("-", F.min(year).cast("string"), F.max(year).cast("string")).alias("date_range"),
-                  F.try_divide(F.count_if(y == 0).cast("double"), F.count_if(y == 1)).alias("class_imbalance_ratio"))
-    n_missing = significant_missing(df, missing_threshold).agg(F.count(F.lit(1))).scalar()
-    decline = relative_change(yearly_stats(df, target, year), "success_rate", year).select("change_pct").scalar()
-    return base.select("*", n_missing.alias("features_with_missing_data"), decline.alias("temporal_decline"))
+    y, period = F.col(target), F.col(year)
+    cols = df.columns
+    # one scan: per period, then over the periods
+    per = df.groupBy(period.alias("__p")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(y).alias("ny"), F.sum(y.cast("double")).alias("sy"), F.avg(y.cast("double")).alias("rate"),
+        F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1"), *[F.count_if(_missing(df, c)).alias(f"m{i}") for i, c in enumerate(cols)])
+    known = F.col("__p").isNotNull()
+    whole = per.agg(
+        F.sum("n").alias("total_games"), F.try_divide(F.sum("sy"), F.sum("ny")).alias("success_rate"),
+        F.concat_ws("-", F.min("__p").cast("string"), F.max("__p").cast("string")).alias("date_range"),
+        F.try_divide(F.sum("n0").cast("double"), F.sum("n1")).alias("class_imbalance_ratio"),
+        *[F.sum(f"m{i}").alias(f"m{i}") for i in range(len(cols))], F.count_if(known).alias("np"),
+        F.min_by(F.when(known, F.col("rate")), F.col("__p")).alias("first"), F.max_by(F.when(known, F.col("rate")), F.col("__p")).alias("last"))
+    share = lambda i: F.round(F.try_divide(f"m{i}", "total_games") * 100, 2) > missing_threshold
+    over = sum((F.coalesce(share(i), F.lit(False)).cast("long") for i in range(len(cols))), F.lit(0).cast("long"))
+    change = F.when(F.col("np") >= 2, F.try_divide(F.col("last") - F.col("first"), F.col("first")) * 100)
+    return whole.select(F.coalesce("total_games", F.lit(0)).alias("total_games"), "success_rate", "date_range", "class_imbalance_ratio",
+                        over.alias("features_with_missing_data"), change.alias("temporal_decline"))
+
+
+def profile(df: DataFrame, target: str = "success", year: str = "year", numeric: list[str] | None = None,
+            flags: list[str] | None = None, missing_threshold: float = 5.0) -> dict[str, DataFrame]:
+    """All profile tables of one catalogue: the input is read, and its lineage cut, once.
+
+    The columns that the tables need are checkpointed into the shared folder
+    and every table is an aggregate over that copy.
+    """
+    checkpoint_dir(df.sparkSession)
+    numeric = [c for c in (numeric if numeric is not None else df.columns) if c in df.columns and _is_numeric(df, c) and c not in (target, year)]
+    flags = [c for c in flags or [] if c in df.columns]
+    base = df.checkpoint()
+    return {"size": dataset_size(base), "missing": missing_values(base), "significant_missing": significant_missing(base, missing_threshold),
+            "numeric": numeric_summary(base, numeric), "target": target_summary(base, target, year),
+            "yearly": yearly_stats(base, target, year), "classes": class_distribution(base, target),
+            "comparison": class_comparison(base, numeric, target), "effects": cohens_d(base, numeric, target),
+            **({"flags": flag_totals(base, flags)} if flags else {}), "summary": summary_stats(base, target, year, missing_threshold)}

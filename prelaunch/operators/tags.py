@@ -4,7 +4,7 @@ Tag statistics explode the decoded lists and aggregate per tag with
 conditional counts: one partially aggregated shuffle whose groups are the
 distinct tags, so a tag present on a third of all rows costs one partial
 row per task. The multi-hot encoder collects only the sorted tag
-vocabulary, checked against ``max_tags``.
+vocabulary.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prelaunch.functions import lists as L
-from prelaunch.functions.scalars import sanitize_name
+from prelaunch.functions.scalars import quoted, unique_names
 
 
 def exploded_tags(df: DataFrame, col: str = "genres", target: str = "success",
@@ -85,34 +85,38 @@ class MultiHot:
     """Sorted-vocabulary multi-hot encoder of a list-text column (ENC1).
 
     ``fit`` runs one distributed distinct over the decoded elements and
-    collects the sorted vocabulary, refusing more than ``max_tags`` values
-    (the vocabulary is what every task receives). ``transform`` adds one
-    0/1 column per tag; ``vector`` gives a sparse binary vector instead.
+    collects the sorted vocabulary, which is what every task receives.
+    ``transform`` adds one 0/1 column per tag (for small vocabularies);
+    ``vector`` gives one sparse binary vector of any width. Which one is
+    the caller's choice, not that of the vocabulary's size.
     """
 
-    def __init__(self, col: str, prefix: str, max_tags: int = 1000):
-        self.col, self.prefix, self.max_tags = col, prefix, max_tags
+    def __init__(self, col: str, prefix: str):
+        self.col, self.prefix = col, prefix
         self.tags: list[str] = []
 
     def fit(self, df: DataFrame) -> "MultiHot":
-        d = (df.select(F.explode(L.decode_list(self.col)).alias("t")).where(F.col("t").isNotNull())
+        d = (df.select(F.explode(L.decode_list(quoted(self.col))).alias("t")).where(F.col("t").isNotNull())
              .distinct())
-        rows = d.orderBy("t").limit(self.max_tags + 1).collect()
-        if len(rows) > self.max_tags:
-            raise ValueError(f"{self.col}: more than {self.max_tags} distinct tags; use vector()")
-        self.tags = [r.t for r in rows]
+        self.tags = [r.t for r in d.orderBy("t").collect()]
         return self
 
+    @property
+    def names(self) -> dict[str, str]:
+        """Tag -> column name; tags that differ only in blanks, dots or case keep columns of their own."""
+        return unique_names(self.tags, self.prefix)
+
     @property
     def columns(self) -> list[str]:
-        return [sanitize_name(t, self.prefix) for t in self.tags]
+        return list(self.names.values())
 
     def transform(self, df: DataFrame) -> DataFrame:
-        arr = L.decode_list(self.col)
-        return df.withColumns({name: F.array_contains(arr, t).cast("int")
-                               for name, t in zip(self.columns, self.tags)})
+        tmp = "__multi_hot_items"
+        names = self.names
+        return (df.withColumn(tmp, L.decode_list(quoted(self.col)))
+                .withColumns({names[t]: F.array_contains(tmp, t).cast("int") for t in self.tags}).drop(tmp))
 
     def vector(self, df: DataFrame, output: str) -> DataFrame:
         tmp = f"__{output}_items"
-        cv = CountVectorizerModel.from_vocabulary(self.tags, inputCol=tmp, outputCol=output, binary=True)
-        return cv.transform(df.withColumn(tmp, L.decode_list(self.col))).drop(tmp)
+        cv = CountVectorizerModel.from_vocabulary(self.tags or ["\u0000"], inputCol=tmp, outputCol=output, binary=True)
+        return cv.transform(df.withColumn(tmp, F.filter(L.decode_list(quoted(self.col)), lambda x: x.isNotNull()))).drop(tmp)

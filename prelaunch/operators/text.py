@@ -13,8 +13,6 @@ plain Spark ML transformers and persist inside a ``PipelineModel``.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
@@ -23,7 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prelaunch.functions import text as TX
-from prelaunch.functions.scalars import sanitize_name, text_concat
+from prelaunch.functions.scalars import text_concat, unique_names
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over the session's cores when the input has fewer files than cores: a file of one row group is one
+    task, however long. Inputs of many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def default_stop_words() -> list[str]:
@@ -49,10 +54,10 @@ class Tfidf:
 
     def __init__(self, max_features: int | None = 50, min_df: int | float = 10,
                  max_df: int | float = 0.7, stop_words: list[str] | None = None,
-                 ngram_max: int = 2, prefix: str = "tfidf_", max_vocabulary: int = 1 << 18):
+                 ngram_max: int = 2, prefix: str = "tfidf_"):
         self.max_features, self.min_df, self.max_df = max_features, min_df, max_df
         self.stop_words = default_stop_words() if stop_words is None else list(stop_words)
-        self.ngram_max, self.prefix, self.max_vocabulary = ngram_max, prefix, max_vocabulary
+        self.ngram_max, self.prefix = ngram_max, prefix
         self.vocabulary: list[str] = []
         self.idf: list[float] = []
         self.n_docs = 0
@@ -99,7 +104,7 @@ class Tfidf:
             F.transform(t, lambda x: F.struct(x.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d"))),
             F.transform(F.array_distinct(t), lambda x: F.struct(x.alias("term"), F.lit(0).alias("n"),
                                                                  F.lit(1).alias("d"))))
-        ex = self.with_terms(df, text, "__terms").select(F.explode(marks).alias("m")).select("m.term", "m.n", "m.d")
+        ex = self.with_terms(spread(df), text, "__terms").select(F.explode(marks).alias("m")).select("m.term", "m.n", "m.d")
         return ex.groupBy("term").agg(F.sum("d").cast("bigint").alias("df"), F.sum("n").cast("bigint").alias("tf"))
 
     def vocabulary_frame(self, stats: DataFrame, n_docs: int) -> DataFrame:
@@ -118,9 +123,7 @@ class Tfidf:
         """Learn vocabulary and IDF from ``df`` (TXT9: fit on any frame)."""
         self.n_docs = df.count()
         vocab = self.vocabulary_frame(self.term_stats(df, text, key), self.n_docs)
-        rows = vocab.orderBy("term").limit(self.max_vocabulary + 1).collect()
-        if len(rows) > self.max_vocabulary:
-            raise ValueError(f"vocabulary above {self.max_vocabulary} terms; set max_features")
+        rows = vocab.orderBy("term").collect()
         self.vocabulary = [r.term for r in rows]
         self.idf = [float(r.idf) for r in rows]
         return self
@@ -128,7 +131,7 @@ class Tfidf:
     # -- transform
     @property
     def columns(self) -> list[str]:
-        return [sanitize_name(t, self.prefix) for t in self.vocabulary]
+        return list(unique_names(self.vocabulary, self.prefix).values())
 
     def model(self, terms_col: str, output: str) -> PipelineModel:
         """The fitted Spark ML stages: counts -> IDF weights -> L2 rows."""
@@ -155,12 +158,7 @@ class Tfidf:
 
     def transform_long(self, df: DataFrame, text: F.Column, key: str) -> DataFrame:
         """(key, term, tfidf) for the non-zero weights."""
-        v = self.transform_vector(df, text, "__tfidf")
+        v = self.transform_vector(spread(df), text, "__tfidf")
         vocab = F.array(*[F.lit(t) for t in self.vocabulary]) if self.vocabulary else F.array().cast("array<string>")
         ex = v.select(key, F.posexplode(vector_to_array("__tfidf")).alias("i", "w")).where(F.col("w") != 0)
         return ex.select(key, F.element_at(vocab, F.col("i") + 1).alias("term"), F.col("w").alias("tfidf"))
-
-
-def idf_value(n_docs: int, df: int) -> float:
-    """Smoothed IDF of one term (for checks)."""
-    return math.log((1 + n_docs) / (1 + df)) + 1

@@ -18,9 +18,10 @@ from prelaunch.sources.tables import present
 
 @dataclass
 class FeatureSpec:
-    """Which columns are numeric and categorical features, the target and the time column."""
+    """Which columns are numeric, categorical and vector features, the target and the time column."""
     numerical_features: list[str] = field(default_factory=list)
     categorical_features: list[str] = field(default_factory=list)
+    vector_features: dict[str, list[str]] = field(default_factory=dict)   # vector column -> names of its slots
     target: str = "success"
     temporal_column: str = "release_year"
 
@@ -41,17 +42,20 @@ class FeatureSpec:
 
 
 def build_features(df: DataFrame, fit_on: DataFrame | None = None, tfidf: Tfidf | None = None,
-                   max_tags: int = 1000, key: str | None = None) -> tuple[DataFrame, FeatureSpec]:
+                   key: str | None = None, tag_output: str = "columns",
+                   date_formats: tuple[str, ...] = S.DATE_FORMATS) -> tuple[DataFrame, FeatureSpec]:
     """Derive every pre-launch feature of the catalogue (ENC6).
 
     Columns that are absent are skipped, as the reference's guards do.
     ``fit_on`` is the frame the vocabularies (TF-IDF terms, tag lists) are
     learned from: the whole table by default (the reference's choice), or
     the training rows to keep the test period out of the fit.
+    ``tag_output="vector"`` keeps tags as one sparse vector per list column,
+    for vocabularies too wide for columns.
     """
     fit_on = df if fit_on is None else fit_on
     spec = FeatureSpec()
-    out = C.with_release_parts(df) if "release_date" in df.columns else df
+    out = C.with_release_parts(df, formats=date_formats) if "release_date" in df.columns else df
     num = spec.numerical_features
     for c in present(out, ["price", "dlc_count", "achievements", "required_age"]):
         out = out.withColumn(c, S.log1p_filled(c) if c in ("dlc_count", "achievements") else S.fill_zero(c))
@@ -79,9 +83,13 @@ def build_features(df: DataFrame, fit_on: DataFrame | None = None, tfidf: Tfidf
     cat = spec.categorical_features
     for col, prefix in (("genres", "genre_"), ("categories", "category_")):
         if col in out.columns:
-            mh = MultiHot(col, prefix, max_tags).fit(fit_on)
-            out = mh.transform(out)
-            cat += mh.columns
+            mh = MultiHot(col, prefix).fit(fit_on)
+            if tag_output == "vector":
+                out = mh.vector(out, f"{prefix}tags")
+                spec.vector_features[f"{prefix}tags"] = mh.columns or [f"{prefix}unused"]
+            else:
+                out = mh.transform(out)
+                cat += mh.columns
     for p in platforms:
         out = out.withColumn(p, S.flag01(p))
         cat.append(p)

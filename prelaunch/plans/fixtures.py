@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prelaunch.functions.scalars import hash_uniform
 from prelaunch.plans.joins import broadcast_if_small
 from prelaunch.sources.tables import read_table
 
@@ -105,15 +106,6 @@ def labelled_texts(spark: SparkSession, sf_dir: str, target: str = "quality") ->
         "success", F.col(target).cast("int")).drop(target)
 
 
-def hash_uniform(key, seed: str) -> F.Column:
-    """Deterministic uniform in [0, 1) from md5(key || '#' || seed).
-
-    Identical in every engine and for any partitioning, unlike ``rand``.
-    """
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit("#" + seed)))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") / 4294967296.0
-
-
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """View S: (model, game_id, y, proba, pred) for two seeded models."""
     g = games(spark, sf_dir).where(F.col("success").isNotNull()).select("game_id", "success")

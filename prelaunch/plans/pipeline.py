@@ -9,11 +9,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prelaunch.functions import scalars as S
+from prelaunch.functions.scalars import quoted
 from prelaunch.operators import cohort as C
 from prelaunch.operators import encode as E
 from prelaunch.operators import evaluate as EV
 from prelaunch.operators import models as M
-from prelaunch.plans.features import FeatureSpec
+from prelaunch.plans.features import FeatureSpec, build_features
 from prelaunch.session import checkpoint_dir
 
 MODEL_NAMES = ("baseline", "logistic_regression", "random_forest", "gradient_boosting")
@@ -40,47 +42,64 @@ def split_report(df: DataFrame, label: str, spec: FeatureSpec) -> DataFrame:
 
 
 def _materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage before iterative fits: write to the shared checkpoint folder, then cache."""
+    """Cut lineage: write to the shared checkpoint folder, from where later jobs read."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    return df.checkpoint(eager=True)
+
+
+def with_split(df: DataFrame, spec: FeatureSpec, key: str, train_years=C.TRAIN_YEARS, test_from: int = C.TEST_FROM,
+               test_fraction: float = 0.3) -> DataFrame:
+    """``split`` by release year where the spec's time column exists (SPL1), else stratified at random (SPL2)."""
+    if spec.temporal_column in df.columns:
+        return C.temporal_split(df, spec.temporal_column, train_years, test_from)
+    return E.stratified_split(df, spec.target, key, test_fraction)
+
+
+def _long(metrics: DataFrame, split: str, names: tuple[str, ...]) -> DataFrame:
+    cells = F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*names)))
+    return metrics.select("model", F.lit(split).alias("split"), cells.alias("metric", "value"))
 
 
 def train_and_evaluate(features: DataFrame, spec: FeatureSpec, key: str,
                        train_years=C.TRAIN_YEARS, test_from: int = C.TEST_FROM,
-                       models=MODEL_NAMES, forest_trees: int = 100, forest_depth: int = 20,
-                       boost_rounds: int = 200, with_importances: bool = True) -> Results:
+                       models=MODEL_NAMES, forest_trees: int = 100, forest_depth: int = M.MAX_DEPTH,
+                       boost_rounds: int = 200, with_importances: bool = True, one_hot: str = "vector") -> Results:
+    """Fit and score the chosen models (MOD6).
+
+    ``one_hot`` is the encoder's output form: a sparse vector per column by
+    default, ``"columns"`` for a 0/1 column per category.
+    """
     spark = features.sparkSession
     label = spec.target
     cols = spec.numerical_features + spec.categorical_features
-    C.leakage_guard(cols)
-    data = C.temporal_split(C.target_not_null(features, label), spec.temporal_column, train_years, test_from)
+    C.leakage_guard([*cols, *spec.vector_features])
+    data = with_split(C.target_not_null(features, label), spec, key, train_years, test_from)
     # One lineage cut: every fit below (scaler, categories, weights, models)
     # reads this table instead of re-deriving the features.
-    data = _materialise(data.select(key, F.col(label).cast("double").alias("label"), "split", *cols))
+    data = _materialise(data.select(key, F.col(label).cast("double").alias("label"), "split",
+                                    *[F.col(quoted(c)) for c in [*cols, *spec.vector_features]]))
     train = data.where(F.col("split") == "train")
     test = data.where(F.col("split") == "test")
 
     scaler = E.fit_standard_scaler(train, spec.numerical_features)
-    onehot = E.fit_one_hot(train, spec.categorical_features)
-    prep = PipelineModel(stages=[scaler.stage, onehot.stage, E.assembler(scaler, onehot)])
-    names = E.feature_names(scaler, onehot)
+    onehot = E.fit_one_hot(train, spec.categorical_features, output=one_hot)
+    prep = PipelineModel(stages=[*scaler.stages, *onehot.stages, E.assembler(scaler, onehot, vectors=list(spec.vector_features))])
+    names = E.feature_names(scaler, onehot, spec.vector_features)
     weights = E.balanced_weights(train, "label")
     pos_w = E.positive_weight(train, "label")
     keep = [key, "label", "features"]
+    # iterative fits and the scorers read the assembled vectors many times
     train_v = prep.transform(train).select(*keep).withColumns({
         "weight": E.weight_column("label", weights),
         "pos_weight": E.weight_column("label", {1.0: pos_w, 0.0: 1.0})}).persist(StorageLevel.MEMORY_AND_DISK)
     test_v = prep.transform(test).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
 
     preds, metric_rows, imp, saved = [], [], None, None
+    three = ("precision", "recall", "f1")
     if "baseline" in models:
-        preds.append(M.baseline_predictions(train.withColumn("y", F.col("label")), test.withColumn("y", F.col("label")),
-                                            "y", key))
-        bm = M.baseline_train_metrics(train, "label")
-        metric_rows.append(bm.select(F.lit("baseline").alias("model"), F.lit("train").alias("split"),
-                                     F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in ("precision", "recall", "f1")]),
-                                                                 F.array("precision", "recall", "f1")))
-                                     .alias("metric", "value")))
+        preds.append(M.baseline_predictions(train.withColumn("y", F.col("label").cast("int")),
+                                            test.withColumn("y", F.col("label").cast("int")), "y", key))
+        metric_rows.append(_long(M.baseline_train_metrics(train, "label").withColumn("model", F.lit("baseline")), "train", three))
     estimators = {}
     if "logistic_regression" in models:
         wsum = train_v.agg(F.sum("weight")).first()[0]
@@ -92,20 +111,43 @@ def train_and_evaluate(features: DataFrame, spec: FeatureSpec, key: str,
     for name, est in estimators.items():
         fitted = est.fit(train_v)
         preds.append(M.predictions(fitted, test_v, name, key))
-        tm = EV.classification_metrics(M.predictions(fitted, train_v, name, key))
-        metric_rows.append(tm.select("model", F.lit("train").alias("split"),
-                                     F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in ("precision", "recall", "f1")]),
-                                                                 F.array("precision", "recall", "f1")))
-                                     .alias("metric", "value")))
+        metric_rows.append(_long(EV.classification_metrics(M.predictions(fitted, train_v, name, key)), "train", three))
         if name == "random_forest":
             saved = PipelineModel(stages=list(prep.stages) + [fitted])
             if with_importances:
                 imp = M.importances(spark, fitted, names)
-    pred = EV.stack_results(*preds)
+    # results are small or written once; after these two the cached vectors can go
+    pred = _materialise(EV.stack_results(*preds))
+    train_metrics = _materialise(EV.stack_results(*metric_rows)) if metric_rows else None
+    train_v.unpersist()
+    test_v.unpersist()
     comp = EV.comparison(pred)
-    test_long = comp.select("model", F.lit("test").alias("split"), F.explode(F.map_from_arrays(
-        F.array(*[F.lit(c) for c in ("precision", "recall", "f1", "pr_auc", "roc_auc")]),
-        F.array("precision", "recall", "f1", "pr_auc", "roc_auc"))).alias("metric", "value"))
-    metrics = EV.stack_results(*metric_rows, test_long)
-    info = split_report(data, "label", spec)
-    return Results(pred, metrics, comp, imp, info, saved)
+    test_long = _long(comp, "test", (*three, "pr_auc", "roc_auc"))
+    metrics = EV.stack_results(train_metrics, test_long) if train_metrics is not None else test_long
+    return Results(pred, metrics, comp, imp, split_report(data, "label", spec), saved)
+
+
+def run(games: DataFrame, path: str, key: str = "game_id", target: str = "success", train_years=C.TRAIN_YEARS,
+        test_from: int = C.TEST_FROM, date_formats: tuple[str, ...] = S.DATE_FORMATS, tfidf=None, **settings) -> Results:
+    """The whole life cycle: features, split, four models, results; everything is written under ``path``.
+
+    ``features`` (SNK1), ``spec`` (SNK2), ``results/*`` (SNK3), ``predictions`` (SNK4), ``model`` (SNK5). Vocabularies
+    are learned from the training period where there is a release date, else from all rows.
+    """
+    from prelaunch.sources import sinks
+
+    games = _materialise(games)
+    fit_on = games
+    if "release_date" in games.columns:
+        fit_on = C.train_rows(C.with_release_parts(games, formats=date_formats), train_years=train_years)
+    features, spec = build_features(games, fit_on=fit_on, key=key, date_formats=date_formats, tfidf=tfidf)
+    spec.target = target
+    sinks.write_features(features, f"{path}/features")
+    spec.write(games.sparkSession, f"{path}/spec")
+    found = train_and_evaluate(sinks.read_features(games.sparkSession, f"{path}/features"), spec, key, train_years, test_from, **settings)
+    sinks.write_results({"metrics": found.metrics, "comparison": found.comparison, "importances": found.importances,
+                         "confusion": EV.confusion_matrix(found.predictions), "data_info": found.data_info}, f"{path}/results")
+    sinks.write_predictions(found.predictions, f"{path}/predictions")
+    if found.model is not None:
+        sinks.save_model(found.model, f"{path}/model")
+    return found

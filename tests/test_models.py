@@ -28,8 +28,8 @@ def test_entry_smoke(spark):
 
 def test_cumulative_matches_single_window(spark):
     s = FX.scored(spark, MEDIUM)
-    for nb in (1, 7, 256):
-        got = {(r.model, r.proba): (r.cum_pos, r.cum_neg) for r in EV.cumulative_by_score(s, n_buckets=nb).collect()}
+    for ranges in (1, 3, 32):
+        got = {(r.model, r.proba): (r.cum_pos, r.cum_neg) for r in EV.cumulative_by_score(s, ranges=ranges).collect()}
         pts = s.groupBy("model", "proba").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("n"))
         w = Window.partitionBy("model").orderBy(F.desc("proba"))
         ref = {(r.model, r.proba): (r.cp, r.cn) for r in

@@ -10,7 +10,8 @@ from conftest import SMALL
 
 import __spark_entry__ as E
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "labels"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+          "benchmark", "labels", "conversations"]
 
 
 def _norm(v):
