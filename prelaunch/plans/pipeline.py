@@ -18,6 +18,7 @@ from prelaunch.operators import models as M
 from prelaunch.plans.features import FeatureSpec, build_features
 from prelaunch.session import checkpoint_dir
 
+ROWS_PER_TASK = 20_000
 MODEL_NAMES = ("baseline", "logistic_regression", "random_forest", "gradient_boosting")
 
 
@@ -88,8 +89,10 @@ def train_and_evaluate(features: DataFrame, spec: FeatureSpec, key: str,
     weights = E.balanced_weights(train, "label")
     pos_w = E.positive_weight(train, "label")
     keep = [key, "label", "features"]
-    # iterative fits and the scorers read the assembled vectors many times
-    train_v = prep.transform(train).select(*keep).withColumns({
+    # Iterative fits read the assembled vectors many times: cached, and without more tasks than the rows are worth
+    # (every boosting round is a handful of jobs).
+    n_train = train.count()
+    train_v = prep.transform(train).select(*keep).coalesce(max(1, -(-n_train // ROWS_PER_TASK))).withColumns({
         "weight": E.weight_column("label", weights),
         "pos_weight": E.weight_column("label", {1.0: pos_w, 0.0: 1.0})}).persist(StorageLevel.MEMORY_AND_DISK)
     test_v = prep.transform(test).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
@@ -146,7 +149,7 @@ def run(games: DataFrame, path: str, key: str = "game_id", target: str = "succes
     spec.write(games.sparkSession, f"{path}/spec")
     found = train_and_evaluate(sinks.read_features(games.sparkSession, f"{path}/features"), spec, key, train_years, test_from, **settings)
     sinks.write_results({"metrics": found.metrics, "comparison": found.comparison, "importances": found.importances,
-                         "confusion": EV.confusion_matrix(found.predictions), "data_info": found.data_info}, f"{path}/results")
+                         "confusion": EV.confusion(found.predictions), "data_info": found.data_info}, f"{path}/results")
     sinks.write_predictions(found.predictions, f"{path}/predictions")
     if found.model is not None:
         sinks.save_model(found.model, f"{path}/model")

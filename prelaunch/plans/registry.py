@@ -395,9 +395,10 @@ def q_price_band_stats(spark, sf):
     return b.select("price_range", "band_order", r6("success_rate").alias("success_rate"), "count")
 
 
-@register("price_bands_min_count", with_views("SELECT * FROM bands WHERE count >= 1000", "g", extra=[_BANDS]))
+@register("price_bands_min_count", with_views("SELECT * FROM bands WHERE count >= (SELECT count(*) // 11 FROM g)", "g", extra=[_BANDS]))
 def q_price_bands_min_count(spark, sf):
-    b = P.bands_with_min_count(P.binned_target_stats(FX.games(spark, sf)), 1000)
+    g = FX.games(spark, sf)
+    b = P.bands_with_min_count(P.binned_target_stats(g), g.count() // 11)   # parts the fixture's bands
     return b.select("price_range", "band_order", r6("success_rate").alias("success_rate"), "count")
 
 
@@ -680,8 +681,12 @@ def q_tag_bag_union(spark, sf):
     return TG.tag_bag_union(FX.games(spark, sf), "genres", FX_EXCLUDED)
 
 
-QUERIES["tag_exclusion"] = QUERIES["tag_clean"]
-ORACLE["tag_exclusion"] = ORACLE["tag_clean"]
+@register("tag_exclusion", with_views(f"""
+SELECT game_id, len({_dlist('genres')}) AS n_all, len(list_filter({_dlist('genres')}, lambda x: x NOT IN ('PROMO', 'ECONOMY'))) AS n_kept
+FROM g""", "g"))
+def q_tag_exclusion(spark, sf):
+    g = FX.games(spark, sf)
+    return g.select("game_id", L.list_length("genres").alias("n_all"), F.size(L.clean_tags("genres", ["PROMO", "ECONOMY"])).alias("n_kept"))
 
 
 @register("multi_hot", with_views(f"""
@@ -1048,14 +1053,75 @@ def q_feature_table_roundtrip(spark, sf):
 
 
 def _features(spark, sf):
-    # G is a join + aggregate view; materialise it once for the fits.
-    return build_features(PL._materialise(FX.games(spark, sf)), key="game_id")
+    """Features of G; the tag lists are learned from the training period only."""
+    g = PL._materialise(FX.games(spark, sf))
+    return build_features(g, fit_on=C.train_rows(gy_of(g), train_years=FX_TRAIN), key="game_id")
+
+
+def gy_of(g: DataFrame) -> DataFrame:
+    return C.with_release_parts(g)
 
 
-@register("feature_build")
+_FB_SQL = f"""
+SELECT game_id, round(coalesce(price, 0.0), 6) AS price, round(ln(1 + coalesce(dlc_count, 0)), 6) AS dlc_count,
+       round(ln(1 + coalesce(achievements, 0)), 6) AS achievements, CAST(required_age AS DOUBLE) AS required_age,
+       len({_dlist('supported_languages')}) AS language_count,
+       CAST(coalesce(windows, false) AS INTEGER) + CAST(coalesce(mac, false) AS INTEGER) + CAST(coalesce(linux, false) AS INTEGER) AS platform_count,
+       (SELECT string_agg(CASE WHEN list_contains({_dlist('genres')}, c) THEN '1' ELSE '0' END, '' ORDER BY c) FROM gc) AS genres_bits,
+       (SELECT string_agg(CASE WHEN list_contains({_dlist('categories')}, c) THEN '1' ELSE '0' END, '' ORDER BY c) FROM cc) AS categories_bits,
+       CAST(coalesce(windows, false) AS INTEGER) AS windows, CAST(coalesce(mac, false) AS INTEGER) AS mac, CAST(coalesce(linux, false) AS INTEGER) AS linux,
+       n AS dev_game_count, CAST(coalesce(price, 0.0) = 0 AS INTEGER) AS is_free, release_month, release_quarter,
+       CAST(coalesce(release_quarter = 4, false) AS INTEGER) AS released_q4
+FROM gy LEFT JOIN (SELECT developers AS dev, count(*) AS n FROM g WHERE developers IS NOT NULL GROUP BY 1) dc ON gy.developers = dc.dev"""
+
+
+@register("feature_build", with_views(_FB_SQL, GY, extra=[
+    f"gc AS (SELECT DISTINCT unnest({_dlist('genres')}) AS c FROM gy WHERE {_TRAIN_SQL})",
+    f"cc AS (SELECT DISTINCT unnest({_dlist('categories')}) AS c FROM gy WHERE {_TRAIN_SQL})"]))
 def q_feature_build(spark, sf):
     f, spec = _features(spark, sf)
-    return f.select("game_id", *spec.numerical_features, *spec.categorical_features)
+    bits = {p: F.concat(*[F.col(S.quoted(c)).cast("string") for c in spec.categorical_features if c.startswith(f"{p}_")])
+            for p in ("genre", "category")}
+    ints = ["language_count", "platform_count", "windows", "mac", "linux", "is_free", "release_month", "release_quarter", "released_q4"]
+    return f.select("game_id", r6("price").alias("price"), r6("dlc_count").alias("dlc_count"), r6("achievements").alias("achievements"),
+                    F.col("required_age").cast("double").alias("required_age"), bits["genre"].alias("genres_bits"),
+                    bits["category"].alias("categories_bits"), "dev_game_count", *[F.col(c).cast("int").alias(c) for c in ints])
+
+
+def _text_games(spark, sf) -> DataFrame:
+    """DL with a year and a release date, so that text runs through the whole build: even ids train, odd ids test."""
+    return FX.labelled_texts(spark, sf).withColumn("release_year", F.when(F.col("doc_id") % 2 == 0, FX_TRAIN[0]).otherwise(FX_TEST))
+
+
+_TEXT_YEAR = f"CASE WHEN doc_id % 2 = 0 THEN {FX_TRAIN[0]} ELSE {FX_TEST} END"
+
+
+@register("text_features", with_views(f"""
+SELECT doc_id, length(short_description) AS desc_length, len(regexp_extract_all(short_description, '{S.WORD_RUN}')) AS desc_word_count,
+       coalesce(length(detailed_features), 0) AS detailed_features_length,
+       len(regexp_extract_all(coalesce(detailed_features, ''), '{S.WORD_RUN}')) AS detailed_features_word_count,
+       round(coalesce(n.total, 0), 6) AS tfidf_sum
+FROM dl LEFT JOIN (SELECT doc_id AS did, sum(w) / sqrt(sum(w * w)) AS total
+                   FROM (SELECT tf.doc_id, tf.n * v.idf AS w FROM tf JOIN vocab_t v ON tf.term = v.term) GROUP BY 1) n ON n.did = dl.doc_id""",
+    "d", "dl", extra=_TEXTX[:3] + ["fit AS (SELECT doc_id FROM dl WHERE doc_id % 2 = 0)",
+    "st_t AS (SELECT term, count(*) AS df, sum(n) AS tf FROM tf WHERE doc_id IN (SELECT doc_id FROM fit) GROUP BY term)",
+    """vocab_t AS (SELECT term, df, tf, ln((1 + nd.n) / (1 + df)) + 1 AS idf FROM st_t, (SELECT count(*) AS n FROM fit) nd
+      WHERE df >= 10 AND df <= 0.7 * nd.n ORDER BY tf DESC, term LIMIT 50)"""]))
+def q_text_features(spark, sf):
+    d = PL._materialise(_text_games(spark, sf))
+    f, spec = build_features(d, fit_on=C.train_rows(d, train_years=FX_TRAIN), key="doc_id", tfidf=_tfidf())
+    terms = [c for c in spec.numerical_features if c.startswith("tfidf_")]
+    total = sum((F.col(S.quoted(c)) for c in terms), F.lit(0.0))
+    return f.select("doc_id", "desc_length", "desc_word_count", "detailed_features_length", "detailed_features_word_count",
+                    r6(total).alias("tfidf_sum"))
+
+
+@register("text_model")
+def q_text_model(spark, sf):
+    """Logistic regression on the lengths and TF-IDF columns of the labelled texts (default stop words)."""
+    d = PL._materialise(_text_games(spark, sf))
+    f, spec = build_features(d, fit_on=C.train_rows(d, train_years=FX_TRAIN), key="doc_id")
+    return PL.train_and_evaluate(f, spec, "doc_id", FX_TRAIN, FX_TEST, models=("baseline", "logistic_regression")).comparison
 
 
 def _run(spark, sf, models, **kw):
@@ -1070,25 +1136,85 @@ def q_logistic(spark, sf):
 
 @register("random_forest")
 def q_forest(spark, sf):
-    return _run(spark, sf, ("random_forest",), forest_trees=100, forest_depth=20).metrics
+    return _run(spark, sf, ("random_forest",)).metrics
 
 
 @register("gradient_boosting")
 def q_boosting(spark, sf):
-    # 20 rounds keep the verify run short; the library default is 200.
-    return _run(spark, sf, ("gradient_boosting",), boost_rounds=20).metrics
+    return _run(spark, sf, ("gradient_boosting",)).metrics
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    return _run(spark, sf, ("random_forest",), forest_trees=50, forest_depth=10).importances
+    return _run(spark, sf, ("random_forest",)).importances
 
 
 @register("train_evaluate")
 def q_train_evaluate(spark, sf):
-    r = _run(spark, sf, ("baseline", "logistic_regression"))
+    r = _run(spark, sf, PL.MODEL_NAMES)
     return r.comparison.select("model", *[r6(c).alias(c) for c in _CMP_COLS])
 
+
+@register("assembled_features", with_views(f"""
+SELECT game_id, name, round(value, 6) AS value FROM (
+  SELECT game_id, unnest(['price', 'achievements', 'release_quarter_2', 'release_quarter_3', 'release_quarter_4']) AS name,
+         unnest([(coalesce(price, 0.0) - m1) / s1, (ln(1 + coalesce(achievements, 0)) - m2) / s2, CAST(q = 2 AS DOUBLE), CAST(q = 3 AS DOUBLE),
+                 CAST(q = 4 AS DOUBLE)]) AS value
+  FROM (SELECT *, coalesce(release_quarter, 0) AS q FROM gy),
+       (SELECT avg(coalesce(price, 0.0)) AS m1, stddev_pop(coalesce(price, 0.0)) AS s1, avg(ln(1 + coalesce(achievements, 0))) AS m2,
+               stddev_pop(ln(1 + coalesce(achievements, 0))) AS s2 FROM gy WHERE {_TRAIN_SQL}) p)""", GY))
+def q_assembled_features(spark, sf):
+    """Numeric block, then one-hot block, with the slots' names (ENC4, ENC5)."""
+    from pyspark.ml.functions import vector_to_array
+    g = _gfill(spark, sf)
+    train = C.train_rows(g, train_years=FX_TRAIN)
+    num, cat = EN.fit_standard_scaler(train, ["price", "achievements"]), EN.fit_one_hot(train, ["release_quarter"], output="vector")
+    out = EN.assembler(num, cat).transform(cat.stage.transform(num.stage.transform(g)))
+    names = F.array(*[F.lit(n) for n in EN.feature_names(num, cat)])
+    cells = F.explode(F.arrays_zip(names.alias("name"), vector_to_array("features").alias("value")))
+    return out.select("game_id", cells.alias("c")).select("game_id", "c.name", r6("c.value").alias("value"))
+
+
+@register("importance_ranking", with_views("""
+SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY tag) - 1 AS INTEGER) AS slot, tag AS feature, round(n * 1.0 / sum(n) OVER (), 6) AS importance,
+                      CAST(row_number() OVER (ORDER BY n DESC, tag) AS INTEGER) AS rank
+               FROM (SELECT tag, count(*) AS n FROM te GROUP BY tag)) WHERE rank <= 5""",
+    "g", extra=[_TAGS_EXPLODED.replace("genres", "categories")]))
+def q_importance_ranking(spark, sf):
+    """Slot values paired with names and ranked (JOI5, TOP5); the values are tag shares, so that SQL can follow."""
+    from types import SimpleNamespace
+
+    from pyspark.ml.linalg import Vectors
+    rows = TG.tag_bag_union(FX.games(spark, sf), "categories", FX_EXCLUDED).orderBy("tag").collect()
+    total = sum(r.n for r in rows)
+    fitted = SimpleNamespace(featureImportances=Vectors.dense([r.n / total for r in rows]))
+    top = MO.importances(spark, fitted, [r.tag for r in rows], 5)
+    return top.select("slot", "feature", r6("importance").alias("importance"), "rank")
+
+
+@register("score_new_rows", with_views(f"""
+SELECT count(*) AS n_scored, 0 AS n_different FROM gy WHERE release_year >= {FX_TEST}""", GY))
+def q_score_new_rows(spark, sf):
+    """A saved and loaded pipeline scores the test period like the fitted one (MOD7, SNK5)."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    from prelaunch.sources.sinks import save_model
+    g = PL._materialise(_gfill(spark, sf).select("game_id", "price", "achievements", "release_year", "success"))
+    train = C.train_rows(C.target_not_null(g), train_years=FX_TRAIN).withColumn("label", F.col("success").cast("double"))
+    num, cat = EN.fit_standard_scaler(train, ["price", "achievements"]), EN.fit_one_hot(train, [])
+    prep = PipelineModel(stages=[*num.stages, EN.assembler(num, cat)])
+    fitted = MO.logistic(float(train.count())).setWeightCol("w").fit(prep.transform(train.withColumn("w", F.lit(1.0))))
+    model = PipelineModel(stages=[*prep.stages, fitted])
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+    save_model(model, path)
+    new = C.test_rows(g, test_from=FX_TEST)
+    here = model.transform(new).select("game_id", vector_to_array("probability")[1].alias("p"))
+    there = MO.score_new_rows(path, new).select("game_id", "proba")
+    return here.join(there, "game_id").agg(F.count(F.lit(1)).alias("n_scored"),
+                                           F.count_if(F.abs(F.col("p") - F.col("proba")) > 1e-12).cast("int").alias("n_different"))
+
+
 # ------------------------------------------------ sources and sinks round trips
 
 
@@ -1146,3 +1272,92 @@ _CORR_LONG_BODY = _corr_sql().rsplit("\nSELECT * FROM (", 1)[1][:-1]
 def q_correlation_wide(spark, sf):
     w = P.correlation_wide(gy_eda(spark, sf), _CORR_VARS)
     return w.select("var_a", *[r6(c).alias(c) for c in _CORR_VARS])
+
+
+@register("predictions_roundtrip", with_views("""
+SELECT model, count(*) AS rows, count(*) FILTER (WHERE pred = 1) AS positives, round(sum(proba), 4) AS total FROM s GROUP BY model""", "s"))
+def q_predictions_roundtrip(spark, sf):
+    """Per-row predictions written by model and read again (SNK4)."""
+    from prelaunch.sources.sinks import write_predictions
+    path = scratch_path(spark, f"predictions-{uuid.uuid4().hex}")
+    write_predictions(FX.scored(spark, sf), path)
+    return spark.read.parquet(path).groupBy("model").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("pred") == 1).alias("positives"),
+                                                         F.round(F.sum("proba"), 4).alias("total"))
+
+
+@register("present_columns", with_views("""
+SELECT c AS column_name, CASE c WHEN 'price' THEN count(price) ELSE count(genres) END AS n FROM g, (SELECT unnest(['price', 'genres']) AS c) GROUP BY c""", "g"))
+def q_present_columns(spark, sf):
+    """Only the wanted columns that exist are counted (SRC3)."""
+    from prelaunch.sources.tables import present
+    g = FX.games(spark, sf)
+    cols = present(g, ["price", "peak_ccu", "genres", "tags"])
+    wide = g.agg(*[F.count(c).alias(c) for c in cols])
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in cols])).alias("r")).select("r.*")
+
+
+@register("input_check", """
+SELECT 'documents' AS name, true AS found, (SELECT count(*) FROM documents) AS rows UNION ALL SELECT 'no_such_table', false, 0""")
+def q_input_check(spark, sf):
+    """A missing input is reported before anything is read (SRC4)."""
+    from prelaunch.sources.tables import read_table
+    out = None
+    for name in ("documents", "no_such_table"):
+        try:
+            one = read_table(spark, sf, name, ["doc_id"]).agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(name).alias("name"), F.lit(True).alias("found"), "rows")
+        except Exception as e:  # local paths raise FileNotFoundError, remote ones the reader's PATH_NOT_FOUND
+            if not isinstance(e, FileNotFoundError) and "PATH_NOT_FOUND" not in str(e):
+                raise
+            one = read_table(spark, sf, "region", ["r_regionkey"]).groupBy().agg(F.lit(0).cast("long").alias("rows")).select(
+                F.lit(name).alias("name"), F.lit(False).alias("found"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# Text with commas, quotes, bare words and junk around list literals, made from part names.
+def _edge_literal() -> F.Column:
+    k = F.col("p_partkey") % 7
+    name, size = F.col("p_name"), F.col("p_size").cast("string")
+    return F.when(k == 0, F.concat(F.lit("['"), name, F.lit("'] junk"))).when(k == 1, F.concat(F.lit("['"), name, F.lit("',, 'x']"))).otherwise(
+        F.concat(F.lit("['"), name, F.lit(", None, [x]', \"it's\", 'caf\\xe9', None, "), size, F.lit(", ]")))
+
+
+@register("list_decode_edge", """
+SELECT p_partkey, CASE WHEN p_partkey % 7 < 2 THEN '' ELSE p_name || ', None, [x]|it''s|café|' || CAST(p_size AS VARCHAR) END AS items,
+       p_partkey % 7 < 2 AS undecodable FROM part""")
+def q_list_decode_edge(spark, sf):
+    from prelaunch.sources.tables import read_table
+    p = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_size"]).withColumn("v", _edge_literal())
+    return p.select("p_partkey", F.array_join(L.decode_list("v"), "|").alias("items"), L.undecodable("v").alias("undecodable"))
+
+
+@register("csv_mixed", with_views("""
+SELECT game_id, success, estimated_owners, release_year FROM gy""", GY))
+def q_csv_mixed(spark, sf):
+    """Integers spelled as floats and three date forms, as other tools write them (SRC1, SCA5)."""
+    from prelaunch.sources.games import read_games
+    path = scratch_path(spark, f"games-mixed-{uuid.uuid4().hex}")
+    d = S.parse_date("release_date")
+    g = FX.games(spark, sf).select("game_id", F.col("success").cast("double").cast("string").alias("success"),
+                                   F.col("estimated_owners").cast("double").cast("string").alias("estimated_owners"),
+                                   F.when(F.col("game_id") % 3 == 0, F.date_format(d, "MMM d, yyyy")).when(
+                                       F.col("game_id") % 3 == 1, F.date_format(d, "yyyy/MM/dd")).otherwise(F.col("release_date")).alias("release_date"))
+    g.write.option("header", True).csv(path)
+    back = C.with_release_parts(read_games(spark, path))
+    return back.select("game_id", "success", "estimated_owners", "release_year")
+
+
+@register("lifecycle_roundtrip", with_views(f"""
+SELECT 'features' AS name, count(*) AS rows FROM gy UNION ALL SELECT 'spec', 1 UNION ALL SELECT 'comparison', 2 UNION ALL SELECT 'confusion', 8
+UNION ALL SELECT 'data_info', 2 UNION ALL SELECT 'metrics', 16
+UNION ALL SELECT 'predictions', 2 * count(*) FROM gy WHERE release_year >= {FX_TEST} AND success IS NOT NULL""", GY))
+def q_lifecycle(spark, sf):
+    """The whole run's written tables, counted (SNK1-SNK4); the four-model comparison is train_evaluate."""
+    path = scratch_path(spark, f"run-{uuid.uuid4().hex}")
+    PL.run(FX.games(spark, sf), path, train_years=FX_TRAIN, test_from=FX_TEST, models=("baseline", "logistic_regression"))
+    tables = {"features": "features", **{n: f"results/{n}" for n in ("comparison", "confusion", "data_info", "metrics")}, "predictions": "predictions"}
+    out = spark.read.text(f"{path}/spec").agg(F.count(F.lit(1)).alias("rows")).select(F.lit("spec").alias("name"), "rows")
+    for name, at in tables.items():
+        out = out.unionByName(spark.read.parquet(f"{path}/{at}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows"))
+    return out

@@ -23,7 +23,7 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert df.columns == ["model", "precision", "recall", "f1", "pr_auc", "roc_auc"]
-    assert {r.model for r in rows} == {"baseline", "logistic_regression"}
+    assert {r.model for r in rows} == set(PL.MODEL_NAMES)
 
 
 def test_cumulative_matches_single_window(spark):
@@ -82,3 +82,22 @@ def test_csv_scan(spark):
     back = read_games(spark, path)
     assert back.schema["price"].dataType.simpleString() == "double"
     assert back.count() == 50
+
+
+def test_depth_above_the_engine_is_an_error():
+    with pytest.raises(ValueError):
+        MO.forest(max_depth=31)
+
+
+def test_split_falls_back_to_stratified(spark):
+    g = FX.games(spark, SMALL).where(F.col("success").isNotNull())
+    split = PL.with_split(g, FeatureSpec(), "game_id")
+    share = split.groupBy("success").agg(F.avg((F.col("split") == "test").cast("double")).alias("t")).collect()
+    assert all(abs(r.t - 0.3) < 0.01 for r in share)
+
+
+def test_tags_as_vectors_reach_the_model(spark):
+    f, spec = build_features(FX.games(spark, SMALL), key="game_id", tag_output="vector")
+    assert set(spec.vector_features) == {"genre_tags", "category_tags"}
+    r = PL.train_and_evaluate(f, spec, "game_id", FX.TRAIN_YEARS, FX.TEST_FROM, models=("random_forest",), forest_trees=5, forest_depth=4)
+    assert r.importances.where("feature like 'category_%'").count() + r.importances.count() > 15
