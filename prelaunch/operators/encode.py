@@ -139,8 +139,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     of each class go to test. The uniform's bucket spreads every class
     evenly over ``n_buckets`` ranges; running counts over the (class, bucket)
     table locate each class's cut, and only the one bucket per class that
-    straddles it is ranked with a window, which a 10 x n_buckets-fold larger
-    class would want more buckets for. No global sort, nothing on the driver.
+    straddles it (about 1 / n_buckets of the class; raise it with the data)
+    is ranked with a window. No global sort, nothing on the driver.
     """
     d = df.withColumn("__u", hash_uniform(key, seed)).withColumn("__b", F.floor(F.col("__u") * n_buckets).cast("int"))
     counts = d.groupBy(F.col(quoted(label)).alias("__class"), "__b").agg(F.count(F.lit(1)).alias("n"))
