@@ -62,7 +62,8 @@ NUMBERS = {
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d.-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\d)",
-    "phone": r"(?<![\d.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.+])\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
+    "phone": r"(?<![\d.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.+])\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
+             r"|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![.-]?\d)",
 }
 # What begins a word.
 WORDS = {
@@ -85,7 +86,7 @@ def _type_of(e: Column) -> Column:
             .when(e.rlike(r"^[A-Z]{2}\d{2}"), "iban")
             .when(e.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), "ip")
             .when(e.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(e.rlike(r"^\+|^\("), "phone")
+            .when(e.rlike(r"^\+|^\(|^\d{3}[.-]\d{3}[.-]\d{4}$"), "phone")
             .when(e.rlike(r"^\d"), "card").otherwise("name"))
 
 
