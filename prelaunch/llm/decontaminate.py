@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prelaunch.llm.words import FOLD, shingle_hashes, slices, span_hash, spans, utf8, word_hashes
+from prelaunch.llm.words import FOLD, row_slices, shingle_hashes, small_batches, span_hash, spans, utf8, word_hashes
 
 WIDTH = 13
 SHARE = 20          # contaminated: share * hit words >= words
@@ -133,9 +133,9 @@ def compile_tables(items: list[tuple[str, str]], width: int) -> list[PatternTabl
 def search_batch(texts, tables: list[PatternTable]) -> list[tuple[int, set[str], list[tuple[int, int]]]]:
     """Per text: number of words, items that occur, merged [first, last) spans of hit words."""
     out = []
-    data, off = utf8(texts)
-    for _, _, part, rows_off in slices(data, off):
-        low = FOLD[part]
+    for _, _, part in row_slices(texts):
+        data, rows_off = utf8(part)
+        low = FOLD[data]
         starts, ends, rows = spans(low, rows_off)
         h = span_hash(low, starts, ends)
         raw = low.tobytes()
@@ -212,7 +212,7 @@ def _search(spark: SparkSession, docs: DataFrame, pairs: list[tuple[str, str]],
                               pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))]
             yield pa.RecordBatch.from_arrays(cols, [*carried, "w_words", "w_items", "w_spans"])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: int = SHARE,

@@ -29,14 +29,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prelaunch.llm.words import _powers, mix, slices, span_hash, spans, utf8
+from prelaunch.llm.words import _powers, mix, row_slices, small_batches, span_hash, spans, utf8
 
 FIT_ROWS = 8_000
 ROUNDS = 3
 SMOOTH = 0.02
 UNKNOWN = 1e-7               # probability of a character that is no piece
 MAX_RUN = 32
-MAX_WORDS = 1 << 19          # scored words that are kept from slice to slice
+MAX_WORDS = 1 << 18          # scored words that are kept from slice to slice
 UND = "und"
 
 
@@ -209,9 +209,8 @@ def _round(rows: DataFrame, langs: list[str], pieces: list[str], prob: np.ndarra
         out = np.zeros(prob.shape)
         for batch in batches:
             lang = np.array([number[x] for x in batch.column("lang").to_pylist()], np.int64)
-            data, off = utf8(letter_words(batch.column("text")))
-            for first, last, part, rows_off in slices(data, off):
-                w = Words(part, rows_off)
+            for first, last, texts in row_slices(batch.column("text")):
+                w = Words(*utf8(letter_words(texts)))
                 if not len(w.hashes):
                     continue
                 count = np.zeros((len(w.hashes), len(langs)))
@@ -219,13 +218,13 @@ def _round(rows: DataFrame, langs: list[str], pieces: list[str], prob: np.ndarra
                 codes, s, e = w.characters(np.arange(len(w.hashes)))
                 total = Pieces.sums(codes)
                 for word, starts, length in runs_by_length(codes, s, e):
-                    for x in range(0, len(starts), 20_000):
-                        expected_counts(known, prob, total, starts[x: x + 20_000], length, count[word[x: x + 20_000]], out)
+                    for x in range(0, len(starts), 8_000):
+                        expected_counts(known, prob, total, starts[x: x + 8_000], length, count[word[x: x + 8_000]], out)
         i, j = np.nonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(out[i, j])],
                                          ["piece", "lang", "uses"])
 
-    sums = (rows.mapInArrow(run, "piece int, lang int, uses double").groupBy("piece", "lang")
+    sums = (small_batches(rows).mapInArrow(run, "piece int, lang int, uses double").groupBy("piece", "lang")
             .agg(F.sum("uses").alias("uses")).toArrow())             # at most pieces x languages rows
     new = np.full(prob.shape, SMOOTH)
     np.add.at(new, (sums["piece"].to_numpy(), sums["lang"].to_numpy()), sums["uses"].to_numpy())
@@ -248,8 +247,8 @@ class Scorer:
         have[inside] = self.words[at[inside]] == w.hashes[inside]
         out[have] = self.known[at[have]]
         new = np.flatnonzero(~have)
-        for x in range(0, len(new), 20_000):
-            part = new[x: x + 20_000]
+        for x in range(0, len(new), 8_000):
+            part = new[x: x + 8_000]
             codes, s, e = w.characters(part)
             total = Pieces.sums(codes)
             for word, starts, length in runs_by_length(codes, s, e):
@@ -264,11 +263,10 @@ class Scorer:
 
     def posteriors(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(has letters, posterior of each language) of a string column."""
-        data, off = utf8(letter_words(texts))
-        n = len(off) - 1
+        n = len(texts)
         some, logp = np.zeros(n, bool), np.tile(self.model.prior, (n, 1))
-        for first, last, part, rows_off in slices(data, off):
-            w = Words(part, rows_off)
+        for first, last, part in row_slices(texts):
+            w = Words(*utf8(letter_words(part)))
             if len(w.hashes):
                 scores = self._word_scores(w)[w.back]
                 some[first + np.unique(w.row)] = True
@@ -299,7 +297,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)],
                                              [*batch.schema.names, "w_lang", "w_score"])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def held_out() -> F.Column:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prelaunch.llm.components import components, shared_checkpoint
-from prelaunch.llm.words import distinct_per_row, mix, shingle_hashes, slices, utf8, word_hashes
+from prelaunch.llm.words import distinct_per_row, mix, row_slices, shingle_hashes, small_batches, utf8, word_hashes
 
 K = 5
 THRESHOLD = 0.8
@@ -50,9 +50,8 @@ def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts, k: int):
     """Per slice of a string column: first and last row, sorted distinct shingle hashes, row offsets."""
-    data, off = utf8(texts)
-    for first, last, part, rows_off in slices(data, off):
-        h, _, _, rows = word_hashes(part, rows_off)
+    for first, last, part in row_slices(texts):
+        h, _, _, rows = word_hashes(*utf8(part))
         yield first, last, *distinct_per_row(*shingle_hashes(h, rows, k))
 
 
@@ -94,7 +93,7 @@ def with_class_key(docs: DataFrame, k: int = K) -> DataFrame:
                 keys += class_keys(h, off)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, "w_class"])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def _classes(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
@@ -114,7 +113,7 @@ def _classes(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                     [ids.slice(first, last - first), pa.array(class_keys(h, off), pa.binary()), pa.array(sigs, pa.binary()),
                      pa.array(np.diff(off), pa.int64())], ["doc_id", "w_class", "w_sig", "w_n"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, w_class binary, w_sig binary, w_n long")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, w_class binary, w_sig binary, w_n long")
 
 
 def _band_keys(sig: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -252,7 +251,7 @@ def _shingles_of(docs: DataFrame, source: DataFrame, k: int) -> DataFrame:
 
     ids = source.select(F.col("doc_id").alias("w_doc"), F.col("w_class").alias("w_key")).distinct()
     texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("w_doc")), "left_semi").select("text")
-    sets = texts.mapInArrow(run, "w_class binary, w_sh binary")
+    sets = small_batches(texts).mapInArrow(run, "w_class binary, w_sh binary")
     return sets.join(source.select("w_class"), "w_class", "left_semi").groupBy("w_class").agg(F.first("w_sh").alias("w_sh"))
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prelaunch.llm.words import span_hash
+from prelaunch.llm.words import small_batches, span_hash
 
 LIMIT = 2048
 CHUNK = 256
@@ -403,7 +403,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int = LIMIT) -> Da
                                              ["doc_id", "n_bytes", "n_tokens"])
 
     read = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    counted = read.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
+    counted = small_batches(read).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prelaunch.llm.language_id import held_out
-from prelaunch.llm.words import FOLD, distinct_per_row, slices, span_hash, spans, utf8
+from prelaunch.llm.words import FOLD, distinct_per_row, row_slices, small_batches, span_hash, spans, utf8
 
 FIT_ROWS = 20_000
 PRIOR = 0.05
@@ -60,11 +60,9 @@ class ToxicityModel:
 
 def tokens(texts):
     """Per slice: first row, last row, lower-cased bytes, starts and ends of words, index of each row's first word."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    data, off = utf8(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
-    for first, last, part, rows_off in slices(data, off):
-        low = FOLD[part]
+    for first, last, part in row_slices(texts):
+        data, rows_off = utf8(pc.utf8_lower(part))
+        low = FOLD[data]
         yield first, last, low, *spans(low, rows_off)
 
 
@@ -168,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
                     yield pa.RecordBatch.from_arrays([pa.array(unit.view(np.int64)), pa.array(np.full(len(unit), level, np.int32)),
                                                       pa.array(hot), pa.array(both - hot)], ["unit", "level", "toxic", "clean"])
 
-    counts = (rows.mapInArrow(count, "unit long, level int, toxic long, clean long").groupBy("unit", "level")
+    counts = (small_batches(rows).mapInArrow(count, "unit long, level int, toxic long, clean long").groupBy("unit", "level")
               .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
     # units of the bounded sample
     got = counts.where(F.col("toxic") + F.col("clean") >= MIN_COUNT).toArrow()
@@ -275,7 +273,7 @@ def find_passages(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.float64()), pa.array(ev, pa.float64()),
                                               pa.array(found, kind)], ["doc_id", "score", "evidence", "passages"])
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return small_batches(docs).select("doc_id", "text").mapInArrow(
         run, "doc_id long, score double, evidence double, passages array<struct<first:int,last:int,score:double,e_value:double>>")
 
 

@@ -9,17 +9,29 @@ slice), which bounds memory whatever the batch size.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches limited to ``BATCH_BYTES``: long texts by the ten thousand would fill a
+    Python worker. A smaller setting stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.sub(r"\D", "", conf.get(key)) or 0) > BATCH_BYTES or re.search("[kmgt]", conf.get(key), re.I):
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of uint64 values (public splitmix64 finaliser)."""
     x = x.astype(np.uint64, copy=True)
@@ -89,6 +101,21 @@ def slices(data: np.ndarray, off: np.ndarray, most: int = SLICE_BYTES) -> Iterat
         first = last
 
 
+def row_slices(col, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, pa.Array]]:
+    """Row ranges (first, last, slice) of a string column with about ``most`` bytes of text each, without copying, so
+    that what is made from a slice stays small whatever the batch."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    width = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
+    off = np.zeros(len(width) + 1, np.int64)
+    np.cumsum(width, out=off[1:])
+    first = 0
+    while first < len(col):
+        last = max(first + 1, int(np.searchsorted(off, off[first] + most, "right")) - 1)
+        yield first, last, col.slice(first, last - first)
+        first = last
+
+
 def spans(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words (runs of non-zero bytes) and, per row, the index of its first word."""
     inside = low != 0
