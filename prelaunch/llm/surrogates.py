@@ -1,6 +1,6 @@
 """Surrogates for personal data: keyed, type-consistent replacements, in DataFrame functions only.
 
-Entities are found by one regular expression (in texts that have a digit, ``@``, ``=``, ``:`` or a title at all): e-mail addresses, IPv4 addresses, phone numbers, payment cards (Luhn-checked),
+Entities are found by one regular expression (in texts that have a digit, ``@``, ``=``, ``:``, a title or an access key's prefix at all): e-mail addresses, IPv4 addresses, phone numbers, payment cards (Luhn-checked),
 IBANs, social-security numbers, secrets (assigned passwords and tokens, access keys) and person names after a title. Each
 has a canonical form (case, punctuation and spacing removed), so variants of one entity share one surrogate
 (coreference). The surrogate is drawn from a SHA-512 stream of key, type, canonical form and attempt:
@@ -65,18 +65,21 @@ NUMBERS = {
     "phone": r"(?<![\d.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.+])\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
              r"|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![.-]?\d)",
 }
-# What begins a word.
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}"
+# What begins with a letter, after anything but a letter or digit.
 WORDS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}",
-    "secret": r"(?=[PpSsTtAa])(?:(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}\"?[A-Za-z0-9_/+.-]{6,128}\"?|(?:AKIA|ASIA)[0-9A-Z]{16}\b)",
+    "secret": r"(?=[PpSsTtAa])(?:(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}\"?[A-Za-z0-9_/+.-]{6,}+\"?|(?:AKIA|ASIA)[0-9A-Z]{16}\b)",
     "iban": r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "name": rf"(?={_TITLE_START})(?:{_TITLE})\b\.? {_NAME}",
 }
-# Each branch is tried only where its first character fits, and words only from their beginning.
-ENTITY = (rf"(?=[0-9+(])(?:{'|'.join(NUMBERS.values())})"
-          rf"|(?=[\p{{L}}\d])(?<![\p{{L}}\d._%+-])(?:{'|'.join(WORDS.values())})")
-# Every entity has one of these characters, or a title.
-HINT = rf"[0-9@=:]|(?={_TITLE_START})(?<!\p{{L}})(?:{_TITLE})\b"
+# Each branch is tried only where its first character fits, and words only from their beginning. Only an e-mail address may not
+# begin after the punctuation that it can hold.
+ENTITY = (rf"(?=[A-Za-z0-9])(?<![\p{{L}}\d._%+-]){EMAIL}|(?=[0-9+(])(?:{'|'.join(NUMBERS.values())})"
+          rf"|(?=\p{{L}})(?<![\p{{L}}\d])(?:{'|'.join(WORDS.values())})")
+# Every entity has one of these characters, a title or an access key's prefix.
+HINT = rf"[0-9@=:]|A(?:KI|SI)A|(?={_TITLE_START})(?<!\p{{L}})(?:{_TITLE})\b"
+LONG = 128                   # longer secrets are drawn in chunks, each from a block of its own
+CHUNK = 32
 
 
 def _type_of(e: Column) -> Column:
@@ -171,10 +174,27 @@ def _fill(part: Column) -> Column:
     return F.when(F.length(text) > 0, filled).otherwise("")
 
 
+def _part(text: Column, stream: Column, prefix: Column, hexadecimal: Column) -> Column:
+    return F.struct(text.alias("text"), stream.alias("stream"), prefix.cast("int").alias("prefix"), hexadecimal.alias("hex"))
+
+
+def _chunks(e: Column, kind: Column, canon: Column, attempt: Column, key: str) -> Column:
+    """The parts of a long secret, in time linear in its length."""
+    once = F.array(F.struct(F.sha2(F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string")).cast("binary"), 512).alias("seed"),
+                            canon.rlike("^[0-9a-f]+$").alias("hex"), _prefix_length(e, kind).alias("prefix")))
+    parts = F.transform(once, lambda o: F.concat(
+        F.array(_part(F.substr(e, F.lit(1), o["prefix"]), o["seed"], o["prefix"], o["hex"])),
+        F.transform(F.regexp_extract_all(F.substr(e, o["prefix"] + 1), F.lit(rf".{{1,{CHUNK}}}"), F.lit(0)), lambda c, i: _part(
+            c, F.sha2(F.concat_ws("|", o["seed"], i.cast("string")).cast("binary"), 512), F.lit(0), o["hex"]))))
+    return F.element_at(parts, 1)
+
+
 def with_stream(e: Column, kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """All that :func:`surrogate` needs of one mention."""
+    long = (kind == "secret") & (F.length(canon) > LONG)
     return F.struct(e.alias("mention"), kind.alias("kind"), canon.alias("canon"), _prefix_length(e, kind).alias("prefix"),
-                    _stream(key, kind, canon, attempt).alias("stream"),
+                    F.when(long, "").otherwise(_stream(key, kind, canon, attempt)).alias("stream"),
+                    F.when(long, _chunks(e, kind, canon, attempt, key)).alias("chunks"),
                     # an e-mail's domain maps by itself, whatever the local part
                     F.when(kind == "email", _stream(key, F.lit("domain"), F.substring_index(canon, "@", -1), F.lit(0))).alias("domain"))
 
@@ -182,17 +202,13 @@ def with_stream(e: Column, kind: Column, canon: Column, attempt: Column, key: st
 def _filled(x: Column) -> Column:
     """The mention with characters replaced: one part, or an e-mail's local part, domain and top-level label."""
     e, kind = x["mention"], x["kind"]
-
-    def part(text, stream, prefix, hexadecimal):
-        return F.struct(text.alias("text"), stream.alias("stream"), prefix.cast("int").alias("prefix"), hexadecimal.alias("hex"))
-
     domain = F.substring_index(F.lower(e), "@", -1)
     top = F.substring_index(domain, ".", -1)
-    whole = F.array(part(e, x["stream"], x["prefix"], (kind == "secret") & x["canon"].rlike("^[0-9a-f]+$")))
-    mail = F.array(part(F.concat(F.substring_index(F.lower(e), "@", 1), F.lit("@")), x["stream"], F.lit(0), F.lit(False)),
-                   part(F.substr(domain, F.lit(1), F.length(domain) - F.length(top)), x["domain"], F.lit(0), F.lit(False)),
-                   part(top, x["stream"], F.length(top), F.lit(False)))
-    return F.array_join(F.transform(F.when(kind == "email", mail).otherwise(whole), _fill), "")
+    whole = F.array(_part(e, x["stream"], x["prefix"], (kind == "secret") & x["canon"].rlike("^[0-9a-f]+$")))
+    mail = F.array(_part(F.concat(F.substring_index(F.lower(e), "@", 1), F.lit("@")), x["stream"], F.lit(0), F.lit(False)),
+                   _part(F.substr(domain, F.lit(1), F.length(domain) - F.length(top)), x["domain"], F.lit(0), F.lit(False)),
+                   _part(top, x["stream"], F.length(top), F.lit(False)))
+    return F.array_join(F.transform(F.when(kind == "email", mail).when(x["chunks"].isNotNull(), x["chunks"]).otherwise(whole), _fill), "")
 
 
 def _octets(x: Column) -> Column:
