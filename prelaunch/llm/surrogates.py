@@ -12,7 +12,10 @@ has a canonical form (case, punctuation and spacing removed), so variants of one
 
 Collision checks keep distinct entities distinct: over the distinct entities of the whole corpus, a surrogate that two
 entities share, or that is itself an entity of the corpus, is drawn again with the next attempt for all but the
-smallest entity, until no collision is left.
+smallest entity, until no collision is left. After ``GROW_AFTER`` attempts the format gives way, by one symbol more an attempt, so
+that a corpus with more entities than a narrow format holds settles too: surnames get further syllables, octets any width, local
+parts letters, secrets, IBANs, cards and international phone numbers digits. Formats of one fixed length (social-security and local phone
+numbers, access keys; addresses once every octet is free) get digits at the end after ``FULL_AFTER`` attempts, when they are full.
 
 Scale: replacing is row-local. Collision checks shuffle only distinct entities (map-side combined, so an entity that a
 third of the rows name is one row a task). The few redrawn entities reach the texts by a join on a text hash, broadcast
@@ -31,6 +34,8 @@ from pyspark.sql import functions as F
 from prelaunch.llm.components import shared_checkpoint
 
 MAX_ATTEMPTS = 60
+GROW_AFTER = 4               # attempts inside the mention's own format
+FULL_AFTER = 30              # the same for formats of fixed length
 BROADCAST_ROWS = 100_000     # redrawn entities up to this many are broadcast
 
 # Titles and the gender they imply ("x" where they imply none).
@@ -195,27 +200,54 @@ def with_stream(e: Column, kind: Column, canon: Column, attempt: Column, key: st
     return F.struct(e.alias("mention"), kind.alias("kind"), canon.alias("canon"), _prefix_length(e, kind).alias("prefix"),
                     F.when(long, "").otherwise(_stream(key, kind, canon, attempt)).alias("stream"),
                     F.when(long, _chunks(e, kind, canon, attempt, key)).alias("chunks"),
+                    # symbols that the surrogate has more than the mention, and what they are drawn from
+                    F.greatest(attempt - F.when(_is_fixed(e, kind), FULL_AFTER).otherwise(GROW_AFTER) + 1, F.lit(0)).alias("grown"),
+                    F.when(attempt >= GROW_AFTER, F.sha2(F.concat_ws("|", F.lit(key), kind, F.sha2(canon.cast("binary"), 512), attempt.cast("string"),
+                                                                     F.lit("tail")).cast("binary"), 512)).alias("tail"),
+                    (attempt >= GROW_AFTER).alias("wide"),
                     # an e-mail's domain maps by itself, whatever the local part
                     F.when(kind == "email", _stream(key, F.lit("domain"), F.substring_index(canon, "@", -1), F.lit(0))).alias("domain"))
 
 
+def _is_fixed(e: Column, kind: Column) -> Column:
+    """Formats that a further digit breaks."""
+    return kind.isin("ssn", "ip") | ((kind == "phone") & ~e.startswith("+")) | ((kind == "secret") & e.rlike("^(?:AKIA|ASIA)[0-9A-Z]{16}$"))
+
+
+def _tail(x: Column, alphabet: str) -> Column:
+    """The symbols that the surrogate has more than the mention."""
+    drawn = F.transform(F.sequence(F.lit(0), F.greatest(x["grown"], F.lit(1)) - 1), lambda i: F.substr(
+        F.lit(ALPHABETS[alphabet]), (_number(x["tail"], i) % len(ALPHABETS[alphabet]) + 1).cast("int"), F.lit(1)))
+    return F.when(x["grown"] > 0, F.array_join(drawn, "")).otherwise("")
+
+
+def _grown(filled: Column, x: Column) -> Column:
+    """Further digits at the end, or before the closing quote of a secret."""
+    quoted = (x["kind"] == "secret") & filled.endswith('"')
+    return F.when(x["grown"] == 0, filled).when(quoted, F.concat(F.substr(filled, F.lit(1), F.length(filled) - 1), _tail(x, "digit"), F.lit('"'))).otherwise(
+        F.concat(filled, _tail(x, "digit")))
+
+
 def _filled(x: Column) -> Column:
     """The mention with characters replaced: one part, or an e-mail's local part, domain and top-level label."""
     e, kind = x["mention"], x["kind"]
     domain = F.substring_index(F.lower(e), "@", -1)
     top = F.substring_index(domain, ".", -1)
     whole = F.array(_part(e, x["stream"], x["prefix"], (kind == "secret") & x["canon"].rlike("^[0-9a-f]+$")))
-    mail = F.array(_part(F.concat(F.substring_index(F.lower(e), "@", 1), F.lit("@")), x["stream"], F.lit(0), F.lit(False)),
+    mail = F.array(_part(F.substring_index(F.lower(e), "@", 1), x["stream"], F.lit(0), F.lit(False)),
+                   _part(F.concat(_tail(x, "lower"), F.lit("@")), x["stream"], x["grown"] + 1, F.lit(False)),
                    _part(F.substr(domain, F.lit(1), F.length(domain) - F.length(top)), x["domain"], F.lit(0), F.lit(False)),
                    _part(top, x["stream"], F.length(top), F.lit(False)))
-    return F.array_join(F.transform(F.when(kind == "email", mail).when(x["chunks"].isNotNull(), x["chunks"]).otherwise(whole), _fill), "")
+    filled = F.array_join(F.transform(F.when(kind == "email", mail).when(x["chunks"].isNotNull(), x["chunks"]).otherwise(whole), _fill), "")
+    return F.when(kind == "email", filled).otherwise(_grown(filled, x))
 
 
 def _octets(x: Column) -> Column:
-    """Octets of the same width: 1-9, 10-99, 100-254."""
-    return F.array_join(F.transform(F.split(x["mention"], r"\."), lambda o, i: (
-        F.when(F.length(o) == 1, 1 + _number(x["stream"], i * 2) % 9).when(F.length(o) == 2, 10 + _number(x["stream"], i * 2) % 90)
+    """Octets of the same width: 1-9, 10-99, 100-254; later attempts: 1-254."""
+    octets = F.array_join(F.transform(F.split(x["mention"], r"\."), lambda o, i: (
+        F.when(x["wide"], 1 + _number(x["stream"], i * 2) % 254).when(F.length(o) == 1, 1 + _number(x["stream"], i * 2) % 9).when(F.length(o) == 2, 10 + _number(x["stream"], i * 2) % 90)
         .otherwise(100 + _number(x["stream"], i * 2) % 155)).cast("string")), ".")
+    return F.when(x["grown"] > 0, F.concat(octets, F.lit("."), _tail(x, "digit"))).otherwise(octets)
 
 
 def _person(x: Column) -> Column:
@@ -230,7 +262,7 @@ def _person(x: Column) -> Column:
              .when(female, _pick(FIRST["latin", "f"], n)).otherwise(_pick(FIRST["latin", "m"], n)))
     syllable = lambda i: F.when(cyrillic, _pick(SYLLABLES["cyrillic"], _number(stream, i * 2 + 4))).otherwise(
         _pick(SYLLABLES["latin"], _number(stream, i * 2 + 4)))
-    last = F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(2)), syllable), ""))
+    last = F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), 2 + x["grown"]), syllable), ""))
     return F.concat(F.substr(e, F.lit(1), x["prefix"]), F.when(body.rlike(r"[-' ]"), F.concat(first, F.lit(" "))).otherwise(""), last)
 
 
@@ -271,11 +303,10 @@ def distinct_entities(docs: DataFrame) -> DataFrame:
 def redrawn_entities(entities: DataFrame, key: str, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """(kind, canon, attempt > 0) of the entities whose first surrogates collide."""
     entities = shared_checkpoint(entities)
-    current = entities.withColumn("attempt", F.lit(0))
+    draw = F.element_at(surrogates(F.array(with_stream(F.col("mention"), F.col("kind"), F.col("canon"), F.col("attempt"), key))), 1)
+    drawn_canon = canonical(F.col("drawn"), F.col("kind"))
+    drawn = shared_checkpoint(entities.withColumn("attempt", F.lit(0)).withColumn("drawn", draw).withColumn("drawn_canon", drawn_canon))
     for _ in range(max_attempts):
-        drawn = current.withColumn("drawn", F.element_at(surrogates(F.array(
-            with_stream(F.col("mention"), F.col("kind"), F.col("canon"), F.col("attempt"), key))), 1))
-        drawn = drawn.withColumn("drawn_canon", canonical(F.col("drawn"), F.col("kind")))
         # shared by two entities: all but the first draw again
         least = drawn.groupBy("kind", "drawn_canon").agg(F.min("canon").alias("keeps"), F.count("*").alias("n"))
         shared = (drawn.join(least.where("n > 1"), ["kind", "drawn_canon"]).where("canon <> keeps").select("kind", "canon"))
@@ -283,9 +314,11 @@ def redrawn_entities(entities: DataFrame, key: str, max_attempts: int = MAX_ATTE
         real = drawn.join(entities.select("kind", F.col("canon").alias("drawn_canon")), ["kind", "drawn_canon"], "left_semi").select("kind", "canon")
         again = shared_checkpoint(shared.unionByName(real).distinct().withColumn("again", F.lit(1)))
         if again.isEmpty():
-            return current.where("attempt > 0").select("kind", "canon", "attempt")
-        current = shared_checkpoint(current.join(again, ["kind", "canon"], "left")
-                                    .withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0))).drop("again"))
+            return drawn.where("attempt > 0").select("kind", "canon", "attempt")
+        drawn = shared_checkpoint(drawn.join(again, ["kind", "canon"], "left")
+                                  .withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0)))
+                                  .withColumn("drawn", F.when(F.col("again") == 1, draw).otherwise(F.col("drawn")))
+                                  .withColumn("drawn_canon", F.when(F.col("again") == 1, drawn_canon).otherwise(F.col("drawn_canon"))).drop("again"))
     raise ValueError(f"some entities have no free surrogate after {max_attempts} attempts; their formats are exhausted")
 
 
