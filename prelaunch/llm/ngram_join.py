@@ -8,7 +8,8 @@ with the same shingle set form a class; classes whose Jaccard similarity is at l
 2. Classes that agree on all rows of some band are candidates. Candidate groups are the connected components of the
    band buckets (star edges to the smallest class of a bucket, never all pairs).
 3. Each candidate group is dealt, once, to a task with its signatures and shingles. A group above ``block_shingles``
-   is split into blocks and every pair of blocks becomes a task of its own, so no task holds an unbounded group.
+   or ``block_classes`` is split into blocks and every pair of blocks becomes a task of its own, so no task holds an
+   unbounded group, and links inside a task are index pairs, at most ``block_classes`` squared or so.
 4. Inside a task, pairs that share a band are compared a few MinHash values at a time. After each step a pair is
    dropped when the posterior probability (uniform prior) that its similarity reaches the threshold falls below
    ``tolerance``. What is left is verified exactly on the shingle sets.
@@ -41,6 +42,7 @@ BANDS, ROWS = 28, 4
 STEP = 16                    # MinHash values compared between two prunings
 TOLERANCE = 1e-6
 BLOCK_SHINGLES = 1 << 17
+BLOCK_CLASSES = 1 << 11
 
 
 def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,12 +142,12 @@ def needed_matches(step: int, n: int, threshold: float, tolerance: float) -> lis
 
 
 def link_blocks(sig_a, sh_a, off_a, sig_b, sh_b, off_b, same: bool, bands: int, rows: int, step: int,
-                threshold: float, needed: list[int], count=None) -> np.ndarray:
-    """Boolean matrix of links between two blocks (``same``: one block with itself, upper triangle only)."""
+                threshold: float, needed: list[int], count=None) -> tuple[np.ndarray, np.ndarray]:
+    """Links between two blocks as index pairs (``same``: one block with itself, every pair once)."""
     na, nb = len(sig_a), len(sig_b)
-    link = np.zeros((na, nb), bool)
+    left, right = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     if not na or not nb:
-        return link
+        return left[0], right[0]
     size_a, size_b = np.diff(off_a), np.diff(off_b)
     # shingles numbered inside the task, so that membership is a table lookup
     values, code = np.unique(np.concatenate([sh_a, sh_b]), return_inverse=True)
@@ -181,15 +183,19 @@ def link_blocks(sig_a, sh_a, off_a, sig_b, sh_b, off_b, same: bool, bands: int,
             flat = np.repeat(off_b[js] - at, n) + np.arange(n.sum())
             both = np.add.reduceat(flag[code_b[flat]], at)
         flag[own] = 0
-        link[i, js] = both >= threshold * (sa + size_b[js] - both) - 1e-9
-    return link
+        linked = js[both >= threshold * (sa + size_b[js] - both) - 1e-9]
+        left.append(np.full(len(linked), i, np.int32))
+        right.append(linked.astype(np.int32))
+    return np.concatenate(left), np.concatenate(right)
 
 
-def smallest_linked(link: np.ndarray) -> np.ndarray:
-    """For each node of a symmetric boolean matrix the smallest node of its component."""
-    lab = np.arange(len(link))
+def smallest_linked(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest node of its component; links are index pairs."""
+    lab = np.arange(n)
     while True:
-        new = np.minimum(lab, np.where(link, lab[None, :], len(lab)).min(1, initial=len(lab)))
+        new = lab.copy()
+        np.minimum.at(new, left, lab[right])
+        np.minimum.at(new, right, lab[left])
         new = new[new]
         if (new == lab).all():
             return lab
@@ -198,7 +204,7 @@ def smallest_linked(link: np.ndarray) -> np.ndarray:
 
 def similarity_classes(docs: DataFrame, k: int = K, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
                        tolerance: float = TOLERANCE, step: int = STEP,
-                       block_shingles: int = BLOCK_SHINGLES) -> tuple[DataFrame, DataFrame]:
+                       block_shingles: int = BLOCK_SHINGLES, block_classes: int = BLOCK_CLASSES) -> tuple[DataFrame, DataFrame]:
     """(texts, classes): ``texts`` has a row per document (doc_id, w_class), ``classes`` a row per class that is linked
     with another (w_class, w_root, n_links)."""
     if (bands * rows) % step:
@@ -214,8 +220,8 @@ def similarity_classes(docs: DataFrame, k: int = K, threshold: float = THRESHOLD
     groups = shared_checkpoint(classes.join(groups, "w_class"))
 
     # every pair of a group's blocks is a task; most groups are one block
-    sizes = (groups.groupBy("w_group").agg(F.sum("w_n").alias("total"))
-             .select("w_group", F.ceil(F.col("total") / block_shingles).cast("int").alias("blocks")))
+    sizes = (groups.groupBy("w_group").agg(F.sum("w_n").alias("total"), F.count("*").alias("n"))
+             .select("w_group", F.ceil(F.greatest(F.col("total") / block_shingles, F.col("n") / block_classes)).cast("int").alias("blocks")))
     dealt = groups.join(sizes, "w_group")
     own = F.pmod(F.xxhash64("w_class"), F.col("blocks")).cast("int")
     dealt = dealt.withColumn("own", own).select(
@@ -266,25 +272,26 @@ def link_task(table: pa.Table, bands: int, rows: int, step: int, threshold: floa
     np.cumsum([len(x) // 8 for x in raw], out=off[1:])
     sh = np.frombuffer(b"".join(raw), "<u8")
     n = len(key)
-    link = np.zeros((n, n), bool)
+    left = right = np.zeros(0, np.int32)
     cut = int(np.searchsorted(own, own[0], "right")) if n else 0
     if cut == n and table.column("low")[0].as_py() != table.column("high")[0].as_py():
         pass                                  # two blocks, of which one is empty
     elif cut == n:
-        link[:, :] = link_blocks(sig, sh, off, sig, sh, off, True, bands, rows, step, threshold, needed)
+        left, right = link_blocks(sig, sh, off, sig, sh, off, True, bands, rows, step, threshold, needed)
     else:
-        link[:cut, cut:] = link_blocks(sig[:cut], sh[: off[cut]], off[: cut + 1], sig[cut:], sh[off[cut]:],
-                                       off[cut:] - off[cut], False, bands, rows, step, threshold, needed)
-    link |= link.T
-    root = smallest_linked(link)
-    some = link.any(1)
+        left, right = link_blocks(sig[:cut], sh[: off[cut]], off[: cut + 1], sig[cut:], sh[off[cut]:],
+                                  off[cut:] - off[cut], False, bands, rows, step, threshold, needed)
+        right = right + np.int32(cut)
+    root = smallest_linked(n, left, right)
+    links = np.bincount(left, minlength=n) + np.bincount(right, minlength=n)
+    some = links > 0
     # the smallest name of each local component
     least: dict[int, bytes] = {}
     for i in np.flatnonzero(some).tolist():
         r = int(root[i])
         if r not in least or key[i] < least[r]:
             least[r] = key[i]
-    return pa.table({"w_class": pa.array([key[i] for i in np.flatnonzero(some).tolist()], pa.binary()), "n_links": pa.array(link.sum(1)[some], pa.int64()),
+    return pa.table({"w_class": pa.array([key[i] for i in np.flatnonzero(some).tolist()], pa.binary()), "n_links": pa.array(links[some], pa.int64()),
                      "w_to": pa.array([least[int(r)] for r in root[some]], pa.binary())})
 
 

@@ -126,6 +126,44 @@ def test_ngram_join_edge_cases(spark):
     assert nj.ngram_join(docs.limit(0)).count() == 0 and nj.keep_representatives(docs.limit(0)).count() == 0
 
 
+def test_many_short_near_copies_stay_small():
+    # two blocks of short texts that are all alike: memory follows the links, not classes x classes of eight bytes
+    import tracemalloc
+    n, needed = 1200, nj.needed_matches(16, 112, 0.8, 1e-6)
+    sets = [list(range(1, 11)) if i % 2 else [*range(1, 10), 100 + i] for i in range(n)]
+    sh = np.array([x for s in sets for x in s], np.uint64)
+    sig = nj.signatures(sh * np.uint64(0x9E3779B97F4A7C15), np.arange(n + 1) * 10, 112)
+    table = pa.table({"w_class": pa.array([b"%05d" % i for i in range(n)], pa.binary()), "own": pa.array([i % 2 for i in range(n)], pa.int32()),
+                      "low": pa.array([0] * n, pa.int32()), "high": pa.array([1] * n, pa.int32()),
+                      "w_sig": pa.array([x.astype("<u4").tobytes() for x in sig], pa.binary()),
+                      "w_sh": pa.array([np.array(s, "<u8").tobytes() for s in sets], pa.binary())})
+    tracemalloc.start()
+    got = nj.link_task(table, 28, 4, 16, 0.8, needed).to_pydict()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got["w_class"] == [b"%05d" % i for i in [*range(0, n, 2), *range(1, n, 2)]]
+    assert set(got["n_links"]) == {n // 2} and set(got["w_to"]) == {b"00000"}
+    assert peak < 8 * n * n
+
+
+def test_blocks_are_bounded_by_classes(spark):
+    base = "a b c d e f g h i j k l m n".split()
+    rows = [(i, " ".join([*base[:-1], f"w{i}"])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    task = nj.link_task
+
+    def counted(table, *a):
+        assert table.num_rows <= 30, table.num_rows
+        return task(table, *a)
+
+    nj.link_task = counted
+    try:
+        got = {r.doc_id: (r.class_id, r.n_copies, r.n_links) for r in nj.ngram_join(docs, block_classes=8).collect()}
+    finally:
+        nj.link_task = task
+    assert got == nj.brute_force(rows)
+
+
 def test_pruning_never_drops_likely_pairs():
     needed = nj.needed_matches(16, 112, 0.8, 1e-6)
     rng = np.random.default_rng(1)
