@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from prelaunch.llm import (decontaminate, html_text, language_id, mixing, ngram_join, surrogates, token_counts, topk_search, toxicity,
+from prelaunch.llm import (decontaminate, html_text, language_id, merkle, mixing, ngram_join, surrogates, token_counts, topk_search, toxicity,
                            url_reputation)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_pii": surrogates.op8_pii,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 
 # Learned, hashed and wrapped results (1, 4, 5, 7, 8, 9) are tested against brute force or held-out rows instead.
@@ -24,4 +25,5 @@ ORACLE = {
     "op3_topk": topk_search.ORACLE_SQL,
     "op6_mixing": mixing.ORACLE_SQL,
     "op10_decontamination": decontaminate.ORACLE_SQL,
+    "op11_merkle_manifest": merkle.ORACLE_SQL,
 }
