@@ -9,7 +9,8 @@ whole block shares. A version verifies if its copied root is the original root.
 Scale: texts are hashed inside the scan and never shuffled; what moves is a row of digests per document. Positions come from a
 range partitioning by (language, doc_id), so a language with most of the rows is cut into as many ranges as any other,
 and from counts of each range. A task holds one block of 512 nodes; the block roots are the nodes of the next round,
-so rounds fall off by a factor of 512 (four for 6 * 10**10 leaves). The driver sees one number: the largest tree's size.
+so rounds fall off by a factor of 512. Once a round has at most ``TOP_NODES`` nodes in all, one task finishes the levels above
+(three rounds for 10**12 leaves); more languages than that are ranked and folded in rounds like leaves. The driver sees two numbers a round.
 
 Edge cases: a null field is hashed as ``-``, an empty text as ``0:``; long texts are hashed whole. Null ``doc_id`` and null
 ``lang`` come first. Rows of equal language and id are ordered by their leaf, so repeated rows are repeated leaves. A lone
@@ -30,6 +31,7 @@ from prelaunch.llm.components import shared_checkpoint
 
 ARITY = 8
 BLOCK_LEVELS = 3
+TOP_NODES = 1 << 14          # nodes of a round that one task folds up to the root
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -138,14 +140,36 @@ def fold(nodes: DataFrame, levels: int = BLOCK_LEVELS) -> DataFrame:
     return grouped.applyInArrow(run, "w_tree string, pos long, n long, node string")
 
 
-def rounds(nodes: DataFrame, levels: int = BLOCK_LEVELS) -> list[DataFrame]:
-    """``nodes`` and the block roots of every round above, up to one node per tree."""
+def rounds(nodes: DataFrame, levels: int = BLOCK_LEVELS, top_nodes: int = 0) -> list[DataFrame]:
+    """``nodes`` and the block roots of every round above, up to at most ``top_nodes`` nodes or to one node per tree."""
     out = [nodes]
-    most = nodes.agg(F.max("n")).first()[0] or 1
-    while most > 1:
-        out.append(shared_checkpoint(fold(out[-1], levels)))
-        most = -(-most // ARITY ** levels)
-    return out
+    while True:
+        if len(out) > 1:
+            out[-1] = shared_checkpoint(out[-1])
+        total, most = out[-1].agg(F.count("*"), F.max("n")).first()
+        if (most or 0) <= 1 or len(out) > 1 and total <= top_nodes:
+            return out
+        out.append(fold(out[-1], levels))
+
+
+def finished(nodes: DataFrame) -> DataFrame:
+    """(w_tree, pos, steps, subroot, root) of a round of few nodes: all trees and the tree of their subroots, in one task."""
+
+    def run(batches):
+        trees: dict[str, list] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                trees.setdefault(r["w_tree"], []).append((r["pos"], r["node"]))
+        names = sorted(trees, key=str.encode)
+        blocks = {k: Block([node for _, node in sorted(trees[k])], len(trees[k]), 64) for k in names}
+        forest = Block([blocks[k].root for k in names], len(names), 64)
+        for k, above in zip(names, forest.steps):
+            n = len(trees[k])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k] * n), pa.array(range(n), pa.int64()), pa.array([written([*s, *above]) for s in blocks[k].steps]),
+                 pa.array([blocks[k].root] * n), pa.array([forest.root] * n)], ["w_tree", "pos", "steps", "subroot", "root"])
+
+    return nodes.select("w_tree", "pos", "node").coalesce(1).mapInArrow(run, "w_tree string, pos long, steps string, subroot string, root string")
 
 
 def descend(nodes: DataFrame, upper: DataFrame, levels: int = BLOCK_LEVELS) -> DataFrame:
@@ -165,35 +189,44 @@ def descend(nodes: DataFrame, upper: DataFrame, levels: int = BLOCK_LEVELS) -> D
 @dataclass
 class Manifest:
     """``leaves``: doc_id, leaf, changed, w_tree, pos, n. ``blocks``: per block of leaves the siblings on the path of its root
-    (w_tree, pos, steps). ``subroots``: w_tree, subroot, root. ``nodes``: the block roots of every round (w_tree, round, pos, node)."""
+    (w_tree, pos, steps), subroot and root. ``nodes``: the block roots of every round that was distributed (w_tree, round, pos, node)."""
     leaves: DataFrame
     blocks: DataFrame
-    subroots: DataFrame
     nodes: DataFrame
 
 
-def build(leaves: DataFrame, levels: int = BLOCK_LEVELS) -> Manifest:
+def build(leaves: DataFrame, levels: int = BLOCK_LEVELS, top_nodes: int = TOP_NODES) -> Manifest:
     """The tree over ``leaves`` (see :func:`leaves_of`)."""
-    places = numbered(leaves, ["doc_id", "leaf"])
-    trees = rounds(places.withColumnRenamed("leaf", "node"), levels)
-    tops = trees[-1].select("w_tree", F.col("node").alias("subroot"))
-    # the subroots are the leaves of one tree more
-    ranked = shared_checkpoint(numbered(tops.select(F.lit("").alias("w_tree"), F.col("w_tree").alias("w_name"), F.col("subroot").alias("node")), ["w_name"]))
-    forest = rounds(ranked, levels)
-    steps = forest[-1].select("w_tree", "pos", F.lit("").alias("steps"))
-    for nodes in reversed(forest[:-1]):
-        steps = descend(nodes, steps, levels)
-    named = ranked.select("w_name", "pos", F.col("node").alias("subroot"))
-    root = forest[-1].select(F.col("node").alias("root"))
-    tops = shared_checkpoint(named.join(steps, "pos").crossJoin(root)      # the root is one row
-                             .select(F.col("w_name").alias("w_tree"), "subroot", "root", "steps"))
-    down = tops.select("w_tree", F.lit(0).cast("long").alias("pos"), "steps")
+    places = shared_checkpoint(numbered(leaves, ["doc_id", "leaf"]))
+    trees = rounds(places.withColumnRenamed("leaf", "node"), levels, top_nodes)
+    if len(trees) == 1:
+        trees.append(shared_checkpoint(fold(trees[0], levels)))       # lone leaves
+    if trees[-1].count() <= top_nodes:
+        down = shared_checkpoint(finished(trees[-1]))
+        tops = down.where("pos = 0").select("w_tree", "subroot", "root")
+        down = down.drop("subroot", "root")
+    else:
+        tops, down = _forest(trees[-1], levels)
     for nodes in reversed(trees[1:-1]):
         down = descend(nodes, down, levels)
     kept = trees[0].select("w_tree", F.lit(0).alias("round"), "pos", "node")
     for i, nodes in enumerate(trees[1:], 1):
         kept = kept.unionByName(nodes.select("w_tree", F.lit(i).alias("round"), "pos", "node"))
-    return Manifest(places, down, tops.select("w_tree", "subroot", "root"), kept)
+    return Manifest(places, down.join(tops, "w_tree"), kept)
+
+
+def _forest(nodes: DataFrame, levels: int) -> tuple[DataFrame, DataFrame]:
+    """(tops, down) when trees of one node each are many: their subroots are ranked and folded like the leaves of one tree."""
+    subroots = nodes.select(F.lit("").alias("w_tree"), F.col("w_tree").alias("w_name"), "node")
+    ranked = shared_checkpoint(numbered(subroots, ["w_name", "node"]))
+    forest = rounds(ranked, levels)
+    steps = forest[-1].select("w_tree", "pos", F.lit("").alias("steps"))
+    for nodes in reversed(forest[:-1]):
+        steps = descend(nodes, steps, levels)
+    root = forest[-1].select(F.col("node").alias("root"))
+    named = ranked.select(F.col("w_name").alias("w_tree"), "pos", F.col("node").alias("subroot")).join(steps.drop("w_tree"), "pos")
+    tops = shared_checkpoint(named.join(F.broadcast(root)))                   # the root is one row
+    return tops.select("w_tree", "subroot", "root"), tops.select("w_tree", F.lit(0).cast("long").alias("pos"), "steps")
 
 
 def versions(manifest: Manifest, levels: int = BLOCK_LEVELS) -> DataFrame:
@@ -227,7 +260,7 @@ def versions(manifest: Manifest, levels: int = BLOCK_LEVELS) -> DataFrame:
                          "copied": pa.array(copies, pa.list_(pa.string()))})
 
     left = manifest.leaves.groupBy("w_tree", _block(levels))
-    upper = manifest.blocks.join(manifest.subroots, "w_tree").select("w_tree", F.col("pos").alias("w_block"), "steps", "subroot", "root")
+    upper = manifest.blocks.select("w_tree", F.col("pos").alias("w_block"), "steps", "subroot", "root")
     return left.cogroup(upper.groupBy("w_tree", "w_block")).applyInArrow(run, columns)
 
 

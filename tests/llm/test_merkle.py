@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from prelaunch.llm import merkle as mk
 
-SF = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -62,13 +61,13 @@ def brute_force(rows):
     return sorted(map(repr, out))
 
 
-def run(spark, rows, levels, extra=False):
+def run(spark, rows, levels, extra=False, top_nodes=mk.TOP_NODES):
     docs = spark.createDataFrame([tuple(r[c] for c in ("doc_id", "text", "lang", "source", "n_chars")) for r in rows], SCHEMA)
     if extra:
         for c in ("leaf", "w_tree", "pos", "n", "node", "root", "steps", "changed"):
             docs = docs.withColumn(c, F.lit("x"))
     leaves = mk.leaves_of(docs, F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate("text", mk.UPPER, mk.LOWER))
-    return mk.versions(mk.build(leaves, levels), levels)
+    return mk.versions(mk.build(leaves, levels, top_nodes), levels)
 
 
 def rows_of(df):
@@ -82,15 +81,16 @@ def example(n):
              "source": None if i % 3 else "s", "n_chars": None if i % 7 == 0 else i} for i in range(n)]
 
 
-@pytest.mark.parametrize("n,levels", [(1, 3), (2, 1), (9, 1), (150, 1), (150, 3), (700, 2)])
-def test_manifest_equals_brute_force(spark, n, levels):
+@pytest.mark.parametrize("n,levels,top", [(1, 3, 99), (1, 3, 0), (2, 1, 99), (9, 1, 4), (150, 1, 0), (150, 1, 60), (150, 3, 99), (700, 2, 0), (700, 1, 99)])
+def test_manifest_equals_brute_force(spark, n, levels, top):
     rows = example(n) + example(min(n, 20))           # repeated rows are repeated leaves
-    assert rows_of(run(spark, rows, levels, extra=n == 150)) == brute_force(rows)
+    assert rows_of(run(spark, rows, levels, n == 150, top)) == brute_force(rows)
 
 
 def test_many_languages_and_one_hot_language(spark):
     rows = [{"doc_id": i, "text": f"T{i}", "lang": "hot" if i % 2 else f"l{i}", "source": "s", "n_chars": 1} for i in range(300)]
-    assert rows_of(run(spark, rows, 1)) == brute_force(rows)
+    for top in (0, 100, 1_000):
+        assert rows_of(run(spark, rows, 1, top_nodes=top)) == brute_force(rows)
 
 
 def test_versions_share_what_is_off_the_path(spark):
@@ -109,7 +109,7 @@ def test_manifest_of_nothing(spark):
 def test_manifest_nodes_are_the_tree(spark):
     rows = [{"doc_id": i, "text": str(i), "lang": "en", "source": "s", "n_chars": 1} for i in range(100)]
     docs = spark.createDataFrame([tuple(r[c] for c in ("doc_id", "text", "lang", "source", "n_chars")) for r in rows], SCHEMA)
-    m = mk.build(mk.leaves_of(docs), 1)
+    m = mk.build(mk.leaves_of(docs), 1, 0)
     levels = tree([leaf(r, r["text"]) for r in rows])
     assert {(r["round"], r["pos"]): r["node"] for r in m.nodes.collect()} == {(k, i): h for k, nodes in enumerate(levels) for i, h in enumerate(nodes)}
 
