@@ -139,13 +139,52 @@ def test_topk_edge_cases(spark):
             (None, [1.0, 1.0]), (6, [float("inf"), 0.0]), (7, [1e9, 0.0]), (8, [1.0, 0.5])]
     df = spark.createDataFrame([(i, v, 7) for i, v in rows], "vec_id long, embedding array<float>, score int")
     got = sorted(tuple(r) for r in tk.search(df.where("vec_id % 50 = 0"), df).collect())
-    a, b = 256 * 256 + 128 * 128, 256 * 64 - 128 * 256
-    assert got == sorted([(0, 1, 1, a), (0, 2, 8, a), (0, 3, 50, b), (0, 4, 50, b)] + [(50, k + 1, v, b) for k, v in enumerate((0, 1, 8))] * 2)
+    a, b, big = 256 * 256 + 128 * 128, 256 * 64 - 128 * 256, 256 * 10 ** 9
+    assert got == sorted([(0, 1, 7, big * 256), (0, 2, 1, a), (0, 3, 8, a), (0, 4, 50, b), (0, 5, 50, b)]
+                         + [(50, k + 1, v, s) for k, (v, s) in enumerate([(7, big * 64), (0, b), (1, b), (8, b)])] * 2)
     assert tk.search(df.limit(0), df).count() == 0
-    small = sorted(tuple(r) for r in tk.search(df.where("vec_id % 50 = 0"), df, block=2, query_block=1).collect())
+    small = sorted(tuple(r) for r in tk.search(df.where("vec_id % 50 = 0"), df, block=2, query_block=1, broadcast_bytes=24).collect())
     assert small == got
 
 
+def test_topk_keeps_every_finite_vector(spark, duck):
+    """Large components as query and candidate, against integers of any size; only a returned score beyond a long is an error."""
+    rows = [(0, [3e5, 1.0]), (1, [3e5, 1.0]), (2, [-7e6, 2.0]), (3, [1e8, -1e8]), (4, [0.5, 0.25]), (50, [0.0, 2.0 ** 40]), (100, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = {}
+    for i, v in rows:
+        if i % 50 == 0:
+            scored = sorted((-sum(tk.whole(x) * tk.whole(y) for x, y in zip(v, w)), j) for j, w in rows if j != i)[:5]
+            exact.update({(i, r + 1): (j, -s) for r, (s, j) in enumerate(scored)})
+    kept = {k: v for k, v in exact.items() if k[0] != 50}
+    got = tk.search(df.where("vec_id in (0, 100)"), df)
+    assert {(r.query_id, r.rank): (r.vec_id, r.score) for r in got.collect()} == kept and all(abs(s) < 1 << 63 for _, s in kept.values())
+    far = spark.createDataFrame([(0, [1e300]), (1, [1e300]), (2, [0.0]), (3, [-1e308])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="exceeds a long"):
+        tk.search(far.where("vec_id = 0"), far).collect()
+    assert [(r.vec_id, r.score) for r in tk.search(far.where("vec_id = 2"), far).orderBy("rank").collect()] == [(0, 0), (1, 0), (3, 0)]
+    import duckdb
+    con = duckdb.connect()
+    con.sql("create table embeddings (vec_id bigint, embedding double[])")
+    con.executemany("insert into embeddings values (?, ?)", [r for r in rows if r[0] != 50 and r[0] != 3])
+    some = df.where("vec_id not in (3, 50)")
+    assert same_rows(tk.search(some.where("vec_id % 50 = 0"), some), con.sql(tk.ORACLE_SQL).df())
+
+
+def test_topk_bounds_read_lists_in_stretches():
+    rng = np.random.default_rng(0)
+    x = np.floor(rng.normal(size=(700, 3)) * 256 * np.array([9, 1, 1])).astype(np.int64)
+    q = np.floor(rng.normal(size=(40, 3)) * 256).astype(np.int64)
+    lists = tk.SortedLists(np.arange(700), x)
+    for _ in range(2):
+        which, vec, score, depths = tk.search_block(lists, np.full(40, -1), q, 5, few=5)
+        scores = x @ q.T
+        for c in range(40):
+            want = np.lexsort((np.arange(700), -scores[:, c]))[:5]
+            assert vec[which == c].tolist() == want.tolist() and score[which == c].tolist() == scores[want, c].tolist()
+    assert depths.min() < 700
+
+
 def test_mixing_query_equals_sql_and_brute_force(spark, duck):
     got = mx.op6_mixing(spark, SF)
     assert same_rows(got, duck.sql(mx.ORACLE_SQL).df())
