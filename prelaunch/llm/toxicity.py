@@ -2,8 +2,10 @@
 
 * **Token log-odds.** Words, and word beginnings of 6, 5 and 4 characters as back-off for rare words, get the log-odds of
   occurring in toxic against clean texts (each text counts a unit once) under an informative Dirichlet prior (the pooled frequencies, worth
-  ``PRIOR`` of the corpus), shrunk towards 0 by ``SHRINK`` standard errors. A token scores the value of its most
-  specific known unit minus ``DRIFT``, so that the expected score of clean text is negative.
+  a share ``prior`` of the corpus), shrunk towards 0 by ``shrink`` standard errors. A token scores the value of its most
+  specific known unit minus ``DRIFT``, so that the expected score of clean text is negative. Prior and shrinkage are chosen from
+  ``PRIORS`` x ``SHRINKS`` by cross-validation inside the training rows: texts are dealt into ``FOLDS`` by a hash of the text (copies
+  stay together), scored by the odds of the other folds, and the setting that ranks toxic above clean texts best is taken.
 * **Segments.** A linear-time scan finds all maximal-scoring segments of each text (the standard left-to-right scan
   over cumulative sums). Only tokens with a positive score open or extend a candidate, so the scan is sparse.
 * **Extreme-value calibration.** For scores with negative drift the best segment of n clean tokens follows
@@ -12,14 +14,16 @@
   E < ``E_MAX`` are the significant passages. A text's evidence is the sum of lambda S - ln(K n) over its segments, as
   far as positive, and a logistic curve fitted on the training texts turns it into a probability.
 
-Learning reads the labelled training rows, at most about ``fit_rows`` of them, chosen by a hash of ``doc_id``.
+Learning reads the labelled training rows, at most about ``fit_rows`` of them, chosen by a hash of ``doc_id``. No other label enters
+any constant.
 
 Scale: labels of the bounded sample are broadcast, so learning does not shuffle texts; unit counts are summed in each
 task before the shuffle; the model holds the units that ``MIN_COUNT`` or more texts of the bounded sample have. Scoring scans the texts
 once (``mapInArrow``, no shuffle).
 
-Edge cases: null and empty texts have no tokens and no evidence; they score like any text without evidence. Without
-training labels every score is 0. Several labels of one ``doc_id`` count as toxic if any is. Rows with a null
+Edge cases: null and empty texts have no tokens and no evidence; they score like any text without evidence. Very long texts are
+scanned whole, in time linear in their length. An empty table gives no rows. Ties between settings go to the first. Without
+training labels of both kinds every score is 0; with fewer of one kind than folds the first setting is taken. Several labels of one ``doc_id`` count as toxic if any is. Rows with a null
 ``doc_id`` are scored but never learned from. Repeated rows score alike. Only ``doc_id`` and ``text`` (``doc_id`` and
 ``toxic`` of labels) are read.
 """
@@ -38,8 +42,9 @@ from prelaunch.llm.language_id import held_out
 from prelaunch.llm.words import FOLD, distinct_per_row, row_slices, small_batches, span_hash, spans, utf8
 
 FIT_ROWS = 20_000
-PRIOR = 0.05
-SHRINK = 1.64
+PRIORS = (0.05, 0.01, 0.25)
+SHRINKS = (1.64, 1.0, 2.33)
+FOLDS = 3
 DRIFT = 0.1
 MIN_COUNT = 4                # texts
 E_MAX = 0.05
@@ -56,6 +61,7 @@ class ToxicityModel:
     k: float
     curve: tuple[float, float]
     trained: bool = True
+    setting: tuple[float, float] = (PRIORS[0], SHRINKS[0])
 
 
 def tokens(texts):
@@ -82,7 +88,13 @@ def unit_hashes(low, starts, ends, level: int) -> np.ndarray:
 
 def token_scores(model_units, model_scores, low, starts, ends) -> np.ndarray:
     """Score of each token before the drift: that of its most specific known unit, else 0."""
-    out = np.zeros(len(starts))
+    at = known_units(model_units, low, starts, ends)
+    return np.append(model_scores, 0.0)[at]
+
+
+def known_units(model_units, low, starts, ends) -> np.ndarray:
+    """Place of each token's most specific known unit; -1 without one."""
+    out = np.full(len(starts), -1)
     left = np.arange(len(starts))
     for level in range(len(STEMS) + 1):
         if not len(left) or not len(model_units):
@@ -90,7 +102,7 @@ def token_scores(model_units, model_scores, low, starts, ends) -> np.ndarray:
         h = unit_hashes(low, starts[left], ends[left], level)
         at = np.minimum(np.searchsorted(model_units, h), len(model_units) - 1)
         ok = model_units[at] == h
-        out[left[ok]] = model_scores[at[ok]]
+        out[left[ok]] = at[ok]
         left = left[~ok]
     return out
 
@@ -139,14 +151,15 @@ def evidence(n: int, segments, lam: float, k: float) -> float:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
-    """(text, toxic) of a bounded sample of labelled rows."""
+    """(text, toxic, fold) of a bounded sample of labelled rows."""
     labelled = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
                 .agg(F.max("toxic").cast("int").alias("toxic")))
     n = labelled.count()
     share = min(1.0, fit_rows / max(n, 1))
     labelled = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
     # about fit_rows small rows, whatever the table's size
-    return docs.select("doc_id", "text").join(F.broadcast(labelled), "doc_id").select("text", "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(labelled), "doc_id").select(
+        "text", "toxic", F.pmod(F.xxhash64("text", F.lit(5)), F.lit(FOLDS)).cast("int").alias("fold"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> ToxicityModel:
@@ -154,39 +167,99 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
 
     def count(batches):
         for batch in batches:
-            toxic = batch.column("toxic").to_numpy()
+            toxic, fold = batch.column("toxic").to_numpy(), batch.column("fold").to_numpy()
             for first, last, low, starts, ends, at in tokens(batch.column("text")):
                 for level in range(len(STEMS) + 1):
                     # a text counts a unit once, however often it repeats it
                     h, own = distinct_per_row(unit_hashes(low, starts, ends, level), at)
-                    label = np.repeat(toxic[first:last], np.diff(own)).astype(np.int64)
+                    group = np.repeat(fold[first:last] * 2 + toxic[first:last], np.diff(own)).astype(np.int64)
                     unit, back = np.unique(h, return_inverse=True)
-                    both = np.bincount(back, minlength=len(unit))
-                    hot = np.bincount(back, label, minlength=len(unit)).astype(np.int64)
+                    n = np.bincount(back * 2 * FOLDS + group, minlength=len(unit) * 2 * FOLDS).reshape(len(unit), 2 * FOLDS)
                     yield pa.RecordBatch.from_arrays([pa.array(unit.view(np.int64)), pa.array(np.full(len(unit), level, np.int32)),
-                                                      pa.array(hot), pa.array(both - hot)], ["unit", "level", "toxic", "clean"])
+                                                      *[pa.array(n[:, g]) for g in range(2 * FOLDS)]], ["unit", "level", *GROUPS])
 
-    counts = (small_batches(rows).mapInArrow(count, "unit long, level int, toxic long, clean long").groupBy("unit", "level")
-              .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+    counts = (small_batches(rows).mapInArrow(count, "unit long, level int, " + ", ".join(f"{g} long" for g in GROUPS)).groupBy("unit", "level")
+              .agg(*[F.sum(g).alias(g) for g in GROUPS]))
     # units of the bounded sample
-    got = counts.where(F.col("toxic") + F.col("clean") >= MIN_COUNT).toArrow()
-    level = got["level"].to_numpy()
-    yt, yc = got["toxic"].to_numpy().astype(float), got["clean"].to_numpy().astype(float)
+    got = counts.where(sum(F.col(g) for g in GROUPS) >= MIN_COUNT).toArrow()
+    unit = got["unit"].to_numpy().view(np.uint64)
+    order = np.argsort(unit)
+    units, level = unit[order], got["level"].to_numpy()[order]
+    clean, hot = (np.stack([got[f"n{2 * f + label}"].to_numpy()[order].astype(float) for f in range(FOLDS)]) for label in (0, 1))
     word = level == 0
+    if not hot[:, word].sum() or not clean[:, word].sum():
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 1.0, 1.0, (0.0, 0.0), False)
+    setting = _best_setting(rows, units, word, hot, clean)
+    scores = log_odds(hot.sum(0), clean.sum(0), word, *setting)
+    lam, k, curve = _calibrate(rows, units, scores)
+    return ToxicityModel(units, scores, lam, k, curve, True, setting)
+
+
+GROUPS = [f"n{i}" for i in range(2 * FOLDS)]     # texts per fold, clean and toxic
+
+
+def log_odds(yt: np.ndarray, yc: np.ndarray, word: np.ndarray, prior: float, shrink: float) -> np.ndarray:
+    """Shrunken log-odds of units from the numbers of toxic and clean texts that have them."""
     nt, nc = yt[word].sum(), yc[word].sum()
     if not nt or not nc:
-        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 1.0, 1.0, (0.0, 0.0), False)
-    a0 = max(PRIOR * (nt + nc), 100.0)
-    a = a0 * (yt + yc) / (nt + nc)
+        return np.zeros(len(yt))
+    a0 = max(prior * (nt + nc), 100.0)
+    a = np.maximum(a0 * (yt + yc) / (nt + nc), 1e-9)           # units that no text here has keep a trace of the prior
     delta = np.log((yt + a) / (nt + a0 - yt - a).clip(1)) - np.log((yc + a) / (nc + a0 - yc - a).clip(1))
     sigma = np.sqrt(1 / (yt + a) + 1 / (yc + a))
-    score = np.sign(delta) * np.maximum(np.abs(delta) - SHRINK * sigma, 0)
-    score = np.clip(score, -CLIP, CLIP)
-    unit = got["unit"].to_numpy().view(np.uint64)
-    order = np.argsort(unit)
-    units, scores = unit[order], score[order]
-    lam, k, curve = _calibrate(rows, units, scores)
-    return ToxicityModel(units, scores, lam, k, curve)
+    score = np.sign(delta) * np.maximum(np.abs(delta) - shrink * sigma, 0)
+    return np.clip(score, -CLIP, CLIP)
+
+
+def _best_setting(rows: DataFrame, units: np.ndarray, word: np.ndarray, hot: np.ndarray, clean: np.ndarray) -> tuple[float, float]:
+    """The (prior, shrink) whose cross-validated evidence ranks the training rows best (area under the ROC curve)."""
+    settings = [(p, s) for p in PRIORS for s in SHRINKS]
+    # scores of every unit for a text of each fold, learned from the other folds
+    held = np.stack([[log_odds(hot.sum(0) - hot[f], clean.sum(0) - clean[f], word, *s) for f in range(FOLDS)] for s in settings])
+    held = np.concatenate([held, np.zeros((*held.shape[:2], 1))], 2)
+    shared = rows.sparkSession.sparkContext.broadcast((units, held))
+
+    def run(batches):
+        units, held = shared.value
+        for batch in batches:
+            toxic, fold = batch.column("toxic").to_pylist(), batch.column("fold").to_pylist()
+            out: list[tuple] = []
+            bins: dict[tuple, int] = {}
+            for first, _, low, starts, ends, at in tokens(batch.column("text")):
+                known = known_units(units, low, starts, ends)
+                for r in range(len(at) - 1):
+                    own = known[at[r]: at[r + 1]]
+                    if not len(own):
+                        continue
+                    for i in range(len(held)):
+                        s = held[i, fold[first + r], own] - DRIFT
+                        segs = [x for _, _, x in maximal_segments(s)] if s.max() > 0 else []
+                        out.append((i, toxic[first + r], len(own), segs))
+                        if not toxic[first + r]:
+                            for b, c in zip(*np.unique(np.round(s / BIN).astype(int), return_counts=True)):
+                                bins[i, int(b)] = bins.get((i, int(b)), 0) + int(c)
+            out += [(i, -1, c, [float(b)]) for (i, b), c in bins.items()]               # histogram rows: bin and count
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32()),
+                                              pa.array([o[2] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.list_(pa.float64()))],
+                                             ["setting", "toxic", "n", "segs"])
+
+    # one small row for each setting and text of the bounded sample, and for each score bin of a batch
+    got = rows.mapInArrow(run, "setting int, toxic int, n long, segs array<double>").toArrow().to_pylist()
+    areas = []
+    for i in range(len(settings)):
+        _, _, _, x, y, _ = _calibrated([r for r in got if r["setting"] == i])
+        if min(y.sum(), len(y) - y.sum()) < FOLDS:
+            return settings[0]
+        areas.append(ranked_area(x, y))
+    return settings[int(np.argmax(areas))]
+
+
+def ranked_area(x: np.ndarray, y: np.ndarray) -> float:
+    """Share of pairs (label 1, label 0) that ``x`` puts in this order, ties half."""
+    _, place, n = np.unique(x, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(n) - (n - 1) / 2)[place]
+    hot = y > 0
+    return float((rank[hot].sum() - hot.sum() * (hot.sum() + 1) / 2) / (hot.sum() * (~hot).sum()))
 
 
 def _calibrate(rows: DataFrame, units: np.ndarray, scores: np.ndarray) -> tuple[float, float, tuple[float, float]]:
@@ -212,6 +285,13 @@ def _calibrate(rows: DataFrame, units: np.ndarray, scores: np.ndarray) -> tuple[
 
     # one small row for each text of the bounded sample, and for each score bin of a batch
     got = rows.mapInArrow(run, "toxic int, n long, segs array<double>").toArrow().to_pylist()
+    lam, k, _, _, _, curve = _calibrated(got)
+    return lam, k, curve
+
+
+def _calibrated(got: list[dict]) -> tuple:
+    """lambda, K, the texts, their log evidence, their labels and the logistic curve, from rows (toxic, n, segs) of texts and,
+    where ``toxic`` is -1, of the clean texts' score histogram."""
     hist: dict[float, int] = {}
     for r in got:
         if r["toxic"] < 0:
@@ -223,7 +303,7 @@ def _calibrate(rows: DataFrame, units: np.ndarray, scores: np.ndarray) -> tuple[
     k = len(clean) / weight if weight else 1.0
     x = np.array([np.log1p(evidence(r["n"], [(0, 0, s) for s in r["segs"]], lam, k)) for r in docs])
     y = np.array([1.0 if r["toxic"] else 0.0 for r in docs])
-    return lam, k, logistic_curve(x, y)
+    return lam, k, docs, x, y, logistic_curve(x, y) if len(x) else (0.0, 0.0)
 
 
 def solve_lambda(value: np.ndarray, count: np.ndarray) -> float:

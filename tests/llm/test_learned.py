@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from prelaunch.llm import language_id as li
 from prelaunch.llm import toxicity as tx
+from prelaunch.llm.language_id import held_out
 
 MEDIUM = "/root/testdata/sf0.01"
 EDGE = [(1, None), (2, ""), (3, "123 !!! —"), (4, "the of and " * 30_000), (5, "und der die"), (5, "und der die"), (None, "the and"), (6, "x" * 5_000)]
@@ -90,6 +91,19 @@ def test_lambda_and_curve():
     assert 1 / (1 + np.exp(-a)) < 0.1 and 1 / (1 + np.exp(-(a + 5 * b))) > 0.9
 
 
+def test_toxicity_setting_is_chosen_inside_the_training_rows(spark):
+    rng = np.random.default_rng(0)
+    x, y = rng.integers(0, 5, 60).astype(float), rng.integers(0, 2, 60).astype(float)
+    pairs = [(a > b) + 0.5 * (a == b) for a in x[y > 0] for b in x[y == 0]]
+    assert np.isclose(tx.ranked_area(x, y), np.mean(pairs))
+    docs, labels = (spark.read.parquet(f"{MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    model = tx.fit(docs.where(~held_out()), labels.where(~held_out()))
+    turned = labels.withColumn("toxic", F.when(held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    again = tx.fit(docs.where(~held_out()), turned.where(~held_out()))
+    assert model.setting in [(p, s) for p in tx.PRIORS for s in tx.SHRINKS]
+    assert model.setting == again.setting and model.curve == again.curve and (model.scores == again.scores).all()
+
+
 def test_toxicity_held_out(spark):
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
     got = tx.op4_toxicity(spark, MEDIUM).join(labels, "doc_id").toPandas()
