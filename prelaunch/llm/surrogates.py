@@ -21,7 +21,8 @@ Scale: replacing is row-local. Collision checks shuffle only distinct entities (
 third of the rows name is one row a task). The few redrawn entities reach the texts by a join on a text hash, broadcast
 only behind a row count.
 
-Edge cases: a null text stays null with 0 entities; an empty text stays empty. Repeated rows change alike. An empty table
+Edge cases: a null text stays null with 0 entities; an empty text stays empty. Very long texts and runs (a hundred thousand labels,
+letters or digits) are read whole; an address ends after the 127 labels that a domain can have. Repeated rows change alike. An empty table
 gives an empty result. ``doc_id`` may be null or repeated: nothing depends on it. Further columns stay as they are,
 whatever their names.
 """
@@ -70,7 +71,9 @@ NUMBERS = {
     "phone": r"(?<![\d.])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d.+])\(\d{3}\) ?\d{3}-\d{4}(?!\d)"
              r"|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![.-]?\d)",
 }
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}"
+# A domain has at most 127 labels: the bound also keeps the engine, which goes a step deeper with each, from running out of stack.
+# Of a longer run the first 127 labels are taken where a top-level label follows them, else nothing; the rest stays.
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,24}"
 # What begins with a letter, after anything but a letter or digit.
 WORDS = {
     "secret": r"(?=[PpSsTtAa])(?:(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}\"?[A-Za-z0-9_/+.-]{6,}+\"?|(?:AKIA|ASIA)[0-9A-Z]{16}\b)",
@@ -83,7 +86,7 @@ ENTITY = (rf"(?=[A-Za-z0-9])(?<![\p{{L}}\d._%+-]){EMAIL}|(?=[0-9+(])(?:{'|'.join
           rf"|(?=\p{{L}})(?<![\p{{L}}\d])(?:{'|'.join(WORDS.values())})")
 # Every entity has one of these characters, a title or an access key's prefix.
 HINT = rf"[0-9@=:]|A(?:KI|SI)A|(?={_TITLE_START})(?<!\p{{L}})(?:{_TITLE})\b"
-LONG = 128                   # longer secrets are drawn in chunks, each from a block of its own
+LONG = 128                   # longer secrets and address parts are drawn in chunks, each from a block of its own
 CHUNK = 32
 
 
@@ -183,6 +186,14 @@ def _part(text: Column, stream: Column, prefix: Column, hexadecimal: Column) ->
     return F.struct(text.alias("text"), stream.alias("stream"), prefix.cast("int").alias("prefix"), hexadecimal.alias("hex"))
 
 
+def _pieces(text: Column, stream: Column) -> Column:
+    """The parts of an address's local part or domain, in time linear in its length."""
+    seed = F.substr(stream, F.lit(1), F.lit(64))
+    chunks = F.transform(F.regexp_extract_all(text, F.lit(rf".{{1,{CHUNK}}}"), F.lit(0)), lambda c, i: _part(
+        c, F.sha2(F.concat_ws("|", seed, i.cast("string")).cast("binary"), 512), F.lit(0), F.lit(False)))
+    return F.when(F.length(text) <= LONG, F.array(_part(text, stream, F.lit(0), F.lit(False)))).otherwise(chunks)
+
+
 def _chunks(e: Column, kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The parts of a long secret, in time linear in its length."""
     once = F.array(F.struct(F.sha2(F.concat_ws("|", F.lit(key), kind, canon, attempt.cast("string")).cast("binary"), 512).alias("seed"),
@@ -234,10 +245,10 @@ def _filled(x: Column) -> Column:
     domain = F.substring_index(F.lower(e), "@", -1)
     top = F.substring_index(domain, ".", -1)
     whole = F.array(_part(e, x["stream"], x["prefix"], (kind == "secret") & x["canon"].rlike("^[0-9a-f]+$")))
-    mail = F.array(_part(F.substring_index(F.lower(e), "@", 1), x["stream"], F.lit(0), F.lit(False)),
-                   _part(F.concat(_tail(x, "lower"), F.lit("@")), x["stream"], x["grown"] + 1, F.lit(False)),
-                   _part(F.substr(domain, F.lit(1), F.length(domain) - F.length(top)), x["domain"], F.lit(0), F.lit(False)),
-                   _part(top, x["stream"], F.length(top), F.lit(False)))
+    mail = F.concat(_pieces(F.substring_index(F.lower(e), "@", 1), x["stream"]),
+                    F.array(_part(F.concat(_tail(x, "lower"), F.lit("@")), x["stream"], x["grown"] + 1, F.lit(False))),
+                    _pieces(F.substr(domain, F.lit(1), F.length(domain) - F.length(top)), x["domain"]),
+                    F.array(_part(top, x["stream"], F.length(top), F.lit(False))))
     filled = F.array_join(F.transform(F.when(kind == "email", mail).when(x["chunks"].isNotNull(), x["chunks"]).otherwise(whole), _fill), "")
     return F.when(kind == "email", filled).otherwise(_grown(filled, x))
 

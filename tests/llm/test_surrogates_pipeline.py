@@ -197,3 +197,15 @@ def test_stages_on_edge_cases(spark, tmp_path):
             assert out.columns == [*docs.columns, *extra], name
             assert out.count() >= 0
     assert cp.identify_language(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).count() >= 195
+
+
+def test_no_text_crashes_the_search(spark):
+    """Every branch of the entity pattern, repeated a hundred thousand times; an address ends after the labels a domain can have."""
+    n = 100_000
+    runs = ["x@" + "a." * n + "1", "x@" + "ab." * n + "com", "a." * n + "@b.com", "x@" + "a-" * n + ".com", "a" * n + "@" + "b" * n, "@" * n,
+            "DE89" + "1234" * n, "AB12 " * n, "Mr Anna" + "-Anna" * n, "Mrs " * n, "Dr " + "A" * n, "Mr A" + "a" * n, "+1" + " 234" * n, "1." * n,
+            "4" * n, "4041 " * n, "(" * n, "(988) " * n, "password=" + "x" * n, "password=" * n, "token = \"" + "a/" * n, "AKIA" + "A" * n, "1-" * n, "é" * n + "@é"]
+    got = {r.doc_id: r for r in sg.replace_entities(spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string"), "k").collect()}
+    assert len(got) == len(runs) and all(isinstance(got[i].text, str) for i in got)
+    assert got[0].text == runs[0] and got[0].w_n == 0
+    assert got[1].w_n == 1 and got[1].text.endswith(".ab" * 10 + ".com") and not got[1].text.startswith("x@ab.ab.")
