@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from prelaunch.functions import scalars as S
 from prelaunch.functions.scalars import quoted
-from prelaunch.plans.joins import BROADCAST_MAX_BYTES, broadcast_if_small, estimated_bytes
+from prelaunch.plans.joins import BROADCAST_MAX_BYTES, estimated_bytes
+from prelaunch.session import checkpoint_dir
 
 # The reference cohort and split.
 PRICE_RANGE = (0.0, 30.0)
@@ -58,25 +59,39 @@ def developer_counts(df: DataFrame, key: str = "developers") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("dev_game_count")))
 
 
+HOT_KEYS = 2_000             # a key is hot if it has more than one in so many of the rows, so there are at most so many
+
+
+def hot_keys(counts: DataFrame, key: str, n: str) -> DataFrame:
+    """The keys of a (key, n) table that hold more than a ``HOT_KEYS``-th of all rows; fewer than ``HOT_KEYS`` by that."""
+    total = counts.agg(F.sum(n)).scalar()
+    return counts.where(F.col(n) * HOT_KEYS > total).select(key)
+
+
 def with_developer_count(df: DataFrame, key: str = "developers",
-                         counts: DataFrame | None = None) -> DataFrame:
+                         counts: DataFrame | None = None, broadcast_bytes: int | None = None) -> DataFrame:
     """Each row's key count over the whole table, itself included (JOI1).
 
     Counted with a grouped aggregate (map-side combine, so a studio holding
     a third of all rows costs one partial row per task) and joined back on
     the key: broadcast when the checked count table is small, otherwise a
-    shuffle join on (key, salt) with the counts repeated for every salt, so
-    a hot key is spread over ``SALTS`` tasks. Rows with a null key get null
-    and take no part in the join.
+    shuffle join on (key, salt). The counts tell which keys are hot; only their rows are salted, and only their counts are
+    repeated for every salt, so a hot key is spread over ``SALTS`` tasks and all others cost what a plain join costs. Rows with
+    a null key get null and take no part in the join.
     """
     counts = counts if counts is not None else developer_counts(df, key)
     size = estimated_bytes(counts)
-    known, nulls = df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
-    if size is not None and size <= BROADCAST_MAX_BYTES:
+    if size is not None and size <= (BROADCAST_MAX_BYTES if broadcast_bytes is None else broadcast_bytes):
         return df.join(F.broadcast(counts), key, "left")
-    salted = counts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    checkpoint_dir(df.sparkSession)
+    counts = counts.checkpoint()
+    known, nulls = df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
+    hot = F.broadcast(hot_keys(counts, key, "dev_game_count").withColumn("__hot", F.lit(SALTS)))
+    last = F.coalesce(F.col("__hot"), F.lit(1)) - 1
+    salted = counts.join(hot, key, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), last))).drop("__hot")
     others = [c for c in df.columns if c != key]
-    spread = known.withColumn("__salt", F.pmod(F.xxhash64(*[quoted(c) for c in others] or [key]), F.lit(SALTS)).cast("int"))
+    drawn = F.pmod(F.xxhash64(*[quoted(c) for c in others] or [key]), F.lit(SALTS)).cast("int")
+    spread = known.join(hot, key, "left").withColumn("__salt", F.when(F.col("__hot").isNotNull(), drawn).otherwise(0)).drop("__hot")
     joined = spread.join(salted, [key, "__salt"], "left").drop("__salt")
     return joined.unionByName(nulls.withColumn("dev_game_count", F.lit(None).cast("long")))
 
@@ -86,10 +101,18 @@ def studio_size_filter(df: DataFrame, max_games: int = MAX_STUDIO_GAMES,
     """Keep games of keys with at most ``max_games`` rows (COH2).
 
     A semi join against the small studios; rows with a null key have no
-    known size and are dropped.
+    known size and are dropped. Where that join shuffles, rows of hot keys, which cannot match, leave before it.
     """
-    small = developer_counts(df, key).where(F.col("dev_game_count") <= max_games).select(key)
-    return df.join(broadcast_if_small(small), key, "left_semi")
+    counts = developer_counts(df, key)
+    small = counts.where(F.col("dev_game_count") <= max_games).select(key)
+    size = estimated_bytes(small)
+    if size is not None and size <= BROADCAST_MAX_BYTES:
+        return df.join(F.broadcast(small), key, "left_semi")
+    checkpoint_dir(df.sparkSession)
+    counts = counts.checkpoint()
+    hot = hot_keys(counts.where(F.col("dev_game_count") > max_games), key, "dev_game_count")
+    small = counts.where(F.col("dev_game_count") <= max_games).select(key)
+    return df.join(F.broadcast(hot), key, "left_anti").join(small, key, "left_semi")
 
 
 def release_window_filter(df: DataFrame, first_year: int = FIRST_YEAR,
@@ -129,6 +152,15 @@ def leakage_guard(columns: list[str], deny: list[str] = POST_LAUNCH_COLUMNS) ->
     return columns
 
 
+def leakage_report(df: DataFrame, columns: list[str] | None = None, deny: list[str] = POST_LAUNCH_COLUMNS) -> DataFrame:
+    """(column_name, post_launch, n_present) of the table's columns: what the guard rejects, and how many rows have it. One scan."""
+    columns = columns or df.columns
+    wide = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(c in set(deny)).alias("post_launch"), F.col(f"n{i}").alias("n_present"))
+                               for i, c in enumerate(columns)]))
+    return wide.select(rows.alias("r")).select("r.*")
+
+
 def target_not_null(df: DataFrame, target: str = "success") -> DataFrame:
     """Drop rows without a target (FIL1)."""
     return df.where(F.col(target).isNotNull())

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prelaunch.operators.ranks import RANGES, running_totals
+from prelaunch.operators.ranks import BOUND, RANGES, running_totals
 from prelaunch.plans.joins import broadcast_if_small
 from prelaunch.session import checkpoint_dir
 
@@ -61,8 +61,8 @@ def classification_metrics(df: DataFrame, group: str = "model", y: str = "y", pr
 
 
 def cumulative_by_score(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba",
-                        ranges: int = RANGES, weight: str | None = None) -> DataFrame:
-    """Per (group, distinct score): pos, neg, cumulative pos/neg from the top, totals (WIN1).
+                        ranges: int = RANGES, weight: str | None = None, bound: int = BOUND) -> DataFrame:
+    """Per (group, distinct score): pos, neg, cumulative pos/neg from the top, totals, and pos/neg of the next lower score (WIN1).
 
     Rows without a score or a 0/1 target take no part, neither in the curve
     nor in its totals.
@@ -70,8 +70,10 @@ def cumulative_by_score(df: DataFrame, group: str = "model", y: str = "y", score
     yy = F.col(y)
     scored = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & yy.isin(0, 1))
     pts = scored.groupBy(group, F.col(score).cast("double").alias(score)).agg(_n(yy == 1, weight).alias("pos"), _n(yy == 0, weight).alias("neg"))
-    cum = running_totals(pts, [group], score, {"pos": "cum_pos", "neg": "cum_neg"}, descending=True, ranges=ranges)
-    return cum.select(group, score, "pos", "neg", "cum_pos", "cum_neg", F.col("cum_pos_all").alias("P"), F.col("cum_neg_all").alias("N"))
+    checkpoint_dir(df.sparkSession)
+    cum = running_totals(pts.checkpoint(), [group], score, {"pos": "cum_pos", "neg": "cum_neg"}, descending=True, ranges=ranges, bound=bound,
+                         following={"pos": "next_pos", "neg": "next_neg"})
+    return cum.select(group, score, "pos", "neg", "cum_pos", "cum_neg", F.col("cum_pos_all").alias("P"), F.col("cum_neg_all").alias("N"), "next_pos", "next_neg")
 
 
 def _curve_points(cum: DataFrame) -> DataFrame:
@@ -97,9 +99,17 @@ def pr_curve(df: DataFrame, group: str = "model", y: str = "y", score: str = "pr
     return curve.unionByName(anchor)
 
 
-def roc_curve(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba") -> DataFrame:
-    """False/true positive rates per distinct threshold, from (0, 0) (EVA5)."""
+def roc_curve(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba", drop_intermediate: bool = False) -> DataFrame:
+    """False/true positive rates per distinct threshold, from (0, 0) (EVA5).
+
+    ``drop_intermediate`` leaves out points inside a straight stretch, those whose step from the point before equals the step
+    to the next; the first and the last point stay, and the area is unchanged.
+    """
     pts = _curve_points(cumulative_by_score(df, group, y, score))
+    if drop_intermediate:
+        first = F.col("cum_pos") + F.col("cum_neg") == F.col("pos") + F.col("neg")
+        inside = F.col("next_pos").isNotNull() & (F.col("pos") == F.col("next_pos")) & (F.col("neg") == F.col("next_neg"))
+        pts = pts.where(first | ~inside)
     curve = pts.select(group, F.col(score).alias("threshold"), "fpr", "tpr")
     start = pts.select(group).distinct().select(group, F.lit(None).cast("double").alias("threshold"),
                                                 F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
@@ -108,22 +118,28 @@ def roc_curve(df: DataFrame, group: str = "model", y: str = "y", score: str = "p
 
 def curve_areas(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba",
                 weight: str | None = None) -> DataFrame:
-    """Trapezoid areas: anchored PR-AUC (EVA4) and ROC-AUC (EVA6).
+    """Trapezoid areas: anchored PR-AUC (EVA4) and ROC-AUC (EVA6), and the PR area of Spark's evaluator.
 
-    The PR area integrates the curve including its (0, 1) anchor, as the
+    ``pr_auc`` integrates the curve including its (0, 1) anchor, as the
     usual precision_recall_curve + auc pairing does; for a constant score
-    it equals (1 + prevalence) / 2.
+    it equals (1 + prevalence) / 2. ``pr_auc_spark`` starts at recall 0 with
+    the first point's precision instead (``BinaryClassificationEvaluator``
+    without down-sampling); for a constant score it is the prevalence.
     """
     pts = _curve_points(cumulative_by_score(df, group, y, score, weight=weight))
     pr = (F.col("recall") - F.col("prev_recall")) * (F.col("precision") + F.col("prev_precision")) / 2
+    first = F.col("cum_pos") + F.col("cum_neg") == F.col("pos") + F.col("neg")
+    level = F.when(first, F.col("precision")).otherwise(F.col("prev_precision"))
+    pr_spark = (F.col("recall") - F.col("prev_recall")) * (F.col("precision") + level) / 2
     roc = (F.col("fpr") - F.col("prev_fpr")) * (F.col("tpr") + F.col("prev_tpr")) / 2
     return pts.groupBy(group).agg(F.sum(pr).alias("pr_auc"),
-                                  F.when((F.max("P") > 0) & (F.max("N") > 0), F.sum(roc)).alias("roc_auc"))
+                                  F.when((F.max("P") > 0) & (F.max("N") > 0), F.sum(roc)).alias("roc_auc"),
+                                  F.sum(pr_spark).alias("pr_auc_spark"))
 
 
 def comparison(df: DataFrame, group: str = "model", y: str = "y", score: str = "proba",
-               pred: str = "pred") -> DataFrame:
-    """One row per group: precision, recall, f1, pr_auc, roc_auc (EVA7).
+               pred: str = "pred", evaluator_area: bool = False) -> DataFrame:
+    """One row per group: precision, recall, f1, pr_auc, roc_auc, with ``evaluator_area`` also pr_auc_spark (EVA7).
 
     The predictions are read once: condensed to (group, score, y, pred,
     rows) — at most four rows per distinct score — and checkpointed into the
@@ -133,6 +149,7 @@ def comparison(df: DataFrame, group: str = "model", y: str = "y", score: str = "
     base = df.groupBy(group, score, y, pred).agg(F.count(F.lit(1)).alias("__rows")).checkpoint()
     m = classification_metrics(base, group, y, pred, weight="__rows").select(group, "precision", "recall", "f1")
     a = curve_areas(base, group, y, score, weight="__rows")
+    a = a if evaluator_area else a.drop("pr_auc_spark")
     return m.join(broadcast_if_small(a), group)
 
 

@@ -4,18 +4,24 @@ Every profile is one aggregate over the scan (several statistics share one
 pass through conditional aggregates) followed by a reshape of its few-row
 result. Group keys are small (class, year, bin, combination), so partial
 aggregation leaves almost nothing to shuffle; hot keys cannot skew a task.
-Exact quantiles rank counted distinct values range by range (see
-``ranks``); pass ``accuracy`` for a bounded sketch instead.
+Distributions (moments, quartiles, whiskers) come from one table of counted
+distinct values, which ``ranks`` orders range by range; pass ``accuracy`` for
+a bounded sketch of the quantiles in the same scan instead.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prelaunch.functions import scalars as S
-from prelaunch.operators.ranks import exact_quantiles
+from prelaunch.operators import gram
+from prelaunch.operators.dictionary import distinct_values
+from prelaunch.operators.ranks import counted_values, quantiles_of
+from prelaunch.plans.joins import broadcast_if_few
 from prelaunch.session import checkpoint_dir
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -39,13 +45,24 @@ def _stacked(df: DataFrame, cols: list[str], name: str = "feature") -> DataFrame
     return df.select(stack.alias("s")).select(f"s.{name}", "s.value").where(F.col("value").isNotNull())
 
 
-def _with_quantiles(moments: DataFrame, long: DataFrame, keys: list[str], ps: dict[str, float], accuracy: int | None) -> DataFrame:
-    """``moments`` joined with the quantiles of ``long`` (keys, value): exact, or a bounded sketch with ``accuracy``."""
+def _distribution(long: DataFrame, keys: list[str], ps: dict[str, float], accuracy: int | None) -> tuple[DataFrame, DataFrame]:
+    """(per group: count, mean, std (ddof 1), min, max and the quantiles ``ps``; the points (keys, value, __n) they came from).
+
+    Exact: the distinct values are counted in one scan of ``long`` (keys, value), all numbers come from the counts. With
+    ``accuracy`` the quantiles are bounded sketches, and all numbers come from one aggregate; the points are ``long`` itself.
+    """
+    v = F.col("value")
     if accuracy:
-        q = long.groupBy(*keys).agg(*[F.percentile_approx("value", p, accuracy).cast("double").alias(n) for n, p in ps.items()])
-    else:
-        q = exact_quantiles(long, keys, "value", ps)
-    return moments.join(q, keys)
+        found = long.groupBy(*keys).agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
+                                        *[F.percentile_approx("value", p, accuracy).cast("double").alias(n) for n, p in ps.items()])
+        return found, long.withColumn("__n", F.lit(1))
+    points, n = counted_values(long, keys, "value"), F.col("__n")
+    means = points.groupBy(*keys).agg(F.sum(n).alias("count"), (F.sum(n * v) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")).checkpoint()
+    # squares about the mean: a second look at the counts, beside a few rows of means
+    off = points.join(broadcast_if_few(means.select(*keys, "mean")), keys)
+    squares = off.groupBy(*keys).agg(F.sum(n * (v - F.col("mean")) ** 2).alias("__squares"))
+    moments = means.join(squares, keys).withColumn("std", F.when(F.col("count") > 1, F.sqrt(F.col("__squares") / (F.col("count") - 1)))).drop("__squares")
+    return (moments.join(quantiles_of(points, keys, "value", ps), keys) if ps else moments), points
 
 
 def dataset_size(df: DataFrame) -> DataFrame:
@@ -94,23 +111,26 @@ def _ranked(df: DataFrame, order: list[Column], k: int | None) -> DataFrame:
 def numeric_summary(df: DataFrame, cols: list[str], accuracy: int | None = None) -> DataFrame:
     """Mean, median, min and max of numeric variables (AGG3)."""
     cols = [c for c in cols if c in df.columns and _is_numeric(df, c)]
-    long = _stacked(df, cols, "variable")
-    v = F.col("value")
-    moments = long.groupBy("variable").agg(F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
-    found = _with_quantiles(moments, long, ["variable"], {"median": 0.5}, accuracy)
+    found, _ = _distribution(_stacked(df, cols, "variable"), ["variable"], {"median": 0.5}, accuracy)
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")     # columns without any value, too
     return names.join(found, "variable", "left").select("variable", "mean", "median", "min", "max")
 
 
 def categorical_summary(df: DataFrame, cols: list[str], approximate: bool = False) -> DataFrame:
-    """Type name and distinct non-null count of non-numeric variables (AGG4)."""
+    """Type name and distinct non-null count of non-numeric variables (AGG4).
+
+    Exact counts fold pairs of (column, value) in the map and exchange only those, one shuffle for all columns of a type,
+    whatever their number; ``approximate`` keeps a sketch per column instead.
+    """
     cols = [c for c in cols if c in df.columns and not _is_numeric(df, c)]
-    cnt = F.approx_count_distinct if approximate else F.count_distinct
-    wide = df.agg(*[cnt(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)])
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("variable"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
-                 F.col(f"d{i}").cast("bigint").alias("n_distinct")) for i, c in enumerate(cols)]))
-    return wide.select(stack.alias("s")).select("s.*")
+    names = df.sparkSession.createDataFrame([(i, c, df.schema[c].dataType.simpleString()) for i, c in enumerate(cols)], "at int, variable string, dtype string")
+    if approximate:
+        wide = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)])
+        counts = wide.select(F.explode(F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"d{i}").alias("n_distinct")) for i in range(len(cols))])).alias("s")).select("s.*")
+    else:
+        per_type = [v.where("value is not null").select("at") for v in distinct_values(df, cols).values()]
+        counts = reduce(DataFrame.unionByName, per_type, df.sparkSession.createDataFrame([], "at int")).groupBy("at").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return names.join(counts, "at", "left").select("variable", "dtype", F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"))
 
 
 def target_summary(df: DataFrame, target: str = "success", year: str = "year") -> DataFrame:
@@ -211,33 +231,11 @@ def price_extras(df: DataFrame, col: str = "price", cap: float = 50.0) -> DataFr
 def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise-complete Pearson correlations, long form (AGG10).
 
-    One pass computes, for each pair, the population covariance and both
-    standard deviations over the rows where both values are present; a
-    zero deviation (constant column) gives null instead of a division
-    error. The matrix is symmetric, so each pair is computed once.
+    One scan: every task multiplies the masked matrix of its rows with itself, and the k x k products are merged (see
+    ``gram``), so neither the plan nor the number of scans grows with the columns. A pair in which one column is constant
+    has no correlation (null).
     """
-    cols = [c for c in cols if c in df.columns]
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            x, y = F.col(a).cast("double"), F.col(b).cast("double")
-            both = x.isNotNull() & y.isNotNull()
-            aggs += [F.covar_pop(x, y).alias(f"c{i}_{j}"),
-                     F.stddev_pop(F.when(both, x)).alias(f"sx{i}_{j}"),
-                     F.stddev_pop(F.when(both, y)).alias(f"sy{i}_{j}")]
-            pairs.append((i, j))
-    wide = df.agg(*aggs)
-    structs = []
-    for i, j in pairs:
-        den = F.col(f"sx{i}_{j}") * F.col(f"sy{i}_{j}")
-        r = F.when(den > 0, F.col(f"c{i}_{j}") / den)
-        r = F.when(r > 1.0, 1.0).when(r < -1.0, -1.0).otherwise(r)
-        structs.append(F.struct(F.lit(cols[i]).alias("var_a"), F.lit(cols[j]).alias("var_b"), r.alias("corr")))
-        if i != j:
-            structs.append(F.struct(F.lit(cols[j]).alias("var_a"), F.lit(cols[i]).alias("var_b"), r.alias("corr")))
-    return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    return gram.correlations(df, [c for c in cols if c in df.columns])
 
 
 def correlation_wide(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -256,19 +254,19 @@ def _long_by_class(df: DataFrame, features: list[str], target: str) -> DataFrame
             .select("cls", "s.feature", "s.value").where(F.col("value").isNotNull()))
 
 
+_QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+_MOMENTS = ["feature", "cls", "count", "mean", "std", "min", "q1", "median", "q3", "max"]
+
+
 def class_moments(df: DataFrame, features: list[str], target: str = "success",
                   accuracy: int | None = None) -> DataFrame:
     """Per (feature, class): n, mean, std (ddof 1), min, q1, median, q3, max (FIL4).
 
     One scan for all features and both classes: the stacked long form is
-    grouped by (feature, class), a handful of groups.
+    counted by (feature, class, value).
     """
-    lf = _long_by_class(df, features, target)
-    v = F.col("value")
-    moments = lf.groupBy("feature", "cls").agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-                                               F.min(v).alias("min"), F.max(v).alias("max"))
-    both = _with_quantiles(moments, lf, ["feature", "cls"], {"q1": 0.25, "median": 0.5, "q3": 0.75}, accuracy)
-    return both.select("feature", "cls", "count", "mean", "std", "min", "q1", "median", "q3", "max")
+    found, _ = _distribution(_long_by_class(df, features, target), ["feature", "cls"], _QUARTILES, accuracy)
+    return found.select(*_MOMENTS)
 
 
 def box_stats(df: DataFrame, features: list[str], target: str = "success",
@@ -276,19 +274,20 @@ def box_stats(df: DataFrame, features: list[str], target: str = "success",
     """Box-plot numbers per (feature, class) (AGG11).
 
     Whiskers are the most extreme values within ``whis`` IQRs of the
-    quartiles; outliers are the values beyond. The second pass joins the
-    long form to the (feature, class) quartiles: a few rows, broadcast.
+    quartiles; outliers are the values beyond. They come from the counted
+    values that the quartiles came from, beside a few rows of fences.
     """
-    m = class_moments(df, features, target, accuracy)
-    fences = m.select("feature", "cls", "q1", "q3",
-                      (F.col("q1") - whis * (F.col("q3") - F.col("q1"))).alias("lo"),
-                      (F.col("q3") + whis * (F.col("q3") - F.col("q1"))).alias("hi"))
-    lf = _long_by_class(df, features, target).join(F.broadcast(fences), ["feature", "cls"])
-    v = F.col("value")
-    w = lf.groupBy("feature", "cls").agg(
+    m, points = _distribution(_long_by_class(df, features, target), ["feature", "cls"], _QUARTILES, accuracy)
+    checkpoint_dir(df.sparkSession)
+    reach = whis * (F.col("q3") - F.col("q1"))
+    # a row per feature and class
+    m = m.withColumns({"lo": F.col("q1") - reach, "hi": F.col("q3") + reach}).checkpoint()
+    fences = m.select("feature", "cls", "lo", "hi")
+    v, outside = F.col("value"), (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
+    w = points.join(broadcast_if_few(fences), ["feature", "cls"]).groupBy("feature", "cls").agg(
         F.min(F.when(v >= F.col("lo"), v)).alias("whisker_low"),
         F.max(F.when(v <= F.col("hi"), v)).alias("whisker_high"),
-        F.count_if((v < F.col("lo")) | (v > F.col("hi"))).alias("n_outliers"))
+        F.sum(F.when(outside, F.col("__n")).otherwise(0)).cast("bigint").alias("n_outliers"))
     return m.select("feature", "cls", "q1", "median", "q3", "mean", "count").join(w, ["feature", "cls"])
 
 
@@ -315,8 +314,10 @@ def class_comparison(df: DataFrame, features: list[str], target: str = "success"
 
 
 def cohens_d(df: DataFrame, features: list[str], target: str = "success") -> DataFrame:
-    """Pooled-std effect size of successful vs unsuccessful, with label (AGG13)."""
-    m = class_moments(df, features, target)
+    """Pooled-std effect size of successful vs unsuccessful, with label (AGG13). Counts, means and deviations only: one aggregate."""
+    v = F.col("value")
+    m = _long_by_class(df, features, target).groupBy("feature", "cls").agg(
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
     per = m.groupBy("feature").agg(*[
         F.first(F.when(F.col("cls") == c, F.col(k)), ignorenulls=True).alias(f"{k}{c}")
         for k in ("count", "mean", "std") for c in (0, 1)])

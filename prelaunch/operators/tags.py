@@ -3,18 +3,21 @@
 Tag statistics explode the decoded lists and aggregate per tag with
 conditional counts: one partially aggregated shuffle whose groups are the
 distinct tags, so a tag present on a third of all rows costs one partial
-row per task. The multi-hot encoder collects only the sorted tag
-vocabulary.
+row per task. The multi-hot encoder lists a small tag vocabulary on the
+driver and keeps a large one as a table.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel, VectorSizeHint
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prelaunch.functions import lists as L
 from prelaunch.functions.scalars import quoted, unique_names
+from prelaunch.operators.dictionary import DictionaryEncoder, fit_dictionary
+from prelaunch.operators.encode import INLINE
+from prelaunch.session import checkpoint_dir
 
 
 def exploded_tags(df: DataFrame, col: str = "genres", target: str = "success",
@@ -68,11 +71,9 @@ def top_tags_by_rate(stats: DataFrame, k: int = 20) -> DataFrame:
 def tag_totals(df: DataFrame, col: str = "genres", target: str = "success",
                exclude: list[str] = L.NON_GENRE_TAGS) -> DataFrame:
     """Distinct tags and tag instances per class (AGG19)."""
-    t = exploded_tags(df, col, target, exclude)
-    y = F.col("y")
-    return t.agg(F.count_distinct("tag").alias("n_tags"),
-                  F.count_if(y == 0).alias("unsuccessful_instances"),
-                  F.count_if(y.isNull() | (y != 0)).alias("successful_instances"))
+    c = tag_class_counts(df, col, target, exclude)
+    return c.agg(F.count(F.lit(1)).alias("n_tags"), F.coalesce(F.sum("unsuccessful"), F.lit(0)).alias("unsuccessful_instances"),
+                 F.coalesce(F.sum("successful"), F.lit(0)).alias("successful_instances"))
 
 
 def tag_bag_union(df: DataFrame, col: str = "genres", exclude: list[str] = L.NON_GENRE_TAGS) -> DataFrame:
@@ -84,23 +85,33 @@ def tag_bag_union(df: DataFrame, col: str = "genres", exclude: list[str] = L.NON
 class MultiHot:
     """Sorted-vocabulary multi-hot encoder of a list-text column (ENC1).
 
-    ``fit`` runs one distributed distinct over the decoded elements and
-    collects the sorted vocabulary, which is what every task receives.
-    ``transform`` adds one 0/1 column per tag (for small vocabularies);
-    ``vector`` gives one sparse binary vector of any width. Which one is
-    the caller's choice, not that of the vocabulary's size.
+    ``fit`` runs one distributed distinct over the decoded elements. ``transform`` adds one 0/1 column per tag, all of which the
+    driver names: a form for small vocabularies. ``vector`` gives one sparse binary vector of any width; beyond ``INLINE`` tags
+    the vocabulary stays a table that is joined in, and the driver learns only its size. Which form is the caller's choice.
     """
 
     def __init__(self, col: str, prefix: str):
         self.col, self.prefix = col, prefix
-        self.tags: list[str] = []
+        self.found: DataFrame | None = None
+        self.size = 0
+        self._tags: list[str] | None = None
+        self._encoder: DictionaryEncoder | None = None
 
     def fit(self, df: DataFrame) -> "MultiHot":
-        d = (df.select(F.explode(L.decode_list(quoted(self.col))).alias("t")).where(F.col("t").isNotNull())
-             .distinct())
-        self.tags = [r.t for r in d.orderBy("t").collect()]
+        checkpoint_dir(df.sparkSession)
+        self.found = (df.select(F.explode(L.decode_list(quoted(self.col))).alias("value")).where(F.col("value").isNotNull())
+                      .distinct().checkpoint())
+        self.size = self.found.count()
+        self._tags = self._encoder = None
         return self
 
+    @property
+    def tags(self) -> list[str]:
+        """The sorted tags, on the driver."""
+        if self._tags is None:
+            self._tags = [r["value"] for r in self.found.orderBy("value").collect()]
+        return self._tags
+
     @property
     def names(self) -> dict[str, str]:
         """Tag -> column name; tags that differ only in blanks, dots or case keep columns of their own."""
@@ -116,7 +127,26 @@ class MultiHot:
         return (df.withColumn(tmp, L.decode_list(quoted(self.col)))
                 .withColumns({names[t]: F.array_contains(tmp, t).cast("int") for t in self.tags}).drop(tmp))
 
+    def encoder(self, items: str, output: str) -> DictionaryEncoder:
+        """The dictionary as a pipeline stage over a list column."""
+        if self._encoder is None:
+            table = fit_dictionary(self.found)
+            self._encoder = DictionaryEncoder(table.table, inputCol=items, outputCol=output, size=table.size, multi=True)
+        return self._encoder.copy({self._encoder.inputCol: items, self._encoder.outputCol: output})
+
+    def slot_names(self) -> list[str] | tuple[int, DataFrame]:
+        """Names of the vector's slots: a list, or beyond ``INLINE`` tags (width, table of (slot, name))."""
+        if self.size <= INLINE:
+            return self.columns or [f"{self.prefix}unused"]
+        encoder = self.encoder("items", "vector")
+        return encoder.width, encoder.names(self.prefix)
+
     def vector(self, df: DataFrame, output: str) -> DataFrame:
         tmp = f"__{output}_items"
-        cv = CountVectorizerModel.from_vocabulary(self.tags or ["\u0000"], inputCol=tmp, outputCol=output, binary=True)
-        return cv.transform(df.withColumn(tmp, F.filter(L.decode_list(quoted(self.col)), lambda x: x.isNotNull()))).drop(tmp)
+        listed = df.withColumn(tmp, F.filter(L.decode_list(quoted(self.col)), lambda x: x.isNotNull()))
+        if self.size <= INLINE:
+            cv = CountVectorizerModel.from_vocabulary(self.tags or ["\u0000"], inputCol=tmp, outputCol=output, binary=True)
+            return cv.transform(listed).drop(tmp)
+        encoder = self.encoder(tmp, output)
+        hint = VectorSizeHint(inputCol=output, size=encoder.width, handleInvalid="optimistic")
+        return hint.transform(encoder.transform(listed)).drop(tmp)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,24 +21,32 @@ class FeatureSpec:
     """Which columns are numeric, categorical and vector features, the target and the time column."""
     numerical_features: list[str] = field(default_factory=list)
     categorical_features: list[str] = field(default_factory=list)
-    vector_features: dict[str, list[str]] = field(default_factory=dict)   # vector column -> names of its slots
+    vector_features: dict[str, list[str]] = field(default_factory=dict)   # vector column -> names of its slots; [] where a table has them
     target: str = "success"
     temporal_column: str = "release_year"
+    # vector column -> (width, table of (slot, name)) of vocabularies too large for a list; written beside the spec, not in it
+    name_tables: dict = field(default_factory=dict, compare=False, repr=False)
 
     def to_json(self) -> str:
-        return json.dumps(asdict(self))
+        return json.dumps({f.name: getattr(self, f.name) for f in fields(self) if f.name != "name_tables"})
 
     @classmethod
     def from_json(cls, text: str) -> "FeatureSpec":
         return cls(**json.loads(text))
 
     def write(self, spark: SparkSession, path: str) -> None:
-        """One-row JSON dataset (SNK2)."""
+        """One-row JSON dataset (SNK2); tables of slot names go to ``path``-names/<column>."""
         spark.createDataFrame([(self.to_json(),)], "spec string").coalesce(1).write.mode("overwrite").text(path)
+        for column, (width, names) in self.name_tables.items():
+            names.select("slot", "name", F.lit(width).alias("width")).write.mode("overwrite").parquet(f"{path}-names/{column}")
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> "FeatureSpec":
-        return cls.from_json(spark.read.text(path).first()[0])
+        spec = cls.from_json(spark.read.text(path).first()[0])
+        for column in [c for c, names in spec.vector_features.items() if not names]:
+            names = spark.read.parquet(f"{path}-names/{column}")
+            spec.name_tables[column] = (names.first()["width"], names.select("slot", "name"))
+        return spec
 
 
 def build_features(df: DataFrame, fit_on: DataFrame | None = None, tfidf: Tfidf | None = None,
@@ -86,7 +94,10 @@ def build_features(df: DataFrame, fit_on: DataFrame | None = None, tfidf: Tfidf
             mh = MultiHot(col, prefix).fit(fit_on)
             if tag_output == "vector":
                 out = mh.vector(out, f"{prefix}tags")
-                spec.vector_features[f"{prefix}tags"] = mh.columns or [f"{prefix}unused"]
+                names = mh.slot_names()
+                spec.vector_features[f"{prefix}tags"] = names if isinstance(names, list) else []
+                if not isinstance(names, list):
+                    spec.name_tables[f"{prefix}tags"] = names
             else:
                 out = mh.transform(out)
                 cat += mh.columns

@@ -36,3 +36,9 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
     return df
+
+
+def broadcast_if_few(table: DataFrame, row_bytes: int = 256, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast of a materialised (checkpointed) table when its counted rows, at ``row_bytes`` each, stay below
+    ``max_bytes``; more rows are left to the planner."""
+    return F.broadcast(table) if table.count() * row_bytes <= max_bytes else table

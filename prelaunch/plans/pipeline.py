@@ -1,11 +1,16 @@
-"""Train and evaluate the four models on a temporal split (MOD6, SPL1, AGG22, SNK3-5)."""
+"""Train and evaluate models on a temporal split (MOD6, UDF4, SPL1, AGG22, SNK3-5).
+
+:func:`evaluate` takes any Spark ML estimator. The named ones of a run are a table, ``ESTIMATORS``: a further model is one
+more entry, or an estimator passed by the caller.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +23,60 @@ from prelaunch.operators import models as M
 from prelaunch.plans.features import FeatureSpec, build_features
 from prelaunch.session import checkpoint_dir
 
-ROWS_PER_TASK = 20_000
-MODEL_NAMES = ("baseline", "logistic_regression", "random_forest", "gradient_boosting")
+ROWS_PER_TASK = 20_000       # rows a task of an iterative fit is worth on a large input
+LEAST_ROWS = 2_000           # and the rows below which one more task costs more than it does
+THREE = ("precision", "recall", "f1")
+
+
+@dataclass
+class FitSettings:
+    """What the named estimators need to know of a run."""
+    key: str
+    weight_sum: float
+    forest_trees: int = 100
+    forest_depth: int = M.MAX_DEPTH
+    boost_rounds: int = 200
+
+
+# A further model of a run is one more line.
+ESTIMATORS: dict[str, Callable[[FitSettings], Estimator]] = {
+    "baseline": lambda s: M.RandomBaseline(keyCol=s.key),
+    "logistic_regression": lambda s: M.logistic(s.weight_sum),
+    "random_forest": lambda s: M.forest(trees=s.forest_trees, max_depth=s.forest_depth),
+    "gradient_boosting": lambda s: M.boosted(weight="pos_weight", rounds=s.boost_rounds),
+}
+MODEL_NAMES = tuple(ESTIMATORS)
+SAVED_MODEL = "random_forest"
+
+
+@dataclass
+class Evaluation:
+    """One evaluated model: the fitted model, its test predictions (model, key, y, proba, pred), and its training metrics
+    (model, split, metric, value)."""
+    model: object
+    predictions: DataFrame
+    train_metrics: DataFrame
+
+    def metrics(self) -> DataFrame:
+        """(model, split, metric, value): precision, recall and F1 of both splits, and the areas of the test split."""
+        test = _long(EV.comparison(self.predictions), "test", (*THREE, "pr_auc", "roc_auc"))
+        return EV.stack_results(self.train_metrics, test)
+
+
+def evaluate(estimator: Estimator, train: DataFrame, test: DataFrame, name: str | None = None, key: str = "key", label: str = "label",
+             threshold: float = 0.5) -> Evaluation:
+    """Fit any Spark ML estimator on ``train`` and judge it on ``test`` (MOD6).
+
+    The estimator may be a classifier, a regressor (its prediction is the score, positive from ``threshold`` on), a pipeline or a
+    search over parameters; which columns hold its scores follows from its params. The baseline's training metrics are analytic (MOD2).
+    """
+    name = name or type(estimator).__name__
+    fitted = estimator.fit(train)
+    if isinstance(estimator, M.RandomBaseline):
+        seen = M.baseline_train_metrics(train, label).withColumn("model", F.lit(name))
+    else:
+        seen = EV.classification_metrics(M.predictions(fitted, train, name, key, label, threshold))
+    return Evaluation(fitted, M.predictions(fitted, test, name, key, label, threshold), _long(seen, "train", THREE))
 
 
 @dataclass
@@ -61,13 +118,19 @@ def _long(metrics: DataFrame, split: str, names: tuple[str, ...]) -> DataFrame:
     return metrics.select("model", F.lit(split).alias("split"), cells.alias("metric", "value"))
 
 
+def fit_tasks(rows: int, cores: int) -> int:
+    """Tasks for an iterative fit: all cores as soon as the rows are worth it, more on large inputs."""
+    return max(1, min(cores, rows // LEAST_ROWS), -(-rows // ROWS_PER_TASK))
+
+
 def train_and_evaluate(features: DataFrame, spec: FeatureSpec, key: str,
                        train_years=C.TRAIN_YEARS, test_from: int = C.TEST_FROM,
                        models=MODEL_NAMES, forest_trees: int = 100, forest_depth: int = M.MAX_DEPTH,
                        boost_rounds: int = 200, with_importances: bool = True, one_hot: str = "vector") -> Results:
     """Fit and score the chosen models (MOD6).
 
-    ``one_hot`` is the encoder's output form: a sparse vector per column by
+    ``models`` are names of ``ESTIMATORS``, or a mapping of names to estimators on ``features``, ``label`` and the weights
+    ``weight`` (balanced) and ``pos_weight``. ``one_hot`` is the encoder's output form: a sparse vector per column by
     default, ``"columns"`` for a 0/1 column per category.
     """
     spark = features.sparkSession
@@ -85,48 +148,38 @@ def train_and_evaluate(features: DataFrame, spec: FeatureSpec, key: str,
     scaler = E.fit_standard_scaler(train, spec.numerical_features)
     onehot = E.fit_one_hot(train, spec.categorical_features, output=one_hot)
     prep = PipelineModel(stages=[*scaler.stages, *onehot.stages, E.assembler(scaler, onehot, vectors=list(spec.vector_features))])
-    names = E.feature_names(scaler, onehot, spec.vector_features)
+    names = E.feature_name_table(spark, scaler, onehot, {c: spec.name_tables.get(c, names) for c, names in spec.vector_features.items()})
     weights = E.balanced_weights(train, "label")
     pos_w = E.positive_weight(train, "label")
     keep = [key, "label", "features"]
-    # Iterative fits read the assembled vectors many times: cached, and without more tasks than the rows are worth
-    # (every boosting round is a handful of jobs).
+    # Iterative fits read the assembled vectors many times: cached, dealt by key over the cores.
     n_train = train.count()
-    train_v = prep.transform(train).select(*keep).coalesce(max(1, -(-n_train // ROWS_PER_TASK))).withColumns({
+    train_v = prep.transform(train).select(*keep).repartition(fit_tasks(n_train, spark.sparkContext.defaultParallelism), key).withColumns({
         "weight": E.weight_column("label", weights),
         "pos_weight": E.weight_column("label", {1.0: pos_w, 0.0: 1.0})}).persist(StorageLevel.MEMORY_AND_DISK)
     test_v = prep.transform(test).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
 
+    if isinstance(models, Mapping):
+        estimators = dict(models)
+    else:
+        settings = FitSettings(key, train_v.agg(F.sum("weight")).first()[0] or 1.0, forest_trees, forest_depth, boost_rounds)
+        estimators = {name: ESTIMATORS[name](settings) for name in models}
     preds, metric_rows, imp, saved = [], [], None, None
-    three = ("precision", "recall", "f1")
-    if "baseline" in models:
-        preds.append(M.baseline_predictions(train.withColumn("y", F.col("label").cast("int")),
-                                            test.withColumn("y", F.col("label").cast("int")), "y", key))
-        metric_rows.append(_long(M.baseline_train_metrics(train, "label").withColumn("model", F.lit("baseline")), "train", three))
-    estimators = {}
-    if "logistic_regression" in models:
-        wsum = train_v.agg(F.sum("weight")).first()[0]
-        estimators["logistic_regression"] = M.logistic(wsum)
-    if "random_forest" in models:
-        estimators["random_forest"] = M.forest(trees=forest_trees, max_depth=forest_depth)
-    if "gradient_boosting" in models:
-        estimators["gradient_boosting"] = M.boosted(weight="pos_weight", rounds=boost_rounds)
-    for name, est in estimators.items():
-        fitted = est.fit(train_v)
-        preds.append(M.predictions(fitted, test_v, name, key))
-        metric_rows.append(_long(EV.classification_metrics(M.predictions(fitted, train_v, name, key)), "train", three))
-        if name == "random_forest":
-            saved = PipelineModel(stages=list(prep.stages) + [fitted])
+    for name, estimator in estimators.items():
+        done = evaluate(estimator, train_v, test_v, name, key)
+        preds.append(done.predictions)
+        metric_rows.append(done.train_metrics)
+        if name == SAVED_MODEL:
+            saved = PipelineModel(stages=list(prep.stages) + [done.model])
             if with_importances:
-                imp = M.importances(spark, fitted, names)
+                imp = M.importances(spark, done.model, names)
     # results are small or written once; after these two the cached vectors can go
     pred = _materialise(EV.stack_results(*preds))
-    train_metrics = _materialise(EV.stack_results(*metric_rows)) if metric_rows else None
+    train_metrics = _materialise(EV.stack_results(*metric_rows))
     train_v.unpersist()
     test_v.unpersist()
     comp = EV.comparison(pred)
-    test_long = _long(comp, "test", (*three, "pr_auc", "roc_auc"))
-    metrics = EV.stack_results(train_metrics, test_long) if train_metrics is not None else test_long
+    metrics = EV.stack_results(train_metrics, _long(comp, "test", (*THREE, "pr_auc", "roc_auc")))
     return Results(pred, metrics, comp, imp, split_report(data, "label", spec), saved)
 
 

@@ -827,13 +827,14 @@ _CURVE = """cv AS (
          CASE WHEN cp - pos + cn - neg = 0 THEN 0.0 WHEN np > 0 THEN (cp - pos) * 1.0 / np ELSE 1.0 END AS prev_recall,
          CASE WHEN nn > 0 THEN cn * 1.0 / nn END AS fpr, CASE WHEN np > 0 THEN cp * 1.0 / np END AS tpr,
          CASE WHEN nn > 0 THEN (cn - neg) * 1.0 / nn END AS prev_fpr, CASE WHEN np > 0 THEN (cp - pos) * 1.0 / np END AS prev_tpr,
-         np, nn
+         np, nn, cp - pos + cn - neg = 0 AS first
   FROM pts)"""
 _AREAS = """areas AS (
   SELECT model, sum((recall - prev_recall) * (precision + prev_precision) / 2) AS pr_auc,
-         CASE WHEN max(np) > 0 AND max(nn) > 0 THEN sum((fpr - prev_fpr) * (tpr + prev_tpr) / 2) END AS roc_auc
+         CASE WHEN max(np) > 0 AND max(nn) > 0 THEN sum((fpr - prev_fpr) * (tpr + prev_tpr) / 2) END AS roc_auc,
+         sum((recall - prev_recall) * (precision + CASE WHEN first THEN precision ELSE prev_precision END) / 2) AS pr_auc_spark
   FROM cv GROUP BY model)"""
-_CMP = """cmp AS (SELECT met.model, precision, recall, f1, pr_auc, roc_auc FROM met JOIN areas ON met.model = areas.model)"""
+_CMP = """cmp AS (SELECT met.model, precision, recall, f1, pr_auc, roc_auc, pr_auc_spark FROM met JOIN areas ON met.model = areas.model)"""
 _EVX = [_ST, _CNT, _MET, _PTS, _CURVE, _AREAS, _CMP]
 
 
@@ -876,6 +877,16 @@ def q_roc_curve(spark, sf):
     return c.select("model", "threshold", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
 
 
+@register("roc_curve_reduced", with_views("""
+SELECT model, score AS threshold, round(cn * 1.0 / nn, 6) AS fpr, round(cp * 1.0 / np, 6) AS tpr FROM (
+  SELECT *, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg FROM pts WINDOW w AS (PARTITION BY model ORDER BY score DESC))
+WHERE cp + cn = pos + neg OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
+UNION ALL SELECT DISTINCT model, NULL, 0.0, 0.0 FROM cv""", "s", "t", extra=_EVX[:5]))
+def q_roc_curve_reduced(spark, sf):
+    c = EV.roc_curve(scored_all(spark, sf), drop_intermediate=True)
+    return c.select("model", "threshold", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
+
+
 @register("pr_auc", with_views("SELECT model, round(pr_auc, 6) AS pr_auc FROM areas", "s", "t", extra=_EVX[:6]))
 def q_pr_auc(spark, sf):
     return EV.curve_areas(scored_all(spark, sf)).select("model", r6("pr_auc").alias("pr_auc"))
@@ -890,9 +901,10 @@ _CMP_COLS = ["precision", "recall", "f1", "pr_auc", "roc_auc"]
 
 
 @register("model_comparison", with_views(
-    "SELECT model, " + ", ".join(f"round({c}, 6) AS {c}" for c in _CMP_COLS) + " FROM cmp", "s", "t", extra=_EVX))
+    "SELECT model, " + ", ".join(f"round({c}, 6) AS {c}" for c in [*_CMP_COLS, "pr_auc_spark"]) + " FROM cmp", "s", "t", extra=_EVX))
 def q_model_comparison(spark, sf):
-    return EV.comparison(scored_all(spark, sf)).select("model", *[r6(c).alias(c) for c in _CMP_COLS])
+    found = EV.comparison(scored_all(spark, sf), evaluator_area=True)
+    return found.select("model", *[r6(c).alias(c) for c in [*_CMP_COLS, "pr_auc_spark"]])
 
 
 @register("baseline_improvement", with_views("""
@@ -1349,15 +1361,196 @@ def q_csv_mixed(spark, sf):
 
 
 @register("lifecycle_roundtrip", with_views(f"""
-SELECT 'features' AS name, count(*) AS rows FROM gy UNION ALL SELECT 'spec', 1 UNION ALL SELECT 'comparison', 2 UNION ALL SELECT 'confusion', 8
-UNION ALL SELECT 'data_info', 2 UNION ALL SELECT 'metrics', 16
-UNION ALL SELECT 'predictions', 2 * count(*) FROM gy WHERE release_year >= {FX_TEST} AND success IS NOT NULL""", GY))
+SELECT 'features' AS name, count(*) AS rows FROM gy UNION ALL SELECT 'spec', 1 UNION ALL SELECT 'comparison', 4 UNION ALL SELECT 'confusion', 16
+UNION ALL SELECT 'data_info', 2 UNION ALL SELECT 'metrics', 32 UNION ALL SELECT 'importances', 15
+UNION ALL SELECT 'predictions', 4 * count(*) FROM gy WHERE release_year >= {FX_TEST} AND success IS NOT NULL
+UNION ALL SELECT 'rescored', count(*) FROM gy WHERE release_year >= {FX_TEST} AND success IS NOT NULL""", GY))
 def q_lifecycle(spark, sf):
-    """The whole run's written tables, counted (SNK1-SNK4); the four-model comparison is train_evaluate."""
+    """The whole run with all four models: the written tables, read back and counted, and the saved model loaded to score the test
+    rows again (SNK1-SNK5); rows whose score the written predictions do not have would not be counted."""
     path = scratch_path(spark, f"run-{uuid.uuid4().hex}")
-    PL.run(FX.games(spark, sf), path, train_years=FX_TRAIN, test_from=FX_TEST, models=("baseline", "logistic_regression"))
-    tables = {"features": "features", **{n: f"results/{n}" for n in ("comparison", "confusion", "data_info", "metrics")}, "predictions": "predictions"}
+    PL.run(FX.games(spark, sf), path, train_years=FX_TRAIN, test_from=FX_TEST)
+    tables = {"features": "features", **{n: f"results/{n}" for n in ("comparison", "confusion", "data_info", "metrics", "importances")}, "predictions": "predictions"}
     out = spark.read.text(f"{path}/spec").agg(F.count(F.lit(1)).alias("rows")).select(F.lit("spec").alias("name"), "rows")
     for name, at in tables.items():
         out = out.unionByName(spark.read.parquet(f"{path}/{at}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows"))
+    new = C.test_rows(C.target_not_null(spark.read.parquet(f"{path}/features")), test_from=FX_TEST)
+    again = MO.score_new_rows(f"{path}/model", new).select(F.col("game_id").alias("key"), F.col("proba").alias("p"))
+    before = spark.read.parquet(f"{path}/predictions").where(F.col("model") == PL.SAVED_MODEL)
+    same = again.join(before, "key").where(F.abs(F.col("p") - F.col("proba")) <= 1e-12)
+    return out.unionByName(same.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("rescored").alias("name"), "rows"))
+
+
+# ------------------------------------------------ estimators of any kind, dictionaries, guards
+
+
+@register("leakage_report", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {str(c in C.POST_LAUNCH_COLUMNS).lower()} AS post_launch, count({c}) AS n_present FROM gy" for c in _MISSING_COLS), GY))
+def q_leakage_report(spark, sf):
+    return C.leakage_report(gy(spark, sf), _MISSING_COLS)
+
+
+_LINEAR_ROWS = f"""lr AS (
+  SELECT CASE WHEN {_TRAIN_SQL} THEN 'train' ELSE 'test' END AS split, CAST(success AS INTEGER) AS y, coalesce(price, 0.0) AS x
+  FROM gy WHERE success IS NOT NULL AND ({_TRAIN_SQL} OR release_year >= {FX_TEST})),
+ls AS (SELECT split, y, x * slope + intercept AS score, CAST(x * slope + intercept >= 0.3 AS INTEGER) AS pred
+       FROM lr, (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM lr WHERE split = 'train') f),
+lc AS (SELECT split, count(*) FILTER (WHERE y = 1 AND pred = 1) * 1.0 AS tp, count(*) FILTER (WHERE y = 0 AND pred = 1) AS fp,
+              count(*) FILTER (WHERE y = 1 AND pred = 0) AS fn FROM ls GROUP BY split),
+lp AS (SELECT pos, neg, sum(pos) OVER w AS cp, sum(neg) OVER w AS cn, sum(pos) OVER () AS np, sum(neg) OVER () AS nn
+       FROM (SELECT score, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg FROM ls WHERE split = 'test' GROUP BY 1)
+       WINDOW w AS (ORDER BY score DESC)),
+la AS (SELECT sum(pos * 1.0 / np * (cp * 1.0 / (cp + cn) + CASE WHEN cp + cn = pos + neg THEN 1.0 ELSE (cp - pos) * 1.0 / (cp - pos + cn - neg) END) / 2) AS pr_auc,
+              sum(neg * 1.0 / nn * (cp + cp - pos) * 1.0 / np / 2) AS roc_auc FROM lp)"""
+
+
+@register("evaluate_any_estimator", with_views("""
+SELECT 'linear' AS model, split, metric, round(value, 6) AS value FROM (
+  SELECT split, unnest(['precision', 'recall', 'f1']) AS metric,
+         unnest([CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END,
+                 CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END]) AS value FROM lc
+  UNION ALL SELECT 'test', 'pr_auc', pr_auc FROM la UNION ALL SELECT 'test', 'roc_auc', roc_auc FROM la)""", GY, extra=[_LINEAR_ROWS]))
+def q_evaluate_any_estimator(spark, sf):
+    """A pipeline that ends in a regressor, fitted and judged by the evaluation driver: least squares on the price, which SQL can
+    follow (MOD6, UDF4)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    g = C.target_not_null(gy(spark, sf)).select("game_id", "release_year", F.col("success").cast("double").alias("label"), S.fill_zero("price").alias("price"))
+    estimator = Pipeline(stages=[VectorAssembler(inputCols=["price"], outputCol="features"), LinearRegression(solver="normal")])
+    done = PL.evaluate(estimator, C.train_rows(g, train_years=FX_TRAIN), C.test_rows(g, test_from=FX_TEST), "linear", "game_id", threshold=0.3)
+    return done.metrics().select("model", "split", "metric", r6("value").alias("value"))
+
+
+@register("models_closed_form", with_views("""
+SELECT m.model, x AS mac, round(CASE WHEN m.model = 'gradient_boosting' THEN 1 / (1 + exp(-2 * (2 * p - 1))) ELSE p END, 4) AS proba
+FROM (SELECT x, s / q / (s / q + (1 - s) / (1 - q)) AS p FROM
+        (SELECT CAST(coalesce(mac, false) AS INTEGER) AS x, avg(success) AS s FROM gy WHERE success IS NOT NULL GROUP BY 1),
+        (SELECT avg(success) AS q FROM gy WHERE success IS NOT NULL)),
+     (SELECT unnest(['logistic_regression', 'random_forest', 'gradient_boosting']) AS model) m""", GY))
+def q_models_closed_form(spark, sf):
+    """The three estimators where their fit has a closed form, one 0/1 feature and balanced classes: unpenalised logistic
+    regression and a tree of one split give the classes' weighted shares, one boosting round its logistic transform (MOD3-MOD5)."""
+    from pyspark.ml.feature import VectorAssembler
+    g = PL._materialise(C.target_not_null(gy(spark, sf)).select(F.col("success").cast("double").alias("label"), S.flag01("mac").alias("mac")))
+    g = g.withColumn("weight", EN.weight_column("label", EN.balanced_weights(g, "label")))
+    v = VectorAssembler(inputCols=["mac"], outputCol="features").transform(g)
+    estimators = {"logistic_regression": MO.logistic(1.0, c=1e9, tol=1e-9), "random_forest": MO.forest(trees=1, max_depth=1).setBootstrap(False),
+                  "gradient_boosting": MO.boosted(rounds=1, max_depth=1)}
+    out = None
+    for name, estimator in estimators.items():
+        fitted = estimator.fit(v)
+        score, _ = MO.score_and_prediction(fitted)
+        got = fitted.transform(v).groupBy("mac").agg(F.max(score).alias("p")).select(F.lit(name).alias("model"), "mac", F.round("p", 4).alias("proba"))
+        out = got if out is None else out.unionByName(got)
     return out
+
+
+@register("importance_total", with_views("SELECT 3 AS n_features, 1.0 AS total, 0 AS n_negative, 'price' AS first FROM gy LIMIT 1", GY))
+def q_importance_total(spark, sf):
+    """Importances of a forest: none negative, together 1, the label's own driver first (MOD8, TOP5). The label is whether the
+    price is above 10, so the price must lead."""
+    from pyspark.ml.feature import VectorAssembler
+    g = PL._materialise(gy(spark, sf).select((S.fill_zero("price") > 10).cast("double").alias("label"), S.fill_zero("price").alias("price"),
+                                             S.flag01("mac").alias("mac"), S.flag01("linux").alias("linux"), F.lit(1.0).alias("weight")))
+    cols = ["price", "mac", "linux"]
+    fitted = MO.forest(trees=10, max_depth=4).fit(VectorAssembler(inputCols=cols, outputCol="features").transform(g))
+    ranked = MO.importances(spark, fitted, cols, None)
+    return ranked.agg(F.count(F.lit(1)).cast("int").alias("n_features"), r6(F.sum("importance")).alias("total"),
+                      F.count_if(F.col("importance") < 0).cast("int").alias("n_negative"), F.max(F.when(F.col("rank") == 1, F.col("feature"))).alias("first"))
+
+
+_VALUE_SQL = """CASE game_id % 5 WHEN 0 THEN 1e7 WHEN 1 THEN 1e-4 WHEN 2 THEN CAST(NULL AS DOUBLE) WHEN 3 THEN CAST(price AS DOUBLE) ELSE 2.5 END"""
+
+
+def _slot_sql(kept: int) -> str:
+    return f"""
+SELECT v.game_id, CAST(CASE WHEN slot >= {kept} THEN slot - {kept} ELSE -1 END AS INTEGER) AS slot
+FROM (SELECT game_id, {_VALUE_SQL} AS x FROM gy) v
+LEFT JOIN (SELECT x, row_number() OVER (ORDER BY x NULLS LAST) - 1 AS slot FROM (SELECT DISTINCT {_VALUE_SQL} AS x FROM gy WHERE {_TRAIN_SQL})) d
+  ON d.x IS NOT DISTINCT FROM v.x"""
+
+
+def _valued(spark, sf) -> DataFrame:
+    v = (F.when(F.col("game_id") % 5 == 0, 1e7).when(F.col("game_id") % 5 == 1, 1e-4).when(F.col("game_id") % 5 == 2, F.lit(None).cast("double"))
+         .when(F.col("game_id") % 5 == 3, F.col("price").cast("double")).otherwise(2.5))
+    return gy(spark, sf).select("game_id", "release_year", v.alias("x"))
+
+
+def _slot_of(vector: str) -> F.Column:
+    """The slot of a one-hot vector's only entry, -1 without one."""
+    from pyspark.ml.functions import vector_to_array
+    return (F.array_position(vector_to_array(vector), 1.0) - 1).cast("int")
+
+
+@register("one_hot_values", with_views(_slot_sql(1), GY))
+def q_one_hot_values(spark, sf):
+    """One-hot of doubles, a null and values of extreme size, in vector form by the default encoder (ENC3)."""
+    g = PL._materialise(_valued(spark, sf))
+    oh = EN.fit_one_hot(C.train_rows(g, train_years=FX_TRAIN), ["x"], output="vector")
+    return oh.stage.transform(g).select("game_id", _slot_of(oh.outputs[0]).alias("slot"))
+
+
+@register("dictionary_values", with_views(_slot_sql(0), GY))
+def q_dictionary_values(spark, sf):
+    """The same values numbered by a dictionary table, joined in (ENC3)."""
+    from prelaunch.operators.dictionary import fit_value_encoder
+    g = PL._materialise(_valued(spark, sf))
+    encoder = fit_value_encoder(C.train_rows(g, train_years=FX_TRAIN), "x", "v", drop_first=False)
+    return encoder.transform(g).select("game_id", _slot_of("v").alias("slot"))
+
+
+@register("dictionary_tags", with_views(f"""
+SELECT game_id, coalesce((SELECT string_agg(CAST(slot AS VARCHAR), ',' ORDER BY slot) FROM tc WHERE list_contains({_dlist('categories')}, c)), '') AS slots FROM gy""",
+    GY, extra=[f"tc AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS slot FROM (SELECT DISTINCT unnest({_dlist('categories')}) AS c FROM gy WHERE {_TRAIN_SQL}) WHERE c IS NOT NULL)"]))
+def q_dictionary_tags(spark, sf):
+    """Tag lists as multi-hot vectors by a dictionary table of the training period's tags (ENC1)."""
+    from pyspark.ml.functions import vector_to_array
+
+    from prelaunch.operators.dictionary import fit_list_encoder
+    g = PL._materialise(gy(spark, sf).select("game_id", "release_year", L.decode_list("categories").alias("items")))
+    encoder = fit_list_encoder(C.train_rows(g, train_years=FX_TRAIN), "items", "v")
+    cells = F.transform(vector_to_array("v"), lambda x, i: F.when(x > 0, i))
+    slots = F.array_join(F.filter(cells, lambda i: i.isNotNull()).cast("array<string>"), ",")
+    return encoder.transform(g).select("game_id", slots.alias("slots"))
+
+
+@register("developer_count_salted", ORACLE["developer_game_count"])
+def q_developer_count_salted(spark, sf):
+    """Counts mapped back by a shuffled join that salts hot keys only, whatever the size of the counts (JOI1)."""
+    cols = QUERIES["developer_game_count"](spark, sf).columns
+    return C.with_developer_count(FX.games(spark, sf), broadcast_bytes=-1).select(*cols)
+
+
+_PROFILED = ["price", "achievements", "dlc_count", "estimated_owners", "developers", "genres"]
+_PROFILED_NUMBERS = _PROFILED[:4]
+
+
+@register("merged_profile", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS n, count(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
+    + (f"round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max, " if c in _PROFILED_NUMBERS
+       else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max, ")
+    + f"true AS distinct_ok, {'true' if c in _PROFILED_NUMBERS else 'CAST(NULL AS BOOLEAN)'} AS median_ok FROM gy" for c in _PROFILED), GY))
+def q_merged_profile(spark, sf):
+    """Two halves of G profiled apart, stored, read back and merged: exact parts as of the whole, sketches within their error."""
+    from prelaunch.operators import sketches as SK
+    from prelaunch.operators.dictionary import distinct_values
+    g = PL._materialise(gy(spark, sf).select("game_id", *_PROFILED))
+    path = scratch_path(spark, f"profile-{uuid.uuid4().hex}")
+    for half in (0, 1):
+        SK.profile_sketch(g.where(F.col("game_id") % 2 == half), _PROFILED).write.parquet(f"{path}/{half}")
+    merged = PL._materialise(SK.merge_profiles(*[spark.read.parquet(f"{path}/{half}") for half in (0, 1)]))
+    out = SK.summarise(merged)
+    exact = None
+    for values in distinct_values(g, _PROFILED).values():
+        one = values.where("value is not null").groupBy("at").agg(F.count(F.lit(1)).alias("exact"))
+        exact = one if exact is None else exact.unionByName(one)
+    names = F.element_at(F.array(*[F.lit(c) for c in _PROFILED]), F.col("at") + 1)
+    out = out.join(exact.select(names.alias("column_name"), "exact"), "column_name")
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in _PROFILED_NUMBERS]))
+    ranks = (g.select(cells.alias("c")).select("c.*").where("v is not null").join(out.select("column_name", "median"), "column_name").groupBy("column_name")
+             .agg(F.avg((F.col("v") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("v") <= F.col("median")).cast("double")).alias("upto")))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact") + 1
+    return out.join(ranks, "column_name", "left").select(
+        "column_name", "n", "n_missing", r6("mean").alias("mean"), r6("std").alias("std"), "min", "max", near.alias("distinct_ok"),
+        ((F.col("below") <= 0.53) & (F.col("upto") >= 0.47)).alias("median_ok"))
