@@ -70,6 +70,70 @@ def test_host_without_article_keeps_what_differs():
     assert [ht.extract(ht.mark(w), p) for p in pages] == ["text 0", "text 1", "text 2"]
 
 
+def wrapped(pages):
+    w = None
+    for p in pages:
+        w = ht.infer(w, p)
+    m = ht.mark(w)
+    return [ht.extract(m, p) for p in pages]
+
+
+def words(i, n=30):
+    return " ".join(f"w{i * 31 + j}" for j in range(n))
+
+
+def test_template_goes_without_telling_names():
+    """No article element, no class: what nearly all distinct pages show at a place is the template, copies of a page count once."""
+    page = lambda i, body: f"<div><div>Daily News</div><ul><li>Home<li>World<li>Sport</ul></div><div><div>{body}</div></div><div>Subscribe now for more</div>"
+    bodies = [f"<p>{words(2 * i)}</p><p>{words(2 * i + 1)}</p>" for i in range(6)]
+    texts = [f"{words(2 * i)}\n{words(2 * i + 1)}" for i in range(6)]
+    assert wrapped([page(i, b) for i, b in enumerate(bodies)]) == texts
+    copies = [page(0, bodies[0])] * 8 + [page(i, b) for i, b in enumerate(bodies)]
+    assert wrapped(copies) == [texts[0]] * 8 + texts
+    # a block that two pages share and others lack stays
+    quoted = [page(i, b + ("<blockquote>the shared quotation</blockquote>" if i < 2 else "")) for i, b in enumerate(bodies)]
+    assert wrapped(quoted) == [t + ("\nthe shared quotation" if i < 2 else "") for i, t in enumerate(texts)]
+    # inside an article, too
+    calls = [f"<article><h1>T{i}</h1><div>{words(i)}</div><div><div>Read more on our site</div></div></article>" for i in range(5)]
+    assert wrapped(calls) == [f"T{i}\n{words(i)}" for i in range(5)]
+
+
+def test_copies_of_one_article_keep_it():
+    pages = [f"<div>{words(0)}</div><div>views {i}</div>" for i in range(3)]
+    assert wrapped(pages) == [f"{words(0)}\nviews {i}" for i in range(3)]
+
+
+def test_names_are_a_prior():
+    assert one_page(f"<div class='layout no-sidebar'><article><p>{words(1)}</p></article></div>") == words(1)
+    assert one_page(f"<div class='content-sidebar-wrap'><main><p>{words(1)}</p></main><div class='sidebar'>no</div></div>") == words(1)
+    kept = "<article><p>a</p><div class='side-effects'>nausea</div><p class='share-price'>3 up</p><div class='ad-banner'>buy</div><aside>no</aside></article>"
+    assert one_page(kept) == "a\nnausea\n3 up"
+    deep = "<article><p>first</p>" + "<div>" * 400 + "x" + "</div>" * 400 + "<p>last</p></article><div>no</div>"
+    assert one_page(deep) == "first\nx\nlast"
+
+
+def test_alignment_is_a_longest_common_subsequence():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        a, b = (["abcd"[i] for i in rng.integers(0, 4, rng.integers(0, 12))] for _ in range(2))
+        got = ht.pairs([[x, "1", None, []] for x in a], [[x, "1", None, []] for x in b])
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+        assert len(got) == best[-1][-1] and all(a[i] == b[j] for i, j in got)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
+def test_wide_pages_in_seconds():
+    import time
+    rng = np.random.default_rng(1)
+    wide = ["<body>" + "".join(f"<{t}>t{i}.{k}</{t}>" for i, t in enumerate(rng.choice(["p", "h2", "pre", "section", "figure"], 20_000))) for k in range(2)]
+    start = time.time()
+    got = wrapped(wide)
+    assert time.time() - start < 30 and [len(t.split("\n")) for t in got] == [20_000] * 2
+
+
 def test_html_query(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r.page_id: r for r in ht.op5_html_extraction(spark, SF).collect()}
