@@ -116,7 +116,7 @@ def covariances(classes: DataFrame, sums: dict[int, tuple[int, list[int]]]) -> d
     parts = classes.rdd.getNumPartitions()
     while parts > 1:
         parts = -(-parts // FAN_IN)
-        strips = strips.groupBy("dim", "strip", F.floor(F.col("part") / FAN_IN).cast("int").alias("part")).applyInArrow(
+        strips = strips.groupBy("dim", "strip", F.floor(F.col("part") / FAN_IN).cast("int").alias("up")).applyInArrow(
             merge, "dim int, strip int, part int, g binary")
     out = {dim: np.zeros((dim, dim)) for dim in sums}
     for r in strips.collect():
