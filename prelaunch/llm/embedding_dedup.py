@@ -3,7 +3,8 @@
 Unit vectors are dealt to coarse inverted lists; what is left after the list's centre is coded by one byte per subspace. A vector
 probes its own list and every list whose border is near enough to hold a link (below). In a list the distance to a coded vector is
 a sum of table look-ups (asymmetric: the probing vector is not coded); the coding error of each vector is known, so a pair
-whose look-up distance exceeds the link radius by more than that error cannot be a link. The rest gets its exact cosine.
+whose look-up distance exceeds the link radius by more than that error cannot be a link, and the sum stops early where its first
+subspaces show that. The rest gets its exact cosine.
 
 Probes: vectors at cosine ``t`` are ``r = sqrt(2 - 2t)`` apart at most. If y lies in list j and x in list i, the plane between the
 two centres is no farther from x than the shadow of x - y on the line of the centres, which is at most r, and for a difference
@@ -138,15 +139,21 @@ class Index:
         near[np.arange(len(u)), own] = True
         return [np.flatnonzero(row).astype(np.int32) for row in near]
 
-    def lookups(self, u: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
-        """Squared distances of unit vectors to the coded vectors of list ``at``."""
+    def lookups(self, u: np.ndarray, at: int, codes: np.ndarray, most: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, d): squared distances d of coded vectors of list ``at`` (row by row) to unit vectors. With ``most``, a bound for each
+        coded vector, rows that exceed it for all of ``u`` are left out as soon as the subspaces summed so far show it."""
         rest = u - self.centres[at]
-        total = np.zeros((len(u), len(codes)), np.float32)
+        rows, total = np.arange(len(codes)), np.zeros((len(codes), len(u)), np.float32)
+        half = len(self.books) // 2
         for m, (a, b, book) in enumerate(self.books):
             part = rest[:, a:b]
-            table = (part * part).sum(1)[:, None] - 2 * part @ book.T + (book * book).sum(1)[None, :]
-            total += table.astype(np.float32)[:, codes[:, m]]
-        return total
+            table = (book * book).sum(1)[:, None] - 2 * book @ part.T + (part * part).sum(1)[None, :]
+            total += table.astype(np.float32)[codes[rows, m]]
+            if most is not None and m >= half and (m - half) % 4 == 0:
+                alive = (total <= most[rows, None]).any(1)
+                if 4 * alive.sum() < 3 * len(rows):
+                    rows, total = rows[alive], total[alive]
+        return rows, total
 
 
 def link_block(index: Index, at: int, q: np.ndarray, q_id: np.ndarray, q_w: np.ndarray, x: np.ndarray, x_id: np.ndarray, x_w: np.ndarray,
@@ -157,14 +164,15 @@ def link_block(index: Index, at: int, q: np.ndarray, q_id: np.ndarray, q_w: np.n
     q_n, x_n = np.zeros(len(q), np.int64), np.zeros(len(x), np.int64)
     left, right = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     for first in range(0, len(q), STRIP):
-        near = index.lookups(q[first: first + STRIP], at, codes) <= radius[None, :]
-        near &= q_id[first: first + STRIP, None] != x_id[None, :]
-        rows, cols = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+        kept, d = index.lookups(q[first: first + STRIP], at, codes, radius)
+        near = (d <= radius[kept, None]) & (x_id[kept, None] != q_id[None, first: first + STRIP])
+        rows, some = np.flatnonzero(near.any(0)), np.flatnonzero(near.any(1))
         if not len(rows):
             continue
         if checked is not None:
-            checked.append(len(rows) * len(cols))
-        linked = near[np.ix_(rows, cols)] & (q[first + rows] @ x[cols].T >= threshold)
+            checked.append(len(rows) * len(some))
+        cols = kept[some]
+        linked = near[np.ix_(some, rows)].T & (q[first + rows] @ x[cols].T >= threshold)
         q_n[first + rows] += linked @ x_w[cols]
         x_n[cols] += (linked & (own[first + rows] != at)[:, None]).T @ q_w[first + rows]
         i, j = np.nonzero(linked)

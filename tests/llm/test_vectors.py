@@ -86,7 +86,11 @@ def test_recall_of_the_probes():
     for at in range(0, 60, 7):
         rows = np.flatnonzero(far == at)
         exact = np.sqrt(np.maximum(((u[rows][:, None] - v[rows][None]) ** 2).sum(2), 0))
-        assert (np.sqrt(np.maximum(index.lookups(u[rows], at, codes[rows]), 0)) <= exact + error[rows] + ed.SLACK).all()
+        _, d = index.lookups(u[rows], at, codes[rows])
+        assert (np.sqrt(np.maximum(d.T, 0)) <= exact + error[rows] + ed.SLACK).all()
+        most = np.where(np.arange(len(rows)) % 2, 0.6, 0.0)
+        kept, some = index.lookups(u[rows], at, codes[rows], most)
+        assert (some == d[kept]).all() and (d > most[:, None]).all(1)[np.setdiff1d(np.arange(len(rows)), kept)].all() and len(kept) < len(rows)
 
 
 def plain_whitening(rows):
@@ -117,6 +121,19 @@ def test_whitening_equals_plain(spark):
     assert (z[7] == z[400:]).all()
 
 
+def test_covariance_merges_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(wh, "FAN_IN", 3)
+    monkeypatch.setattr(wh, "STRIP", 5)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(c) for c in rng.normal(size=12) * 50]) for i in range(300)] + [(i, [1.0, float(i)]) for i in range(9)]
+    _, classes = wh.classes_of(spark.createDataFrame(rows, SCHEMA))
+    sums = wh.dimension_sums(classes)
+    found = wh.covariances(classes.repartition(30), sums)
+    for dim, some in ((12, rows[:300]), (2, rows[300:])):
+        n, _, _, cov, *_ = plain_whitening(some)
+        assert sums[dim][0] == n and np.abs(found[dim] - cov).max() <= 1e-12 * np.abs(cov).max()
+
+
 def test_whitening_weights_one(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(c) for c in rng.normal(size=3)]) for i in range(50)]
