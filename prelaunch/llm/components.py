@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
 Each step is one aggregate (smallest neighbour of a node, with map-side combine) and one join of the edges with it;
-edges only ever move to smaller nodes, so their number never grows beyond the first large-star. Node columns may be of
-any orderable type. Lineage is cut by ``checkpoint()`` into the folder named by ``spark.checkpoint.dir``; nothing
+edges only ever move to smaller nodes, so their number never grows beyond the first large-star. A node that has more than a
+``HOT``-th of the edges (fewer than ``2 * HOT`` nodes can) gets its smallest neighbour by broadcast, so the hub of a large component
+does not gather its edges in one task. Node columns may be of any orderable type. Lineage is cut by ``checkpoint()`` into the folder named by ``spark.checkpoint.dir``; nothing
 passes through the driver but counts and one checksum a round.
 """
 
@@ -19,17 +20,28 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+HOT = 2_000
+
+
+def _with_least(edges: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """``edges`` joined with ``least`` (u, m, degree) on u, the edges of hot nodes without a shuffle; ``n`` is the number of all edges."""
+    hot, rest = least.where(F.col("degree") * HOT > n).select("u", "m"), least.where(F.col("degree") * HOT <= n).select("u", "m")
+    looked_up = edges.join(F.broadcast(hot), "u", "left")
+    return looked_up.where("m is not null").select("u", "v", "m").unionByName(looked_up.where("m is null").drop("m").join(rest, "u").select("u", "v", "m"))
+
+
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     """Edges (u, v) with u > v: every larger neighbour of a node moves to its smallest neighbour (or itself)."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+    least = shared_checkpoint(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree")).select("u", F.least("u", "m").alias("m"), "degree"))
+    return _with_least(both.where("v > u"), least, n).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     """Edges (u, v) with u > v: a node and its smaller neighbours move to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return (edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    edges = shared_checkpoint(edges)
+    least = shared_checkpoint(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree")))
+    return (_with_least(edges, least, n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
 
 
@@ -45,7 +57,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        e = shared_checkpoint(_small_star(_large_star(e)))
+        e = shared_checkpoint(_small_star(_large_star(e, mark[0]), mark[0]))
         now = _mark(e)
         if now == mark:
             break
