@@ -7,10 +7,12 @@ Where the shift is zero, the block's hash selects the patterns that end with it;
 them, and comparison of the words themselves confirms an occurrence.
 
 Scale: documents are only scanned (no shuffle); the search runs inside ``mapInArrow`` over word hashes. Patterns are
-broadcast in blocks of at most ``block_bytes`` of benchmark text, one pass of the narrow plan per block, so a
-benchmark of any size works with bounded memory.
+broadcast in blocks of at most ``block_bytes`` of benchmark text, so a benchmark of any size works with bounded memory. The
+documents go through the first block's search; each further block reads the texts again and leaves one row for a text that
+holds some of its windows, so nothing but such rows is ever written.
 
-Edge cases: a null or empty text has no words (0 words, 0 hits, not contaminated). Items without words, or with a
+Edge cases: a null or empty text has no words (0 words, 0 hits, not contaminated). Very long texts are searched whole, in slices of
+rows; ties do not arise (spans and item ids are sets). Empty tables give no rows. Items without words, or with a
 null id, are left out; equal ids count once. Repeated rows are judged one by one. An empty benchmark hits nothing. Only
 ``doc_id`` and ``text`` (``item_id`` and ``text``) are read, so other columns may have any name.
 """
@@ -24,9 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prelaunch.llm.components import shared_checkpoint
 from prelaunch.llm.words import FOLD, row_slices, shingle_hashes, small_batches, span_hash, spans, utf8, word_hashes
 
 WIDTH = 13
@@ -180,31 +183,56 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, bloc
     items = (benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
              .select(F.col("item_id").cast("string").alias("item"), "text").distinct())
     carried = list(dict.fromkeys(["doc_id", "text", *(keep or [])]))
-    out = docs.select(*carried)
     blocks = item_blocks(items, block_bytes)
-    for i, block in enumerate(blocks):
-        # A block holds at most about block_bytes of text, whatever the benchmark's size.
+    if len(blocks) > 1:
+        blocks = item_blocks(shared_checkpoint(items), block_bytes)
+    # A block holds at most about block_bytes of text, whatever the benchmark's size.
+    pairs = [(r["item"], r["text"]) for r in blocks[0].toLocalIterator()]
+    if len(blocks) == 1:
+        return _search(spark, docs.select(*carried), pairs, width)
+    # The documents are carried through the first block's search only; further ones read the texts and leave a row per text
+    # that holds some of their windows, under a hash of the text.
+    keyed = docs.select(*carried, *_text_keys())
+    out = _search(spark, keyed, pairs, width)
+    more = None
+    for block in blocks[1:]:
         pairs = [(r["item"], r["text"]) for r in block.toLocalIterator()]
-        out = _search(spark, out, pairs, width, carried)
-        if i + 1 < len(blocks):
-            out = out.checkpoint()
-    return out
+        got = _search(spark, docs.select("text", *_text_keys()), pairs, width).where(F.size("w_items") > 0)
+        got = shared_checkpoint(got.groupBy("w_k1", "w_k2").agg(F.first("w_items").alias("i"), F.first("w_spans").alias("s")))
+        more = got if more is None else more.unionByName(got)
+    more = more.groupBy("w_k1", "w_k2").agg(F.flatten(F.collect_list("i")).alias("w_i"), F.flatten(F.collect_list("s")).alias("w_s"))
+    joined = out.join(more, ["w_k1", "w_k2"], "left")
+    found = F.array_sort(F.array_distinct(F.concat("w_items", "w_i")))
+    return joined.select(*carried, "w_words", F.when(F.col("w_i").isNull(), F.col("w_items")).otherwise(found).alias("w_items"),
+                         F.when(F.col("w_i").isNull(), F.col("w_spans")).otherwise(_merged(F.array_sort(F.concat("w_spans", "w_s")))).alias("w_spans"))
+
+
+def _text_keys() -> list[Column]:
+    return [F.xxhash64("text").alias("w_k1"), F.xxhash64(F.lit("second"), "text").alias("w_k2")]
+
+
+def _merged(spans: Column) -> Column:
+    """Sorted [first, last) ranges with those that touch made one."""
+    def add(done, s):
+        last = F.element_at(done, -1)
+        touch = F.struct(last["first"].alias("first"), F.greatest(last["last"], s["last"]).alias("last"))
+        return F.when(F.size(done) == 0, F.array(s)).when(last["last"] >= s["first"], F.concat(F.slice(done, 1, F.size(done) - 1), F.array(touch))).otherwise(
+            F.concat(done, F.array(s)))
+
+    return F.aggregate(spans, F.array().cast("array<struct<first:int,last:int>>"), add)
 
 
-def _search(spark: SparkSession, docs: DataFrame, pairs: list[tuple[str, str]], width: int, carried: list[str]) -> DataFrame:
+def _search(spark: SparkSession, docs: DataFrame, pairs: list[tuple[str, str]], width: int) -> DataFrame:
+    """``docs`` with w_words, w_items and w_spans of the windows of ``pairs``."""
     shared = spark.sparkContext.broadcast(pairs)
-    first = "w_words" not in docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carried).schema.fields)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     schema += ", w_words long, w_items array<string>, w_spans array<struct<first:int,last:int>>"
+    carried = docs.columns
 
     def run(batches):
         tables = compile_tables(shared.value, width)
         for batch in batches:
             found = search_batch(batch.column("text"), tables)
-            if not first:
-                old = list(zip(batch.column("w_items").to_pylist(), batch.column("w_spans").to_pylist()))
-                found = [(n, s | set(a), merge_spans(sp + [(x["first"], x["last"]) for x in b]))
-                         for (n, s, sp), (a, b) in zip(found, old)]
             cols = [batch.column(c) for c in carried]
             cols += [pa.array([n for n, _, _ in found], pa.int64()),
                      pa.array([sorted(s) for _, s, _ in found], pa.list_(pa.string())),
