@@ -8,11 +8,12 @@ has a canonical form (case, punctuation and spacing removed), so variants of one
 * digits become digits, letters letters of the same script and case, everything else stays (format);
 * cards and IBANs keep their first digit or country and get valid check digits, IPv4 octets keep their width and stay valid, phone numbers
   keep their country code, e-mail domains map by themselves and keep the top-level label, hexadecimal secrets stay so;
-* names take first names of the title's gender and generated surnames, both in the script they are written in.
+* names take first names of the title's gender, or where the title has none that of the first name, and generated surnames, both in the
+  script they are written in.
 
 Collision checks keep distinct entities distinct: over the distinct entities of the whole corpus, a surrogate that two
 entities share, or that is itself an entity of the corpus, is drawn again with the next attempt for all but the
-smallest entity, until no collision is left. After ``GROW_AFTER`` attempts the format gives way, by one symbol more an attempt, so
+smallest entity, until no collision is left. Domains of e-mail addresses are checked alike, before the addresses. After ``GROW_AFTER`` attempts the format gives way, by one symbol more an attempt, so
 that a corpus with more entities than a narrow format holds settles too: surnames get further syllables, octets any width, local
 parts letters, secrets, IBANs, cards and international phone numbers digits. Formats of one fixed length (social-security and local phone
 numbers, access keys; addresses once every octet is free) get digits at the end after ``FULL_AFTER`` attempts, when they are full.
@@ -142,9 +143,12 @@ def canonical(e: Column, kind: Column) -> Column:
 
 
 def _gender(e: Column) -> Column:
+    """The title's gender; where it implies none, that of a known first name."""
     g = F.lit("x")
     for gender in ("f", "m"):
-        g = F.when(e.rlike(rf"^(?:{'|'.join(TITLES[gender])})\b"), gender).otherwise(g)
+        known = "|".join(n for (_, of), names in FIRST.items() if of == gender for n in names)
+        titled = rf"(?:{'|'.join(TITLES[gender])})\b|(?:{'|'.join(TITLES['x'])})\b\.? (?:{known})(?!\p{{L}})"
+        g = F.when(e.rlike(rf"^(?:{titled})"), gender).otherwise(g)
     return g
 
 
@@ -205,8 +209,18 @@ def _chunks(e: Column, kind: Column, canon: Column, attempt: Column, key: str) -
     return F.element_at(parts, 1)
 
 
-def with_stream(e: Column, kind: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """All that :func:`surrogate` needs of one mention."""
+def _domain(domain: Column, attempt: Column, key: str) -> Column:
+    """A domain's surrogate: its top-level label stays, the others are replaced; late attempts have letters before them."""
+    top = F.substring_index(domain, ".", -1)
+    parts = _pieces(F.substr(domain, F.lit(1), F.length(domain) - F.length(top)), _stream(key, F.lit("domain"), domain, attempt))
+    more = F.greatest(attempt - GROW_AFTER + 1, F.lit(0)).cast("int")
+    tail = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain tail"), domain, attempt.cast("string")).cast("binary"), 512)
+    return F.concat(F.translate(F.substr(tail, F.lit(1), more), "0123456789", "ghijklmnop"), F.array_join(F.transform(parts, _fill), ""), top)
+
+
+def with_stream(e: Column, kind: Column, canon: Column, attempt: Column, key: str, domain_attempt: Column | None = None) -> Column:
+    """All that :func:`surrogate` needs of one mention; ``domain_attempt`` is that of an e-mail's domain."""
+    domain_attempt = F.lit(0) if domain_attempt is None else domain_attempt
     long = (kind == "secret") & (F.length(canon) > LONG)
     return F.struct(e.alias("mention"), kind.alias("kind"), canon.alias("canon"), _prefix_length(e, kind).alias("prefix"),
                     F.when(long, "").otherwise(_stream(key, kind, canon, attempt)).alias("stream"),
@@ -217,7 +231,8 @@ def with_stream(e: Column, kind: Column, canon: Column, attempt: Column, key: st
                                                                      F.lit("tail")).cast("binary"), 512)).alias("tail"),
                     (attempt >= GROW_AFTER).alias("wide"),
                     # an e-mail's domain maps by itself, whatever the local part
-                    F.when(kind == "email", _stream(key, F.lit("domain"), F.substring_index(canon, "@", -1), F.lit(0))).alias("domain"))
+                    F.when(kind == "email", _domain(F.substring_index(canon, "@", -1), domain_attempt, key))
+                    .when(kind == "domain", _domain(canon, attempt, key)).alias("domain"))
 
 
 def _is_fixed(e: Column, kind: Column) -> Column:
@@ -240,15 +255,12 @@ def _grown(filled: Column, x: Column) -> Column:
 
 
 def _filled(x: Column) -> Column:
-    """The mention with characters replaced: one part, or an e-mail's local part, domain and top-level label."""
+    """The mention with characters replaced: one part, or an e-mail's local part and its domain's surrogate."""
     e, kind = x["mention"], x["kind"]
-    domain = F.substring_index(F.lower(e), "@", -1)
-    top = F.substring_index(domain, ".", -1)
     whole = F.array(_part(e, x["stream"], x["prefix"], (kind == "secret") & x["canon"].rlike("^[0-9a-f]+$")))
     mail = F.concat(_pieces(F.substring_index(F.lower(e), "@", 1), x["stream"]),
                     F.array(_part(F.concat(_tail(x, "lower"), F.lit("@")), x["stream"], x["grown"] + 1, F.lit(False))),
-                    _pieces(F.substr(domain, F.lit(1), F.length(domain) - F.length(top)), x["domain"]),
-                    F.array(_part(top, x["stream"], F.length(top), F.lit(False))))
+                    F.array(_part(x["domain"], x["stream"], F.length(x["domain"]), F.lit(False))))
     filled = F.array_join(F.transform(F.when(kind == "email", mail).when(x["chunks"].isNotNull(), x["chunks"]).otherwise(whole), _fill), "")
     return F.when(kind == "email", filled).otherwise(_grown(filled, x))
 
@@ -280,7 +292,7 @@ def _person(x: Column) -> Column:
 def surrogates(xs: Column) -> Column:
     """The replacements of an array of mentions (structs made by :func:`with_stream`); without a kind a mention stays."""
     drafts = F.transform(xs, lambda x: F.struct(x["kind"].alias("kind"), (
-        F.when(x["kind"].isNull(), x["mention"]).when(x["kind"] == "ip", _octets(x)).when(x["kind"] == "name", _person(x))
+        F.when(x["kind"].isNull(), x["mention"]).when(x["kind"] == "ip", _octets(x)).when(x["kind"] == "name", _person(x)).when(x["kind"] == "domain", x["domain"])
         .otherwise(_filled(x))).alias("draft")))
     # check digits of cards and IBANs follow from the rest
     checked = F.transform(drafts, lambda d: F.struct(d["kind"].alias("kind"), d["draft"].alias("draft"), F.when(d["kind"] == "card", (
@@ -305,17 +317,36 @@ def _found(docs: DataFrame) -> DataFrame:
         canonical(x["mention"], x["kind"]).alias("canon"), x["mention"].alias("mention"))))
 
 
+def _domain_of(canon: Column) -> Column:
+    return F.substring_index(canon, "@", -1)
+
+
 def distinct_entities(docs: DataFrame) -> DataFrame:
-    """(kind, canon, mention) of every distinct entity; mention is one of its mentions (the smallest)."""
-    return (_found(docs.select("text")).select(F.explode("w_found").alias("x")).where("x.kind is not null")
-            .groupBy(F.col("x.kind").alias("kind"), F.col("x.canon").alias("canon")).agg(F.min("x.mention").alias("mention")))
+    """(kind, canon, mention) of every distinct entity; mention is one of its mentions (the smallest). Domains of e-mail addresses
+    are entities of their own."""
+    found = (_found(docs.select("text")).select(F.explode("w_found").alias("x")).where("x.kind is not null")
+             .groupBy(F.col("x.kind").alias("kind"), F.col("x.canon").alias("canon")).agg(F.min("x.mention").alias("mention")))
+    found = shared_checkpoint(found)
+    domains = found.where("kind = 'email'").select(_domain_of(F.col("canon")).alias("canon")).distinct()
+    return found.unionByName(domains.select(F.lit("domain").alias("kind"), "canon", F.col("canon").alias("mention")))
 
 
 def redrawn_entities(entities: DataFrame, key: str, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """(kind, canon, attempt > 0) of the entities whose first surrogates collide."""
+    """(kind, canon, attempt > 0) of the entities whose first surrogates collide. Domains settle first; addresses are drawn
+    with the domains they end with."""
     entities = shared_checkpoint(entities)
-    draw = F.element_at(surrogates(F.array(with_stream(F.col("mention"), F.col("kind"), F.col("canon"), F.col("attempt"), key))), 1)
+    domains = _settled(entities.where("kind = 'domain'").withColumn("domain_attempt", F.lit(0)), key, max_attempts)
+    known = domains.select(F.col("canon").alias("w_domain"), F.col("attempt").alias("domain_attempt"))
+    rest = (entities.where("kind <> 'domain'").withColumn("w_domain", F.when(F.col("kind") == "email", _domain_of(F.col("canon"))))
+            .join(known, "w_domain", "left").drop("w_domain").withColumn("domain_attempt", F.coalesce("domain_attempt", F.lit(0))))
+    return domains.unionByName(_settled(rest, key, max_attempts))
+
+
+def _settled(entities: DataFrame, key: str, max_attempts: int) -> DataFrame:
+    """(kind, canon, attempt > 0) of ``entities`` (kind, canon, mention, domain_attempt)."""
+    draw = F.element_at(surrogates(F.array(with_stream(F.col("mention"), F.col("kind"), F.col("canon"), F.col("attempt"), key, F.col("domain_attempt")))), 1)
     drawn_canon = canonical(F.col("drawn"), F.col("kind"))
+    entities = shared_checkpoint(entities)
     drawn = shared_checkpoint(entities.withColumn("attempt", F.lit(0)).withColumn("drawn", draw).withColumn("drawn_canon", drawn_canon))
     for _ in range(max_attempts):
         # shared by two entities: all but the first draw again
@@ -341,11 +372,12 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     n = redrawn.count()
     if n:
         found = _with_attempts(found, F.broadcast(redrawn) if n <= BROADCAST_ROWS else redrawn)
-        attempt = lambda x: F.coalesce(F.element_at("w_again", F.concat_ws("|", x["kind"], x["canon"])), F.lit(0))
+        attempt = lambda kind, canon: F.coalesce(F.element_at("w_again", F.concat_ws("|", kind, canon)), F.lit(0))
     else:
-        attempt = lambda x: F.lit(0)
+        attempt = lambda kind, canon: F.lit(0)
     pieces = F.split("text", ENTITY, -1)
-    ready = F.transform("w_found", lambda x: with_stream(x["mention"], x["kind"], x["canon"], attempt(x), key))
+    ready = F.transform("w_found", lambda x: with_stream(x["mention"], x["kind"], x["canon"], attempt(x["kind"], x["canon"]), key,
+                                                         attempt(F.lit("domain"), _domain_of(x["canon"]))))
     new = surrogates(ready)
     joined = F.concat(F.element_at(pieces, 1), F.array_join(F.zip_with(
         new, F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), lambda a, b: F.concat(a, b)), ""))
@@ -359,7 +391,9 @@ def _with_attempts(found: DataFrame, redrawn: DataFrame) -> DataFrame:
     """Adds w_again: "kind|canon" -> attempt of the text's redrawn entities. The text hash only carries the join: maps are
     looked up by entity, so texts that share a hash do no harm."""
     keyed = found.withColumn("w_key", F.xxhash64("text"))
-    used = (keyed.where(F.size("w_found") > 0).select("w_key", F.explode("w_found").alias("x"))
+    named = F.transform("w_found", lambda x: F.struct(x["kind"].alias("kind"), x["canon"].alias("canon")))
+    domains = F.transform(F.filter("w_found", lambda x: x["kind"] == "email"), lambda x: F.struct(F.lit("domain").alias("kind"), _domain_of(x["canon"]).alias("canon")))
+    used = (keyed.where(F.size("w_found") > 0).select("w_key", F.explode(F.concat(named, domains)).alias("x"))
             .select("w_key", F.col("x.kind").alias("kind"), F.col("x.canon").alias("canon")).distinct())
     maps = (used.join(redrawn, ["kind", "canon"]).groupBy("w_key")
             .agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "canon"), "attempt"))).alias("w_again")))

@@ -209,3 +209,17 @@ def test_no_text_crashes_the_search(spark):
     assert len(got) == len(runs) and all(isinstance(got[i].text, str) for i in got)
     assert got[0].text == runs[0] and got[0].w_n == 0
     assert got[1].w_n == 1 and got[1].text.endswith(".ab" * 10 + ".com") and not got[1].text.startswith("x@ab.ab.")
+
+
+def test_domains_and_genders(spark):
+    hosts = [f"{a}{b}.de" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    texts = [f"write x@{h} or yy@{h.upper()} now" for h in hosts]
+    out = {r.doc_id: r.text.split() for r in sg.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    drawn = [out[i][1].split("@")[1] for i in range(len(hosts))]
+    assert len(set(drawn)) == len(hosts) and not set(drawn) & set(hosts) and all(d.endswith(".de") for d in drawn)
+    assert all(out[i][3].split("@")[1] == drawn[i] for i in range(len(hosts)))         # one domain, one surrogate
+    assert len({out[i][1] for i in out} | {out[i][3] for i in out}) == 2 * len(hosts)
+    names = [f"Dr {n} Lopezov" for n in ("Maria", "Anna", "Peter", "Karl")] + ["Prof. Ирина Петрова", "Prof. Иван Петров"]
+    got = [r.text for r in sg.replace_entities(spark.createDataFrame(list(enumerate(names)), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    for text, (script, gender) in zip(got, [("latin", "f")] * 2 + [("latin", "m")] * 2 + [("cyrillic", "f"), ("cyrillic", "m")]):
+        assert text.split()[1] in sg.FIRST[script, gender]
