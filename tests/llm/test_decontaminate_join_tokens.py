@@ -80,6 +80,25 @@ def test_components(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_components_with_a_hub_and_many_small_ones(spark):
+    rng = random.Random(1)
+    edges = [(7, 10_000 + i) for i in range(3_000)] + [(50_000 + 3 * i, 50_000 + 3 * i + 1) for i in range(3_000)] + [(50_000 + 3 * i, 50_000 + 3 * i + 2) for i in range(2_000)]
+    edges += [(10_005, 50_000), (50_004, 50_010)]
+    parent = {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        a, b = top(u), top(v)
+        parent[max(a, b)] = min(a, b)
+    rng.shuffle(edges)
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: top(x) for x in parent}
+
+
 def near_copies(seed=3):
     rnd = random.Random(seed)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(4))
