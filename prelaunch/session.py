@@ -65,3 +65,9 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), "tables", name)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more, in whatever store it is; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
