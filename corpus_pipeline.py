@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prelaunch.llm import decontaminate, language_id, mixing, ngram_join, surrogates
-from prelaunch.session import scratch_path
+from prelaunch.session import remove_path, scratch_path
 
 LEAST_CONFIDENCE = 0.5       # a language below this posterior is not identified
 KEY = "surrogates-v1"
@@ -80,10 +80,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; intermediate tables go to the shared checkpoint folder."""
+    """The stages over ``documents``; intermediate tables go to the shared checkpoint folder, and each is removed when the next
+    stage's is written. Only the last one stays, which the result reads."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
+        if before:
+            remove_path(spark, before)
+        before = f"{base}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
