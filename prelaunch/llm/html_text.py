@@ -7,9 +7,9 @@ equal neighbours and equal neighbouring groups of a page fold into repeats, then
 subsequence by bit vectors); matched items are merged recursively, a text that differs becomes a slot, and what only one side has
 becomes optional.
 
-Every text slot remembers which of the host's pages showed which text in it, for a sample of ``SAMPLE`` distinct pages (those
-of the smallest signature hashes). A signature is made of the texts that hold four fifths of a page, so copies of one page, and
-copies that differ in a counter or a date, are one page here. A text that a slot shows on at least ``SHARE`` of the distinct
+Once a host's wrapper stands, all its pages are read by it and counted: which text each slot shows on how many distinct pages.
+A signature is made of the texts that hold four fifths of a page, so copies of one page, and copies that differ in a counter or a
+date, are one page here. A text that a slot shows on at least ``SHARE`` of the host's distinct
 pages, and on ``LEAST_PAGES`` of them, belongs to the template and is left out, wherever it stands and whatever its element is
 called; so menus, notices and calls to subscribe go without a telling class. Element and class names are the prior: where the host has article or
 main elements, main text lies inside them; and not inside menus, footers, sidebars, forms and the like, named by their
@@ -18,7 +18,8 @@ What else varies or is rare is main text. A page is read by aligning it with its
 line per block.
 
 Scale: wrappers are folded inside each task first, then ``FAN_IN`` tasks at a time in a tree, so a host with a third of all pages is
-a few small wrappers per task and no page leaves its partition. Decisions are made once a host, and pages get them by a join on
+a few small wrappers per task and no page leaves its partition. The counts of slot texts are two partially aggregated group-bys over
+(host, text, signature) hashes, so a host's pages spread over all tasks. Decisions are made once a host, and pages get them by a join on
 host, broadcast only when their measured size is small. Aligning two lists of n and m items takes n * m bits and little more than
 n + m steps of big integers; lists beyond ``ALIGN_BITS`` are aligned in stretches.
 
@@ -33,6 +34,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from itertools import count
 
 import pyarrow as pa
 import xxhash
@@ -44,8 +46,7 @@ from prelaunch.llm.components import shared_checkpoint
 
 BROADCAST_BYTES = 32 << 20
 FAN_IN = 32
-SAMPLE = 32                  # distinct pages of a host whose texts are remembered
-SHARE = 0.8                  # of them, that show a text of the template
+SHARE = 0.8                  # of a host's distinct pages, that show a text of the template
 LEAST_PAGES = 3
 ALIGN_BITS = 1 << 30
 MAX_DEPTH = 150              # deeper elements become neighbours of the deepest ones; their text stays
@@ -172,11 +173,12 @@ def signature(page: Node) -> str:
 
 # A wrapper item is a list [label, quantifier, value, children]. Labels: "#" for text (value: the constant text's hash, or None
 # for a slot), "()" for a group, else an element. Quantifiers: "1", "?", "+", "*". In place of children a text has marks,
-# "<text hash>:<page signature>": which page showed what there.
+# "<text hash>:<page signature>": which page showed what there. Wrappers of whole tables are folded without marks; there Spark
+# counts what the slots show.
 
 
 class Marks(dict):
-    """A set of marks that reads like a list of items and is written as JSON like a dict."""
+    """A set of marks that reads like a list of items."""
 
     def __iter__(self):
         return iter([[m, "", None, []] for m in self.keys()])
@@ -193,7 +195,7 @@ def items_of(node: Node, page: str | None = None, deep: bool = True) -> tuple[li
     for child in node.children:
         if isinstance(child, str):
             h = text_hash(child)
-            item = ["#", "1", h, Marks({f"{h}:{page}": None} if page else {})]
+            item = ["#", "1", h, Marks({f"{h}:{page}": None}) if page else []]
         else:
             item = [child.label, "1", None, items_of(child, page)[0] if deep else []]
         if items and items[-1][0] == item[0]:
@@ -232,8 +234,10 @@ def merge(a: list, b: list) -> list:
     maybe = a[1] in "?*" or b[1] in "?*"
     quantifier = ("*" if maybe else "+") if many else ("?" if maybe else "1")
     if a[0] == "#":
-        a[3].update(b[3])
-        return ["#", quantifier, a[2] if a[2] == b[2] else None, a[3]]
+        marks = a[3] or b[3]
+        if a[3] and b[3]:
+            marks.update(b[3])
+        return ["#", quantifier, a[2] if a[2] == b[2] else None, marks]
     return [a[0], quantifier, None, align(a[3], b[3])]
 
 
@@ -320,16 +324,10 @@ def align(a: list, b: list) -> list:
     return out
 
 
-def infer(wrapper: list | None, page: str, sample: set[str] | None = None) -> list:
-    """The wrapper that also covers one more page. ``sample`` holds the signatures of the pages whose texts are remembered, and
-    is kept up to date; without it every page's are."""
+def infer(wrapper: list | None, page: str, marked: bool = True) -> list:
+    """The wrapper that also covers one more page. It remembers which page showed which text, unless ``marked`` is false."""
     node = parse(page or "")
-    own = signature(node)
-    if sample is not None:
-        sample.add(own)
-        if len(sample) > SAMPLE:
-            sample.remove(max(sample))
-    items = items_of(node, own if sample is None or own in sample else None)[0]
+    items = items_of(node, signature(node) if marked else None)[0]
     return items if wrapper is None else align(wrapper, items)
 
 
@@ -337,16 +335,10 @@ def marks_of(items: list) -> set[str]:
     """Signatures of the pages that the wrapper remembers."""
     out: set[str] = set()
     for label, _, _, children in items:
-        out |= {m.split(":")[1] for m in children.keys()} if label == "#" else marks_of(children)
+        out |= ({m.split(":")[1] for m in children.keys()} if children else set()) if label == "#" else marks_of(children)
     return out
 
 
-def prune(items: list, sample: set[str] | None = None) -> list:
-    """The wrapper with the marks of the ``SAMPLE`` smallest signatures only."""
-    sample = set(sorted(marks_of(items))[:SAMPLE]) if sample is None else sample
-    return [[l, q, v, Marks({m: None for m in c.keys() if m.split(":")[1] in sample}) if l == "#" else prune(c, sample)] for l, q, v, c in items]
-
-
 def is_furniture(tag: str, label: str, inside: bool) -> bool:
     """Whether the element's name says that it holds no main text: its tag, or a class all of whose words say so."""
     if tag in FURNITURE:
@@ -371,24 +363,23 @@ def mains(items: list) -> int:
 
 
 def mark(items: list) -> list:
-    """The wrapper with every text slot's decision (True: main text) in place of its value, and with the hashes of its template
-    texts, which are none, in place of its marks."""
-    whole, sample = mains(items), set(sorted(marks_of(items))[:SAMPLE])
-    least = max(LEAST_PAGES, SHARE * len(sample))
+    """The wrapper with every text slot's decision (True: main text) in place of its value, with the hashes of its template
+    texts, as far as it remembers pages, in place of its marks, and with the slot's number."""
+    whole, pages, slots = mains(items), len(marks_of(items)), count()
+    least = max(LEAST_PAGES, SHARE * pages)
 
     def template(marks) -> list:
         seen: dict[str, set] = {}
-        for m in marks.keys():
+        for m in marks.keys() if marks else ():
             text, page = m.split(":")
-            if page in sample:
-                seen.setdefault(text, set()).add(page)
-        return sorted(t for t, pages in seen.items() if len(pages) >= least)
+            seen.setdefault(text, set()).add(page)
+        return sorted(t for t, own in seen.items() if len(own) >= least)
 
     def walk(items, inside, out_of_it):
         out = []
         for label, q, _, children in items:
             if label == "#":
-                out.append([label, q, not out_of_it and (inside or not whole), template(children)])
+                out.append([label, q, not out_of_it and (inside or not whole), template(children), next(slots)])
                 continue
             here = out_of_it
             if label != "()" and not here:
@@ -402,9 +393,9 @@ def mark(items: list) -> list:
     return walk(items, False, False)
 
 
-def extract(marked: list, page: str) -> str:
-    """Main text of a page: its blocks in the wrapper's main slots, in page order."""
-    out: list[str] = []
+def main_texts(marked: list, page: Node) -> list[tuple[int, str]]:
+    """The texts of a page in the wrapper's main slots, in page order, with their slots' numbers."""
+    out: list[tuple[int, str]] = []
 
     def read(items: list, node: Node) -> None:
         found, own = items_of(node, deep=False)
@@ -419,13 +410,23 @@ def extract(marked: list, page: str) -> str:
                 if slot is None or slot[0] != label:
                     slot = by_label.get(label)
                 if isinstance(child, str):
-                    if slot is not None and slot[2] and text_hash(child) not in slot[3]:
-                        out.append(child)
+                    if slot is not None and slot[2] and not (slot[3] and text_hash(child) in slot[3]):
+                        out.append((slot[4], child))
                 elif slot is not None:
                     read(slot[3], child)
 
-    read(marked, parse(page or ""))
-    return "\n".join(out)
+    read(marked, page)
+    return out
+
+
+def slot_text(slot: int, text: str) -> int:
+    """A hash of what a slot shows, as a signed long."""
+    return xxhash.xxh64_intdigest(f"{slot}:{text}") - (1 << 63)
+
+
+def extract(marked: list, page: str, template: frozenset[int] = frozenset()) -> str:
+    """Main text of a page: its blocks in the wrapper's main slots, in page order, without the template's texts."""
+    return "\n".join(text for slot, text in main_texts(marked, parse(page or "")) if not template or slot_text(slot, text) not in template)
 
 
 def flat(items: list) -> list:
@@ -446,21 +447,21 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper, n_pages): the marked wrapper of every host as JSON."""
 
     def fold(batches):
-        held: dict[str, list] = {}
+        held: dict[str, tuple[list, int]] = {}
 
         def rows():
             part = TaskContext.get().partitionId() if TaskContext.get() else 0
             batch = pa.RecordBatch.from_arrays(
                 [pa.array(list(held), pa.string()), pa.array([part] * len(held), pa.int32()),
-                 pa.array([json.dumps(prune(w)) for w, _, _ in held.values()], pa.string()), pa.array([n for _, n, _ in held.values()], pa.int64())],
+                 pa.array([json.dumps(w) for w, _ in held.values()], pa.string()), pa.array([n for _, n in held.values()], pa.int64())],
                 ["host", "part", "wrapper", "n_pages"])
             held.clear()
             return batch
 
         for batch in batches:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                w, n, sample = held.get(host, (None, 0, set()))
-                held[host] = (infer(w, page, sample), n + 1, sample)
+                w, n = held.get(host, (None, 0))
+                held[host] = (infer(w, page, False), n + 1)
                 if len(held) > HELD_HOSTS:
                     yield rows()
         yield rows()
@@ -468,7 +469,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     def join(table: pa.Table, last: bool) -> pa.Table:
         w = None
         for x in table.column("wrapper").to_pylist():
-            w = json.loads(x) if w is None else prune(align(w, json.loads(x)))
+            w = json.loads(x) if w is None else align(w, json.loads(x))
         return pa.table({"host": table.column("host")[:1], "part": pa.array([table.column("part")[0].as_py() // FAN_IN], pa.int32()),
                          "wrapper": pa.array([json.dumps(mark(w) if last else w)], pa.string()), "n_pages": pa.array([sum(table.column("n_pages").to_pylist())], pa.int64())})
 
@@ -479,28 +480,69 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     return parts.groupBy("host").applyInArrow(lambda t: join(t, True), kind).select("host", "wrapper", "n_pages")
 
 
+class Wrappers:
+    """Wrappers by their JSON, read once as long as they are held."""
+
+    def __init__(self):
+        self.held: dict = {}
+
+    def __call__(self, key, read):
+        if key not in self.held:
+            if len(self.held) > 1_000:
+                self.held.clear()
+            self.held[key] = read()
+        return self.held[key]
+
+
+def with_wrapper(pages: DataFrame, wrappers: DataFrame, small: bool) -> DataFrame:
+    return pages.join(F.broadcast(wrappers) if small else wrappers, "w_host", "left")
+
+
+def template_texts(pages: DataFrame, wrappers: DataFrame, small: bool) -> DataFrame:
+    """(w_host, template): for every host the hashes of the slot texts that nearly all its distinct pages show, counted over all
+    pages (``w_host``, ``html``). The table is empty for hosts without any."""
+
+    def shown(batches):
+        wrapper = Wrappers()
+        for batch in batches:
+            hosts, texts, signs = [], [], []
+            for host, w, page in zip(*(batch.column(c).to_pylist() for c in ("w_host", "wrapper", "html"))):
+                tree = parse(page or "")
+                own = {slot_text(slot, text) for slot, text in main_texts(wrapper(w, lambda: json.loads(w)), tree)}
+                hosts += [host] * (len(own) + 1)
+                texts += [None, *own]               # a row without a text counts the page itself
+                signs += [xxhash.xxh64_intdigest(signature(tree)) - (1 << 63)] * (len(own) + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(texts, pa.int64()), pa.array(signs, pa.int64())], ["w_host", "text", "sign"])
+
+    seen = with_wrapper(pages.select("w_host", "html"), wrappers, small).select("w_host", "wrapper", "html").mapInArrow(shown, "w_host string, text long, sign long")
+    counts = seen.distinct().groupBy("w_host", "text").agg(F.count(F.lit(1)).alias("n"))
+    counts = shared_checkpoint(counts.where(F.col("text").isNull() | (F.col("n") >= LEAST_PAGES)))
+    whole = counts.where(F.col("text").isNull()).select("w_host", F.col("n").alias("n_pages"))
+    often = counts.where(F.col("text").isNotNull()).join(whole, "w_host").where(F.col("n") >= F.greatest(F.lit(float(LEAST_PAGES)), SHARE * F.col("n_pages")))
+    return often.groupBy("w_host").agg(F.array_sort(F.collect_list("text")).alias("template"))
+
+
 def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html)."""
-    wrappers = shared_checkpoint(infer_wrappers(pages))
-    size = wrappers.agg(F.sum(F.octet_length("wrapper") + F.octet_length("host") + 64)).first()[0] or 0
-    wrappers = wrappers.withColumnRenamed("host", "w_host")
+    wrappers = shared_checkpoint(infer_wrappers(pages)).select(F.col("host").alias("w_host"), "wrapper")
+    size = wrappers.agg(F.sum(F.octet_length("wrapper") + F.octet_length("w_host") + 64)).first()[0] or 0
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("w_host"))
-    joined = keyed.join(F.broadcast(wrappers) if size <= BROADCAST_BYTES else wrappers, "w_host", "left")
+    templates = template_texts(keyed, wrappers, size <= BROADCAST_BYTES)
+    wrappers = shared_checkpoint(wrappers.join(templates, "w_host", "left"))
+    size += wrappers.agg(F.sum(8 * F.size(F.coalesce("template", F.array().cast("array<long>"))))).first()[0] or 0
+    joined = with_wrapper(keyed, wrappers, size <= BROADCAST_BYTES)
 
     def run(batches):
-        cache: dict[str, list] = {}
+        wrapper = Wrappers()
         for batch in batches:
             texts = []
-            for w, page in zip(batch.column("wrapper").to_pylist(), batch.column("html").to_pylist()):
-                if w not in cache:
-                    if len(cache) > 1_000:
-                        cache.clear()
-                    cache[w] = json.loads(w)
-                texts.append(extract(cache[w], page))
+            for host, w, template, page in zip(*(batch.column(c) for c in ("w_host", "wrapper", "template", "html"))):
+                marked, left_out = wrapper(host.as_py(), lambda: (json.loads(w.as_py()), frozenset(template.as_py() or ())))
+                texts.append(extract(marked, page.as_py(), left_out))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return joined.select("page_id", "url", "html", "wrapper").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "w_host", "wrapper", "template").mapInArrow(run, "page_id long, url string, text string, n_chars long")
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
