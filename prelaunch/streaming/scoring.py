@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from prelaunch.operators.deep_forest import DeepForestModel
+from prelaunch.operators.models import deciding_model
 from prelaunch.session import checkpoint_dir
 
 
@@ -48,8 +50,13 @@ def score_stream(spark: SparkSession, model_path: str, source: str, schema: T.St
     """Start the scoring query: new feature files in ``source`` -> predictions in ``sink`` (MOD7)."""
     model = PipelineModel.load(model_path)
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", "score")
-    w = (scored(read_stream(spark, source, schema), model, key).writeStream
-         .format("parquet").option("path", sink).option("checkpointLocation", ckpt).outputMode("append"))
+    new = read_stream(spark, source, schema)
+    if isinstance(deciding_model(model), DeepForestModel):
+        # its trees are joined in, so a micro-batch is scored as a table; one that comes again replaces its own folder
+        w = new.writeStream.foreachBatch(lambda rows, n: scored(rows, model, key).write.mode("overwrite").parquet(f"{sink}/batch={n}")).option("checkpointLocation", ckpt)
+    else:
+        w = (scored(new, model, key).writeStream
+             .format("parquet").option("path", sink).option("checkpointLocation", ckpt).outputMode("append"))
     if once:
         w = w.trigger(availableNow=True)
     return w.start()
