@@ -177,13 +177,13 @@ def _letter(c: Column, number: Column, hexadecimal: Column) -> Column:
 
 def _fill(part: Column) -> Column:
     """A part's characters after its prefix replaced one by one. The n-th letter or digit takes the n-th draw, so
-    punctuation does not change what is drawn."""
+    punctuation does not change what is drawn. A part that stays whole, as an address's domain of any length, is not taken apart."""
     text, prefix = part["text"], part["prefix"]
     drawn = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.struct(
         F.substr(text, i, F.lit(1)).alias("c"), (i <= prefix).alias("stays"),
         _number(part["stream"], F.length(F.regexp_replace(F.substr(text, F.lit(1), i), r"[^\p{L}\d]", ""))).alias("n")))
     filled = F.array_join(F.transform(drawn, lambda d: F.when(d["stays"], d["c"]).otherwise(_letter(d["c"], d["n"], part["hex"]))), "")
-    return F.when(F.length(text) > 0, filled).otherwise("")
+    return F.when(prefix >= F.length(text), text).when(F.length(text) > 0, filled).otherwise("")
 
 
 def _part(text: Column, stream: Column, prefix: Column, hexadecimal: Column) -> Column:
@@ -192,9 +192,9 @@ def _part(text: Column, stream: Column, prefix: Column, hexadecimal: Column) ->
 
 def _pieces(text: Column, stream: Column) -> Column:
     """The parts of an address's local part or domain, in time linear in its length."""
-    seed = F.substr(stream, F.lit(1), F.lit(64))
-    chunks = F.transform(F.regexp_extract_all(text, F.lit(rf".{{1,{CHUNK}}}"), F.lit(0)), lambda c, i: _part(
-        c, F.sha2(F.concat_ws("|", seed, i.cast("string")).cast("binary"), 512), F.lit(0), F.lit(False)))
+    once = F.array(F.substr(stream, F.lit(1), F.lit(64)))        # bound, or the stream would be made again for every chunk
+    chunks = F.element_at(F.transform(once, lambda seed: F.transform(F.regexp_extract_all(text, F.lit(rf".{{1,{CHUNK}}}"), F.lit(0)), lambda c, i: _part(
+        c, F.sha2(F.concat_ws("|", seed, i.cast("string")).cast("binary"), 512), F.lit(0), F.lit(False)))), 1)
     return F.when(F.length(text) <= LONG, F.array(_part(text, stream, F.lit(0), F.lit(False)))).otherwise(chunks)
 
 
